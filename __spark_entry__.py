@@ -28,7 +28,8 @@ from starweave.operators.quality import (DuplicateRate, NullRate, RowCount, Valu
 from starweave.operators.upsert import MERGE_ACTION, upsert  # noqa: E402
 from starweave.plans import reports, silver, suites  # noqa: E402
 from starweave.plans.star import Star, from_tables  # noqa: E402
-from starweave.sources import extracts  # noqa: E402
+from starweave.sources import extracts, tables  # noqa: E402
+from starweave.sources.layout import zorder  # noqa: E402
 
 SF0001 = "/root/testdata/sf0.001"
 # Fixed value: boundary between the first and the second load of the
@@ -48,7 +49,7 @@ _STARS: dict = {}
 def _star(spark: SparkSession, sf_dir: str) -> Star:
     key = (id(spark), sf_dir)
     if key not in _STARS:
-        _STARS[key] = from_tables(spark, sf_dir)
+        _STARS[key] = from_tables(spark, sf_dir, stage=True)
     return _STARS[key]
 
 
@@ -203,6 +204,33 @@ def q_scd1_unchanged_noop(spark, d):
     return merged.groupBy(MERGE_ACTION).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+# --- Layout and partition-scoped publish -----------------------------------
+
+def q_zorder_rewrite(spark, d):
+    """Clustered rewrite of the fact on its three most-filtered keys (same rows)."""
+    fact = _no_ts(_star(spark, d).fact_sales)
+    return zorder(fact, ["customer_sk", "product_sk", "order_date_sk"])
+
+
+def q_partition_publish(spark, d):
+    """First load of the fact (first batch), then the second batch published
+    into the order-date partitions it touches; returns the resulting table."""
+    import uuid
+    s = _star(spark, d)
+    first, second, _ = _order_batches(spark, d)
+
+    def fact_of(orders):
+        from starweave.plans.fact import fact_sales
+        return _no_ts(fact_sales(orders, s.dim_customer, s.dim_product, s.dim_date, s.dim_geography))
+
+    path = f"{tables.checkpoint_root(spark)}/fact_sales-{uuid.uuid4().hex}"
+    keys = ["order_line_id"]
+    tables.publish_partitions(fact_of(first), path, keys, [], "order_date")
+    f2 = fact_of(second)
+    tables.publish_partitions(f2, path, keys, [c for c in f2.columns if c not in keys], "order_date")
+    return spark.read.parquet(path)
+
+
 # --- Data quality -----------------------------------------------------------
 
 def q_dq_nulls(spark, d):

@@ -403,6 +403,8 @@ def oracle() -> dict[str, str]:
     q["role_playing_date_join"] = w(*STAR) + "SELECT order_line_id, order_date_sk, ship_date_sk FROM fact"
     q["geography_lookup"] = w(*STAR) + "SELECT order_line_id, customer_sk, geography_sk FROM fact"
     q["fact_sales"] = w(*STAR) + f"SELECT {FACT_COLS} FROM fact"
+    q["zorder_rewrite"] = q["fact_sales"]
+    q["partition_publish"] = q["fact_sales"]
     q["scd1_upsert"] = _upsert_sql(["order_line_id"])
     q["scd1_upsert_multi"] = _upsert_sql(["order_id", "order_line_id"])
     q["scd1_unchanged_noop"] = _noop_sql()

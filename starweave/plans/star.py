@@ -1,18 +1,24 @@
 """Assemble the star schema from three Bronze extracts, lazily.
 
-``Star`` wires Silver, the dimensions, the calendar and the fact; every
-attribute is a lazy DataFrame, so asking for one report plans only what
-that report needs (Catalyst prunes unused columns down to the scans).
+``Star`` wires Silver, the dimensions, the calendar and the fact. With
+``stage=False`` every attribute is a lazy DataFrame, so asking for one
+report plans only what it needs. With ``stage=True`` each layer is
+written once, on first use, to the shared checkpoint folder and read back
+from there, as the layers of a warehouse are tables: later jobs do not
+recompute the lineage, and a lost executor costs a re-read of staged
+files, not a rerun from the raw extracts. Silver's valid and rejected
+rows are staged by one write (the de-duplication shuffle is shared).
 ``from_tables`` builds it from the TPC-H-style driver tables.
 """
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.lookup import DEFAULT_BROADCAST_ROWS
-from ..sources import extracts
+from ..operators.quarantine import Split
+from ..sources import extracts, tables
 from . import dimensions, fact, silver
 
 # Fixed value: the audit time stamped on derived rows in reproducible runs.
@@ -22,25 +28,38 @@ FIXED_NOW = "2024-01-01 00:00:00"
 class Star:
     def __init__(self, bronze_customers: DataFrame, bronze_products: DataFrame,
                  bronze_orders: DataFrame, now=FIXED_NOW, calendar: DataFrame | None = None,
-                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS):
+                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, stage: bool = False):
         self.bronze_customers = bronze_customers
         self.bronze_products = bronze_products
         self.bronze_orders = bronze_orders
         self.now = now
         self._calendar = calendar
         self.max_broadcast_rows = max_broadcast_rows
+        self.stage = stage
+
+    def _keep(self, df: DataFrame, label: str) -> DataFrame:
+        return tables.stage(df, label) if self.stage else df
+
+    def _keep_split(self, split: Split, label: str) -> Split:
+        if not self.stage:
+            return split
+        both = split.valid.withColumn("__valid", F.lit(True)).unionByName(
+            split.rejected.withColumn("__valid", F.lit(False)), allowMissingColumns=True)
+        staged = tables.stage(both, label)
+        return Split(staged.filter(F.col("__valid")).select(*split.valid.columns),
+                     staged.filter(~F.col("__valid")).select(*split.rejected.columns))
 
     @cached_property
     def silver_customers_split(self):
-        return silver.customers(self.bronze_customers, self.now)
+        return self._keep_split(silver.customers(self.bronze_customers, self.now), "silver_customers")
 
     @cached_property
     def silver_products_split(self):
-        return silver.products(self.bronze_products, self.now)
+        return self._keep_split(silver.products(self.bronze_products, self.now), "silver_products")
 
     @cached_property
     def silver_orders_split(self):
-        return silver.orders(self.bronze_orders, self.now)
+        return self._keep_split(silver.orders(self.bronze_orders, self.now), "silver_orders")
 
     @property
     def silver_customers(self) -> DataFrame:
@@ -56,26 +75,28 @@ class Star:
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return dimensions.dim_customer(self.silver_customers, self.now)
+        return self._keep(dimensions.dim_customer(self.silver_customers, self.now), "dim_customer")
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return dimensions.dim_product(self.silver_products, self.now)
+        return self._keep(dimensions.dim_product(self.silver_products, self.now), "dim_product")
 
     @cached_property
     def dim_geography(self) -> DataFrame:
-        return dimensions.dim_geography(self.silver_customers, self.now)
+        return self._keep(dimensions.dim_geography(self.silver_customers, self.now), "dim_geography")
 
     @cached_property
     def dim_date(self) -> DataFrame:
         if self._calendar is not None:
             return self._calendar
-        return dimensions.dim_date_covering(self.silver_orders, ["order_date", "ship_date"])
+        return self._keep(dimensions.dim_date_covering(self.silver_orders, ["order_date", "ship_date"]),
+                          "dim_date")
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        return fact.fact_sales(self.silver_orders, self.dim_customer, self.dim_product,
-                               self.dim_date, self.dim_geography, self.now, self.max_broadcast_rows)
+        return self._keep(fact.fact_sales(self.silver_orders, self.dim_customer, self.dim_product,
+                                          self.dim_date, self.dim_geography, self.now,
+                                          self.max_broadcast_rows), "fact_sales")
 
 
 def from_tables(spark: SparkSession, sf_dir: str, **kw) -> Star:
