@@ -4,16 +4,19 @@ Order of work per table (each step is a lazy DataFrame transform):
 
 1. one projection cleans strings and parses types with NULL-on-failure
    casts (ANSI-safe), keeping the raw text of every parsed field;
-2. rows without a business key go straight to quarantine (they would all
-   fall into one window partition otherwise);
-3. ``keep_latest`` picks the newest row per normalised key (normalising
-   first means ' c001' and 'C001' are one customer);
-4. row rules run on the winner only, so an older valid row never
-   resurrects a key whose latest version is invalid;
-5. valid rows get the contract column order and row audit columns.
-
-Steps 1-5 are narrow except the dedup shuffle, whose partial
-``WindowGroupLimit`` runs before the exchange.
+2. ``keep_latest`` picks the newest row per normalised key (normalising
+   first means ' c001' and 'C001' are one customer); rows without a key
+   are salted into groups of their own, so they neither collapse into
+   one row nor pile up in one task;
+3. row rules (including the missing key) run on the winner only, so an
+   older valid row never resurrects a key whose latest version is
+   invalid; the failed rule names land in ``reject_reasons``;
+4. valid rows get the contract column order and row audit columns.
+
+All steps are narrow except the dedup shuffle, whose partial
+``WindowGroupLimit`` runs before the exchange. Valid and rejected rows
+are two filters of one tagged frame, so staging that frame once
+(``plans.star``) evaluates the shuffle once.
 """
 from __future__ import annotations
 
@@ -59,20 +62,27 @@ def _corrupt(bronze: DataFrame):
     return [F.lit(None).cast("string").alias("_raw_line")]
 
 
-def _finish(std: DataFrame, key: str, tiebreak: list, rules: dict, columns: list, now) -> Split:
-    keyed = tag_rules(std, {f"missing_{key}": F.col(key).isNotNull()})
-    has_key = F.size(F.col(REASONS)) == 0
-    bad_key = keyed.filter(~has_key)
+def tag(std: DataFrame, key: str, tiebreak: list, rules: dict) -> DataFrame:
+    """Latest row per key, with ``reject_reasons`` (empty = valid); one shuffle.
+
+    Rows without a key skip the de-duplication without a second branch:
+    each gets a unique salt in the window's partition key, so every such
+    row is its own group (they would otherwise all land in one task) and
+    is then rejected by the ``missing_<key>`` rule.
+    """
     raw_cols = [c for c in std.columns if c.startswith("_raw_")]
-    latest = keep_latest(keyed.filter(has_key).drop(REASONS), key, "ingested_at", tiebreak + raw_cols)
-    rules = dict(rules)
-    rules["malformed_line"] = F.col("_raw_line").isNull()
-    checked = tag_rules(latest, rules)
+    salted = std.withColumn("__salt", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
+    latest = keep_latest(salted, [key, "__salt"], "ingested_at", tiebreak + raw_cols).drop("__salt")
+    all_rules = {f"missing_{key}": F.col(key).isNotNull(), **rules,
+                 "malformed_line": F.col("_raw_line").isNull()}
+    return tag_rules(latest, all_rules)
+
+
+def split_tagged(tagged: DataFrame, columns: list, now=None) -> Split:
     ok = F.size(F.col(REASONS)) == 0
     ts = _ts(now)
-    valid = checked.filter(ok).withColumns({"created_at": ts, "updated_at": ts}).select(*columns)
-    rejected = bad_key.unionByName(checked.filter(~ok))
-    return Split(valid, rejected)
+    valid = tagged.filter(ok).withColumns({"created_at": ts, "updated_at": ts}).select(*columns)
+    return Split(valid, tagged.filter(~ok))
 
 
 def standardise_customers(bronze: DataFrame) -> DataFrame:
@@ -93,10 +103,12 @@ def standardise_customers(bronze: DataFrame) -> DataFrame:
         *AUDIT, *_corrupt(bronze))
 
 
+def tag_customers(bronze: DataFrame) -> DataFrame:
+    return tag(standardise_customers(bronze), "customer_id", CUSTOMER_TIEBREAK, customer_rules())
+
+
 def customers(bronze: DataFrame, now=None) -> Split:
-    std = standardise_customers(bronze)
-    rules = {"missing_email": F.col("email").isNotNull()}
-    return _finish(std, "customer_id", CUSTOMER_TIEBREAK, rules, CUSTOMER_COLUMNS, now)
+    return split_tagged(tag_customers(bronze), CUSTOMER_COLUMNS, now)
 
 
 def standardise_products(bronze: DataFrame) -> DataFrame:
@@ -124,7 +136,7 @@ def standardise_products(bronze: DataFrame) -> DataFrame:
         *_corrupt(bronze))
 
 
-def customers_rules() -> dict:
+def customer_rules() -> dict:
     return {"missing_email": F.col("email").isNotNull()}
 
 
@@ -141,9 +153,12 @@ def product_rules() -> dict:
     }
 
 
+def tag_products(bronze: DataFrame) -> DataFrame:
+    return tag(standardise_products(bronze), "product_id", PRODUCT_TIEBREAK, product_rules())
+
+
 def products(bronze: DataFrame, now=None) -> Split:
-    std = standardise_products(bronze)
-    return _finish(std, "product_id", PRODUCT_TIEBREAK, product_rules(), PRODUCT_COLUMNS, now)
+    return split_tagged(tag_products(bronze), PRODUCT_COLUMNS, now)
 
 
 def standardise_orders(bronze: DataFrame) -> DataFrame:
@@ -191,6 +206,9 @@ def order_rules() -> dict:
     }
 
 
+def tag_orders(bronze: DataFrame) -> DataFrame:
+    return tag(standardise_orders(bronze), "order_line_id", ORDER_TIEBREAK, order_rules())
+
+
 def orders(bronze: DataFrame, now=None) -> Split:
-    std = standardise_orders(bronze)
-    return _finish(std, "order_line_id", ORDER_TIEBREAK, order_rules(), ORDER_COLUMNS, now)
+    return split_tagged(tag_orders(bronze), ORDER_COLUMNS, now)

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.lookup import DEFAULT_BROADCAST_ROWS
 from ..operators.quarantine import Split
@@ -40,26 +40,22 @@ class Star:
     def _keep(self, df: DataFrame, label: str) -> DataFrame:
         return tables.stage(df, label) if self.stage else df
 
-    def _keep_split(self, split: Split, label: str) -> Split:
-        if not self.stage:
-            return split
-        both = split.valid.withColumn("__valid", F.lit(True)).unionByName(
-            split.rejected.withColumn("__valid", F.lit(False)), allowMissingColumns=True)
-        staged = tables.stage(both, label)
-        return Split(staged.filter(F.col("__valid")).select(*split.valid.columns),
-                     staged.filter(~F.col("__valid")).select(*split.rejected.columns))
+    def _split(self, tagged: DataFrame, columns: list, label: str) -> Split:
+        return silver.split_tagged(self._keep(tagged, label), columns, self.now)
 
     @cached_property
-    def silver_customers_split(self):
-        return self._keep_split(silver.customers(self.bronze_customers, self.now), "silver_customers")
+    def silver_customers_split(self) -> Split:
+        return self._split(silver.tag_customers(self.bronze_customers), silver.CUSTOMER_COLUMNS,
+                           "silver_customers")
 
     @cached_property
-    def silver_products_split(self):
-        return self._keep_split(silver.products(self.bronze_products, self.now), "silver_products")
+    def silver_products_split(self) -> Split:
+        return self._split(silver.tag_products(self.bronze_products), silver.PRODUCT_COLUMNS,
+                           "silver_products")
 
     @cached_property
-    def silver_orders_split(self):
-        return self._keep_split(silver.orders(self.bronze_orders, self.now), "silver_orders")
+    def silver_orders_split(self) -> Split:
+        return self._split(silver.tag_orders(self.bronze_orders), silver.ORDER_COLUMNS, "silver_orders")
 
     @property
     def silver_customers(self) -> DataFrame:

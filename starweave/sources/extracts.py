@@ -30,8 +30,22 @@ CREATED_BASE = "1990-01-01"
 CENT = Decimal("0.01")
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-redistribute a scan that yields fewer splits than the cluster has cores.
+
+    A large table arrives as many files and row groups, and this is a
+    no-op; a single-row-group file would otherwise run every narrow stage
+    before the first shuffle in one task.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys)
+
+
+def read(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, *keys) if keys else df
 
 
 def _s(c: Column) -> Column:
@@ -43,7 +57,7 @@ def _cents_to_text(cents: Column, precision: int = 12) -> Column:
 
 
 def customer_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read(spark, sf_dir, "customer")
+    c = read(spark, sf_dir, "customer", "c_custkey")
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
     j = (c.join(n, c.c_nationkey == n.n_nationkey, "left")
@@ -81,7 +95,7 @@ def cost_cents(price_in_cents: Column) -> Column:
 
 
 def product_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read(spark, sf_dir, "part")
+    p = read(spark, sf_dir, "part", "p_partkey")
     cents = price_cents(F.col("p_retailprice"))
     created = F.date_add(F.lit(CREATED_BASE).cast("date"), (F.col("p_size") * 7).cast("int"))
     raw = p.select(
@@ -105,9 +119,9 @@ def product_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per lineitem row; ``ingested_at`` is the ship time, so a
     repeated (order, line) pair is resolved to its latest version in Silver."""
-    li = read(spark, sf_dir, "lineitem").select(
+    li = spread(read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_linestatus", "l_shipdate")
+        "l_discount", "l_linestatus", "l_shipdate"), "l_orderkey")
     o = read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "left")
