@@ -47,7 +47,8 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_cols, now=None,
     in_t = F.col("__t").isNotNull()
     in_s = F.col("__s").isNotNull()
     matched = in_t & in_s
-    compared = [c for c in update_cols if c in tcols and c in scols]
+    # The audit stamp itself never counts as a change.
+    compared = [c for c in update_cols if c in tcols and c in scols and c != updated_at]
     changed = F.lit(False)
     for c in compared:
         changed = changed | ~F.col(_T + c).eqNullSafe(F.col(_S + c))

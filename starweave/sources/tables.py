@@ -119,11 +119,11 @@ class TableStore:
             r = r.schema(schema)
         return r.parquet(path)
 
-    def commit(self, name: str, df: DataFrame, partition_by=()) -> tuple[str, int]:
+    def commit(self, name: str, df: DataFrame, partition_by=(), cluster_by=()) -> tuple[str, int]:
         """Write ``df`` as the next version; returns (path, rows)."""
         v = self.versions(name)
         path = f"{self._dir(name)}/{VERSION_PREFIX}{(v[-1] + 1 if v else 1):06d}"
-        rows = write(df, path, "overwrite", partition_by)
+        rows = write(df, path, "overwrite", partition_by, cluster_by=cluster_by)
         return path, rows
 
     def merge(self, name: str, source: DataFrame, keys, update_cols, now=None, partition_by=(),
