@@ -432,6 +432,7 @@ def oracle() -> dict[str, str]:
         _suite("silver_products", "prod_silver", **SILVER_P_SUITE),
         _suite("silver_orders", "ord_silver", **SILVER_O_SUITE),
         *dims,
+        _suite("dim_date", "dim_date", min_rows=1, dup=("date_key",)),
         _suite("fact_sales", "fact", **FACT_SUITE)])
     counts = [("BRONZE", "crm_customers", "cust_raw"), ("BRONZE", "erp_products", "prod_raw"),
               ("BRONZE", "ecom_orders", "ord_raw"), ("SILVER", "customers", "cust_silver"),

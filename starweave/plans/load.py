@@ -101,6 +101,7 @@ def load_batch(spark: SparkSession, root: str, sources: dict, batch_id: str, now
                .unionByName(suites.dimension_checks(d_cust, "dim_customer", "customer_bk", "customer_sk"))
                .unionByName(suites.dimension_checks(d_prod, "dim_product", "product_bk", "product_sk"))
                .unionByName(suites.dimension_checks(d_geo, "dim_geography", "geography_bk", "geography_sk"))
+               .unionByName(run_checks(d_date, "dim_date", suites.CALENDAR_CHECKS))
                .unionByName(run_checks(f, "fact_sales", suites.FACT_CHECKS))
                .unionByName(suites.fact_integrity(f, d_cust, d_prod, d_date, d_geo)))
     results = results.withColumn("batch_id", F.lit(batch_id))

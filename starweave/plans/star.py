@@ -12,6 +12,7 @@ rows are staged by one write (the de-duplication shuffle is shared).
 """
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,6 +96,21 @@ class Star:
                                           self.max_broadcast_rows), "fact_sales")
 
 
+    # Layers in dependency order; the members of one wave are independent.
+    WAVES = (("silver_customers_split", "silver_products_split", "silver_orders_split"),
+             ("dim_customer", "dim_product", "dim_geography", "dim_date"),
+             ("fact_sales",))
+
+    def build(self, max_workers: int = 4) -> "Star":
+        """Materialise every layer, running the independent jobs of a wave
+        concurrently (Spark schedules jobs from several driver threads), so
+        small dimension jobs overlap instead of queueing behind each other."""
+        with ThreadPoolExecutor(max_workers=max_workers) as pool:
+            for wave in self.WAVES:
+                list(pool.map(lambda name: getattr(self, name), wave))
+        return self
+
+
 def from_tables(spark: SparkSession, sf_dir: str, **kw) -> Star:
     return Star(extracts.customer_extract(spark, sf_dir), extracts.product_extract(spark, sf_dir),
                 extracts.order_extract(spark, sf_dir), **kw)

@@ -18,6 +18,7 @@ SILVER_ORDER_CHECKS = (RowCount(), NullRate(("order_id", "order_line_id", "custo
 FACT_CHECKS = (RowCount(), NullRate(("order_line_id", "customer_sk", "product_sk")),
                DuplicateRate(("order_line_id",)), ValueRange("quantity", 1),
                ValueRange("net_revenue", 0), ValueRange("gross_profit"))
+CALENDAR_CHECKS = (RowCount(), DuplicateRate(("date_key",)))
 # Regex checks (find-anywhere, NULL passes).
 CONTACT_CHECKS = (RegexMatch("email", r"^[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}$"),
                   RegexMatch("phone", r"^\+?[0-9-]+$"))
