@@ -13,7 +13,8 @@ see ``sources.tables``):
 Several source rows matching one target row is an error, as in a MERGE:
 the source side is counted per key with a window partitioned by the keys,
 which is the same hash partitioning the join needs, so the guard costs no
-extra shuffle and no extra job. The failure surfaces through
+extra shuffle and no extra job. NULL-key rows are salted so they spread
+over all tasks instead of meeting in one. The failure surfaces through
 ``raise_error`` when the result is computed.
 
 Source columns the target lacks are added (additive schema evolution);
@@ -38,11 +39,26 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_cols, now=None,
     if missing:
         raise ValueError(f"merge keys missing on one side: {missing}")
 
-    key_w = Window.partitionBy(*[F.col(k) for k in keys])
-    s = source.withColumn("__n", F.count(F.lit(1)).over(key_w))
-    s = s.select(*[F.col(c).alias(_S + c) for c in scols], "__n", F.lit(True).alias("__s"))
-    t = target.select(*[F.col(c).alias(_T + c) for c in tcols], F.lit(True).alias("__t"))
-    j = t.join(s, [t[_T + k] == s[_S + k] for k in keys], "full")
+    # Rows with a NULL key never match, but a full outer join keeps them and
+    # would hash all of them to one partition. A unique salt (0 for keyed
+    # rows) joins the keys, so such rows spread over all tasks; keyed rows
+    # still meet on (keys, 0). Positive salts on one side, negative on the
+    # other, so salted rows never meet each other.
+    def salt(df, sign):
+        any_null = F.lit(False)
+        for k in keys:
+            any_null = any_null | F.col(k).isNull()
+        return F.when(any_null, (F.monotonically_increasing_id() + 1) * sign).otherwise(F.lit(0))
+
+    key_w = Window.partitionBy(*[F.col(k) for k in keys], "__salt")
+    s = source.withColumn("__salt", salt(source, 1))
+    s = s.withColumn("__n", F.count(F.lit(1)).over(key_w))
+    s = s.select(*[F.col(c).alias(_S + c) for c in scols], "__n", F.col("__salt").alias("__s_salt"),
+                 F.lit(True).alias("__s"))
+    t = target.select(*[F.col(c).alias(_T + c) for c in tcols], salt(target, -1).alias("__t_salt"),
+                      F.lit(True).alias("__t"))
+    cond = [t[_T + k] == s[_S + k] for k in keys] + [t["__t_salt"] == s["__s_salt"]]
+    j = t.join(s, cond, "full")
 
     in_t = F.col("__t").isNotNull()
     in_s = F.col("__s").isNotNull()

@@ -30,22 +30,23 @@ CREATED_BASE = "1990-01-01"
 CENT = Decimal("0.01")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-redistribute a scan that yields fewer splits than the cluster has cores.
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a scan that yields fewer splits than the cluster has cores.
 
     A large table arrives as many files and row groups, and this is a
     no-op; a single-row-group file would otherwise run every narrow stage
-    before the first shuffle in one task.
+    before the first shuffle in one task. Round-robin, not a key hash, so
+    a hot key or a mass of identical copies is spread as evenly as the rest.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, *keys)
+    return df.repartition(target)
 
 
-def read(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+def read(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = False) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, *keys) if keys else df
+    return spread(df) if spread_out else df
 
 
 def _s(c: Column) -> Column:
@@ -57,7 +58,7 @@ def _cents_to_text(cents: Column, precision: int = 12) -> Column:
 
 
 def customer_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read(spark, sf_dir, "customer", "c_custkey")
+    c = read(spark, sf_dir, "customer", spread_out=True)
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
     j = (c.join(n, c.c_nationkey == n.n_nationkey, "left")
@@ -95,7 +96,7 @@ def cost_cents(price_in_cents: Column) -> Column:
 
 
 def product_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read(spark, sf_dir, "part", "p_partkey")
+    p = read(spark, sf_dir, "part", spread_out=True)
     cents = price_cents(F.col("p_retailprice"))
     created = F.date_add(F.lit(CREATED_BASE).cast("date"), (F.col("p_size") * 7).cast("int"))
     raw = p.select(
@@ -121,7 +122,7 @@ def order_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     repeated (order, line) pair is resolved to its latest version in Silver."""
     li = spread(read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_linestatus", "l_shipdate"), "l_orderkey")
+        "l_discount", "l_linestatus", "l_shipdate"))
     o = read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "left")

@@ -61,5 +61,8 @@ def zorder(df: DataFrame, columns, bits: int = DEFAULT_BITS, num_partitions: int
             z = z.bitwiseOR(F.shiftleft(bit, j * ncols + i))
     zed = bucketed.withColumn("__z", z)
     parts = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return (zed.repartitionByRange(parts, "__z").sortWithinPartitions("__z")
-            .drop("__z", *keys, *buckets))
+    # A row hash after the z-value lets the range partitioner split a run of
+    # equal z-values (e.g. many copies of one row) across files.
+    zed = zed.withColumn("__h", F.xxhash64(*[F.col(c) for c in df.columns]))
+    return (zed.repartitionByRange(parts, "__z", "__h").sortWithinPartitions("__z")
+            .drop("__z", "__h", *keys, *buckets))

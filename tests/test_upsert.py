@@ -71,3 +71,19 @@ def test_new_source_column_is_added(spark):
     out = upsert(t, s, "k", ["v", "extra"], NOW)
     assert out.columns == ["k", "v", "extra"]
     assert {r.k: r.extra for r in out.collect()} == {"K1": None, "K2": 1}
+
+
+def test_null_keys_on_both_sides_never_match(spark):
+    t = spark.createDataFrame([(None, "t1"), (None, "t2"), ("K1", "a")], "k string, v string")
+    s = spark.createDataFrame([(None, "s1"), (None, "s2"), ("K1", "b")], "k string, v string")
+    out = upsert(t, s, "k", ["v"], NOW, with_action=True).collect()
+    got = sorted((r.k, r.v, r[MERGE_ACTION]) for r in out if r.k is None)
+    assert got == [(None, "s1", "insert"), (None, "s2", "insert"), (None, "t1", "keep"), (None, "t2", "keep")]
+    assert [r.v for r in out if r.k == "K1"] == ["b"]
+
+
+def test_guard_adds_no_shuffle(spark):
+    t = spark.range(100).selectExpr("cast(id as string) k", "id v")
+    s = spark.range(50, 150).selectExpr("cast(id as string) k", "id * 2 v")
+    plan = upsert(t, s, "k", ["v"], NOW)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # one per side, shared by window and join
