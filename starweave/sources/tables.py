@@ -34,6 +34,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def has_checkpoint_root(spark: SparkSession) -> bool:
+    return bool(spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (must be set on a cluster)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
