@@ -21,7 +21,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 from starweave.functions.keys import surrogate_key  # noqa: E402
-from starweave.operators.dedup import keep_latest  # noqa: E402
 from starweave.operators.quarantine import REASONS, split_valid  # noqa: E402
 from starweave.operators.quality import (DuplicateRate, NullRate, RowCount, ValueRange,  # noqa: E402
                                          row_counts, run_checks)
@@ -90,10 +89,9 @@ def q_typed_casts(spark, d):
 
 
 def _latest_orders(spark, d):
-    std = silver.standardise_orders(extracts.order_extract(spark, d))
-    raw = [c for c in std.columns if c.startswith("_raw_")]
-    return keep_latest(std.filter(F.col("order_line_id").isNotNull()), "order_line_id", "ingested_at",
-                       silver.ORDER_TIEBREAK + raw)
+    """Latest row per order line, before any row rule (the staged Silver frame)."""
+    tagged = _star(spark, d).silver_orders_tagged
+    return tagged.filter(F.col("order_line_id").isNotNull()).drop(REASONS)
 
 
 def q_dedup_latest(spark, d):

@@ -54,9 +54,14 @@ class Star:
         return self._split(silver.tag_products(self.bronze_products), silver.PRODUCT_COLUMNS,
                            "silver_products")
 
+    @cached_property
+    def silver_orders_tagged(self) -> DataFrame:
+        """Latest row per order line with its reject reasons (valid and rejected)."""
+        return self._keep(silver.tag_orders(self.bronze_orders), "silver_orders")
+
     @cached_property
     def silver_orders_split(self) -> Split:
-        return self._split(silver.tag_orders(self.bronze_orders), silver.ORDER_COLUMNS, "silver_orders")
+        return silver.split_tagged(self.silver_orders_tagged, silver.ORDER_COLUMNS, self.now)
 
     @property
     def silver_customers(self) -> DataFrame:
