@@ -189,8 +189,10 @@ def _order_batches(spark, d):
         second = silver.orders(bronze.filter(F.col("ingested_at") >= cut)).valid
         first, second = _no_ts(first), _no_ts(second)
         if tables.has_checkpoint_root(spark):
-            first = tables.stage(first, "orders_first_load")
-            second = tables.stage(second, "orders_second_load")
+            from concurrent.futures import ThreadPoolExecutor
+            with ThreadPoolExecutor(max_workers=2) as pool:  # two independent jobs
+                first, second = pool.map(lambda a: tables.stage(*a),
+                                         [(first, "orders_first_load"), (second, "orders_second_load")])
         _BATCHES[key] = (first, second)
     first, second = _BATCHES[key]
     return first, second, None
