@@ -104,6 +104,14 @@ def load_batch(spark: SparkSession, root: str, sources: dict, batch_id: str, now
                .unionByName(run_checks(d_date, "dim_date", suites.CALENDAR_CHECKS))
                .unionByName(run_checks(f, "fact_sales", suites.FACT_CHECKS))
                .unionByName(suites.fact_integrity(f, d_cust, d_prod, d_date, d_geo)))
+    layers = [("SILVER", "silver_customers"), ("SILVER", "silver_products"), ("SILVER", "silver_orders"),
+              ("GOLD", "dim_customer"), ("GOLD", "dim_product"), ("GOLD", "dim_date"),
+              ("GOLD", "dim_geography")]
+    counts = store.row_counts(layers).select(
+        "table_name", F.lit("row_count_check").alias("check_name"), F.col("row_count").alias("observed"),
+        F.col("row_count").alias("total"), F.lit(None).cast("double").alias("threshold"),
+        F.coalesce(F.col("row_count") > 0, F.lit(False)).alias("passed"))
+    results = results.unionByName(counts.withColumn("table_name", F.concat(F.lit("layer:"), "table_name")))
     results = results.withColumn("batch_id", F.lit(batch_id))
     staged = tables.stage(enforce_checks(results) if enforce else results, "checks")
     tables.append(staged, f"{root}/audit/dq_results")

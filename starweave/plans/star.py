@@ -37,9 +37,14 @@ class Star:
         self._calendar = calendar
         self.max_broadcast_rows = max_broadcast_rows
         self.stage = stage
+        self.staged_paths: list = []
 
     def _keep(self, df: DataFrame, label: str) -> DataFrame:
-        return tables.stage(df, label) if self.stage else df
+        return tables.stage(df, label, track=self.staged_paths) if self.stage else df
+
+    def release(self, spark: SparkSession) -> None:
+        """Drop the staged layers (call when no DataFrame of this Star is needed)."""
+        tables.drop_paths(spark, self.staged_paths)
 
     def _split(self, tagged: DataFrame, columns: list, label: str) -> Split:
         return silver.split_tagged(self._keep(tagged, label), columns, self.now)

@@ -77,14 +77,26 @@ def append(df: DataFrame, path: str, partition_by=(), cluster_by=()) -> int:
     return write(df, path, "append", partition_by, cluster_by=cluster_by)
 
 
-def stage(df: DataFrame, label: str = "stage", partition_by=()) -> DataFrame:
-    """Write ``df`` under the checkpoint folder and return a reader of it."""
+def stage(df: DataFrame, label: str = "stage", partition_by=(), track: list | None = None) -> DataFrame:
+    """Write ``df`` under the checkpoint folder and return a reader of it.
+    The folder is appended to ``track`` when given (see ``drop_paths``)."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
     write(df, path, "overwrite", partition_by)
+    if track is not None:
+        track.append(path)
     return spark.read.parquet(path)
 
 
+def drop_paths(spark: SparkSession, paths: list) -> None:
+    """Delete folders this process staged (never anything it did not create)."""
+    jvm = spark.sparkContext._jvm
+    while paths:
+        path = paths.pop()
+        fs, p = _fs(spark, path)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+
+
 class TableStore:
     """Versioned Parquet tables under one root folder."""
 
@@ -138,6 +150,21 @@ class TableStore:
         merged = upsert(self.read(name), source, keys, update_cols, now, only_changed)
         return self.commit(name, merged, partition_by)
 
+    def row_counts(self, names) -> DataFrame:
+        """``(layer, name)`` pairs → layer, table_name, row_count; a table with
+        no committed version is reported with a NULL count, not an error."""
+        parts = []
+        for layer, name in names:
+            if self.exists(name):
+                df = self.read(name).agg(F.count(F.lit(1)).alias("row_count"))
+            else:
+                df = self.spark.range(1).select(F.lit(None).cast("bigint").alias("row_count"))
+            parts.append(df.select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count"))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
     def vacuum(self, name: str, keep: int = 2) -> list[str]:
         fs, _ = _fs(self.spark, self._dir(name))
         dropped = []

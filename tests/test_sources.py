@@ -102,3 +102,19 @@ def test_zorder_keeps_rows(spark):
     out = zorder(df, ["a", "b", "c"], bits=4, num_partitions=4)
     assert sorted(out.collect()) == sorted(df.collect())
     assert out.rdd.getNumPartitions() == 4
+
+
+def test_store_row_counts_missing_table(spark, scratch):
+    store = tables.TableStore(spark, scratch)
+    store.commit("a", spark.range(4))
+    out = {r.table_name: r.row_count for r in store.row_counts([("L", "a"), ("L", "missing")]).collect()}
+    assert out == {"a": 4, "missing": None}
+
+
+def test_stage_tracking_and_drop(spark):
+    paths = []
+    tables.stage(spark.range(3), "t", track=paths)
+    assert len(paths) == 1 and tables.exists(spark, paths[0])
+    p = paths[0]
+    tables.drop_paths(spark, paths)
+    assert paths == [] and not tables.exists(spark, p)
