@@ -40,15 +40,18 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_cols, now=None,
         raise ValueError(f"merge keys missing on one side: {missing}")
 
     # Rows with a NULL key never match, but a full outer join keeps them and
-    # would hash all of them to one partition. A unique salt (0 for keyed
-    # rows) joins the keys, so such rows spread over all tasks; keyed rows
-    # still meet on (keys, 0). Positive salts on one side, negative on the
-    # other, so salted rows never meet each other.
+    # would hash all of them to one partition. A salt (0 for keyed rows)
+    # joins the keys, so such rows spread over all tasks while keyed rows
+    # still meet on (keys, 0); a NULL key cannot match whatever its salt.
+    # The salt hashes the input partition index with the row, so it is the
+    # same when a lost task is recomputed, and identical copies from
+    # different input partitions still go to different tasks.
     def salt(df, sign):
         any_null = F.lit(False)
         for k in keys:
             any_null = any_null | F.col(k).isNull()
-        return F.when(any_null, (F.monotonically_increasing_id() + 1) * sign).otherwise(F.lit(0))
+        h = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+        return F.when(any_null, F.lit(sign) * (F.abs(h % (2 ** 62)) + 1)).otherwise(F.lit(0).cast("long"))
 
     key_w = Window.partitionBy(*[F.col(k) for k in keys], "__salt")
     s = source.withColumn("__salt", salt(source, 1))

@@ -6,8 +6,8 @@ Order of work per table (each step is a lazy DataFrame transform):
    casts (ANSI-safe), keeping the raw text of every parsed field;
 2. ``keep_latest`` picks the newest row per normalised key (normalising
    first means ' c001' and 'C001' are one customer); rows without a key
-   are salted into groups of their own, so they neither collapse into
-   one row nor pile up in one task;
+   bypass it, so they neither collapse into one row nor pile up in one
+   task;
 3. row rules (including the missing key) run on the winner only, so an
    older valid row never resurrects a key whose latest version is
    invalid; the failed rule names land in ``reject_reasons``;
@@ -62,20 +62,23 @@ def _corrupt(bronze: DataFrame):
     return [F.lit(None).cast("string").alias("_raw_line")]
 
 
-def tag(std: DataFrame, key: str, tiebreak: list, rules: dict) -> DataFrame:
+def tag(bronze: DataFrame, standardise, key: str, tiebreak: list, rules: dict) -> DataFrame:
     """Latest row per key, with ``reject_reasons`` (empty = valid); one shuffle.
 
-    Rows without a key skip the de-duplication without a second branch:
-    each gets a unique salt in the window's partition key, so every such
-    row is its own group (they would otherwise all land in one task) and
-    is then rejected by the ``missing_<key>`` rule.
+    Rows without a key never enter the de-duplication: they are selected on
+    the raw key (the cleaned key is NULL exactly when the raw one is, and
+    Parquet can skip row groups on ``IS NULL``), standardised alike and
+    rejected by the ``missing_<key>`` rule. So they can neither collapse
+    into one row nor pile up in one task, and the result does not depend
+    on row order, which keeps a recomputed task exact after executor loss.
     """
-    raw_cols = [c for c in std.columns if c.startswith("_raw_")]
-    salted = std.withColumn("__salt", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
-    latest = keep_latest(salted, [key, "__salt"], "ingested_at", tiebreak + raw_cols).drop("__salt")
+    keyed = standardise(bronze.filter(F.col(key).isNotNull()))
+    unkeyed = standardise(bronze.filter(F.col(key).isNull()))
+    raw_cols = [c for c in keyed.columns if c.startswith("_raw_")]
+    latest = keep_latest(keyed, key, "ingested_at", tiebreak + raw_cols)
     all_rules = {f"missing_{key}": F.col(key).isNotNull(), **rules,
                  "malformed_line": F.col("_raw_line").isNull()}
-    return tag_rules(latest, all_rules)
+    return tag_rules(latest.unionByName(unkeyed), all_rules)
 
 
 def split_tagged(tagged: DataFrame, columns: list, now=None) -> Split:
@@ -104,7 +107,7 @@ def standardise_customers(bronze: DataFrame) -> DataFrame:
 
 
 def tag_customers(bronze: DataFrame) -> DataFrame:
-    return tag(standardise_customers(bronze), "customer_id", CUSTOMER_TIEBREAK, customer_rules())
+    return tag(bronze, standardise_customers, "customer_id", CUSTOMER_TIEBREAK, customer_rules())
 
 
 def customers(bronze: DataFrame, now=None) -> Split:
@@ -154,7 +157,7 @@ def product_rules() -> dict:
 
 
 def tag_products(bronze: DataFrame) -> DataFrame:
-    return tag(standardise_products(bronze), "product_id", PRODUCT_TIEBREAK, product_rules())
+    return tag(bronze, standardise_products, "product_id", PRODUCT_TIEBREAK, product_rules())
 
 
 def products(bronze: DataFrame, now=None) -> Split:
@@ -207,7 +210,7 @@ def order_rules() -> dict:
 
 
 def tag_orders(bronze: DataFrame) -> DataFrame:
-    return tag(standardise_orders(bronze), "order_line_id", ORDER_TIEBREAK, order_rules())
+    return tag(bronze, standardise_orders, "order_line_id", ORDER_TIEBREAK, order_rules())
 
 
 def orders(bronze: DataFrame, now=None) -> Split:
