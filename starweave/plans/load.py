@@ -11,6 +11,9 @@ under one root folder:
   (first load creates it); the calendar is created once;
 * fact: built from Silver orders and the new dimension versions, then
   published into the ``order_date`` partitions it touches;
+* layout (``cluster=True``): each new dimension version is z-ordered on its
+  lookup columns and fact files are sorted by their keys inside each
+  partition, for tight Parquet min/max statistics;
 * checks: the data-quality suites run on the new versions (one pass per
   table) and are appended to an audit table; ``enforce=True`` fails the
   load when a check fails.
@@ -29,9 +32,17 @@ from ..sources.csv import CORRUPT_COLUMN
 from ..sources.ingest import ingest
 from . import dimensions, fact, silver, suites
 
-# The calendar range of the warehouse.
+# The calendar range of the warehouse, and the columns each
+# table is clustered on after it is written.
 CALENDAR_START = "2020-01-01"
 CALENDAR_END = "2030-12-31"
+CLUSTER_COLUMNS = {
+    "dim_customer": ["customer_bk"],
+    "dim_product": ["product_bk", "category"],
+    "dim_date": ["date_key"],
+    "dim_geography": ["country", "state"],
+    "fact_sales": ["customer_sk", "product_sk", "order_date_sk"],
+}
 
 
 def bronze_schema(contract: Contract) -> StructType:
@@ -49,7 +60,7 @@ def read_bronze(spark: SparkSession, root: str, contract: Contract) -> DataFrame
 
 def load_batch(spark: SparkSession, root: str, sources: dict, batch_id: str, now=None,
                calendar=(CALENDAR_START, CALENDAR_END), enforce: bool = False,
-               max_broadcast_rows=None) -> DataFrame:
+               max_broadcast_rows=None, cluster: bool = True) -> DataFrame:
     """``sources`` maps extract name (crm_customers / erp_products / ecom_orders) to a CSV path."""
     store = tables.TableStore(spark, f"{root}/warehouse")
     kw = {} if max_broadcast_rows is None else {"max_broadcast_rows": max_broadcast_rows}
@@ -76,14 +87,16 @@ def load_batch(spark: SparkSession, root: str, sources: dict, batch_id: str, now
     s_cust, s_prod, s_ord = (store.read(f"silver_{n}") for n in ("customers", "products", "orders"))
 
     # Gold dimensions (Type 1)
+    z = CLUSTER_COLUMNS if cluster else {}
     store.merge("dim_customer", dimensions.dim_customer(s_cust, now), "customer_bk",
-                dimensions.CUSTOMER_UPDATE_COLUMNS, now)
+                dimensions.CUSTOMER_UPDATE_COLUMNS, now, zorder_by=z.get("dim_customer", ()))
     store.merge("dim_product", dimensions.dim_product(s_prod, now), "product_bk",
-                dimensions.PRODUCT_UPDATE_COLUMNS, now)
+                dimensions.PRODUCT_UPDATE_COLUMNS, now, zorder_by=z.get("dim_product", ()))
     store.merge("dim_geography", dimensions.dim_geography(s_cust, now), "geography_bk",
-                dimensions.GEOGRAPHY_UPDATE_COLUMNS, now)
+                dimensions.GEOGRAPHY_UPDATE_COLUMNS, now, zorder_by=z.get("dim_geography", ()))
     if not store.exists("dim_date"):
-        store.commit("dim_date", dimensions.dim_date(spark, *calendar))
+        cal = dimensions.dim_date(spark, *calendar)
+        store.commit("dim_date", cal.orderBy("date_key") if cluster else cal)
     d_cust, d_prod, d_geo, d_date = (store.read(n) for n in
                                      ("dim_customer", "dim_product", "dim_geography", "dim_date"))
 
@@ -91,7 +104,7 @@ def load_batch(spark: SparkSession, root: str, sources: dict, batch_id: str, now
     fact_path = f"{root}/warehouse/fact_sales"
     new_fact = fact.fact_sales(s_ord, d_cust, d_prod, d_date, d_geo, now, **kw)
     tables.publish_partitions(new_fact, fact_path, ["order_line_id"], fact.FACT_UPDATE_COLUMNS + ["updated_at"],
-                              "order_date", now)
+                              "order_date", now, sort_by=z.get("fact_sales", ()))
     f = spark.read.parquet(fact_path)
 
     # Checks

@@ -47,7 +47,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def write(df: DataFrame, path: str, mode: str = "overwrite", partition_by=(), name: str = "rows",
-          cluster_by=(), num_files: int | None = None) -> int:
+          cluster_by=(), num_files: int | None = None, sort_by=()) -> int:
     """Write Parquet and return the number of rows written (observed, one job).
 
     A partitioned write is range-partitioned on (partition columns,
@@ -59,6 +59,8 @@ def write(df: DataFrame, path: str, mode: str = "overwrite", partition_by=(), na
     if partition_by:
         n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartitionByRange(n, *partition_by, *cluster_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     obs = Observation(name)
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = observed.write.mode(mode)
@@ -143,11 +145,14 @@ class TableStore:
         return path, rows
 
     def merge(self, name: str, source: DataFrame, keys, update_cols, now=None, partition_by=(),
-              only_changed: bool = True) -> tuple[str, int]:
-        """Create on first load, else Type 1 upsert into a new version."""
-        if not self.exists(name):
-            return self.commit(name, source, partition_by)
-        merged = upsert(self.read(name), source, keys, update_cols, now, only_changed)
+              only_changed: bool = True, zorder_by=()) -> tuple[str, int]:
+        """Create on first load, else Type 1 upsert into a new version;
+        ``zorder_by`` clusters the new version's files on those columns."""
+        merged = source if not self.exists(name) else \
+            upsert(self.read(name), source, keys, update_cols, now, only_changed)
+        if zorder_by:
+            from .layout import zorder
+            merged = zorder(merged, list(zorder_by))
         return self.commit(name, merged, partition_by)
 
     def row_counts(self, names) -> DataFrame:
@@ -176,7 +181,7 @@ class TableStore:
 
 
 def publish_partitions(source: DataFrame, table_path: str, keys, update_cols, partition_col: str,
-                       now=None, only_changed: bool = True) -> dict:
+                       now=None, only_changed: bool = True, sort_by=()) -> dict:
     """Type 1 upsert into a partitioned table, rewriting only touched partitions.
 
     Touched partitions are the new partitions of every source row plus the
@@ -185,12 +190,13 @@ def publish_partitions(source: DataFrame, table_path: str, keys, update_cols, pa
     semi join on the partition column is pruned at run time), merged,
     staged in the checkpoint folder and written back with dynamic
     partition overwrite; partitions left empty by a move are deleted.
-    Not atomic across partitions: run one writer per table.
+    Not atomic across partitions: run one writer per table. ``sort_by``
+    orders rows inside every written file (tight row-group statistics).
     """
     spark = source.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not exists(spark, table_path):
-        rows = write(source, table_path, "overwrite", [partition_col], cluster_by=keys)
+        rows = write(source, table_path, "overwrite", [partition_col], cluster_by=keys, sort_by=sort_by)
         return {"created": True, "rows": rows, "touched": None, "emptied": []}
     source = stage(source, "source")
     target = spark.read.parquet(table_path)
@@ -202,7 +208,10 @@ def publish_partitions(source: DataFrame, table_path: str, keys, update_cols, pa
                                  "left_semi")
     merged = stage(upsert(target_touched, source, keys, update_cols, now, only_changed), "merged")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (merged.repartitionByRange(n, partition_col, *keys).write.mode("overwrite")
+    out = merged.repartitionByRange(n, partition_col, *keys)
+    if sort_by:
+        out = out.sortWithinPartitions(partition_col, *sort_by)
+    (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table_path))
     left = merged.select(partition_col).distinct()
     emptied = [r[0] for r in touched.join(left, touched[partition_col].eqNullSafe(left[partition_col]),

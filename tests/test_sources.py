@@ -118,3 +118,12 @@ def test_stage_tracking_and_drop(spark):
     p = paths[0]
     tables.drop_paths(spark, paths)
     assert paths == [] and not tables.exists(spark, p)
+
+
+def test_zorder_single_column_gives_disjoint_file_ranges(spark):
+    df = spark.range(4000).select(((F.col("id") * 7919) % 4000).alias("a"))
+    out = zorder(df, ["a"], bits=6, num_partitions=4)
+    ranges = sorted((r.lo, r.hi) for r in out.groupBy(F.spark_partition_id().alias("p"))
+                    .agg(F.min("a").alias("lo"), F.max("a").alias("hi")).collect())
+    assert len(ranges) == 4
+    assert all(prev[1] < nxt[0] for prev, nxt in zip(ranges, ranges[1:]))
