@@ -30,9 +30,8 @@ class Star:
     def __init__(self, bronze_customers: DataFrame, bronze_products: DataFrame,
                  bronze_orders: DataFrame, now=FIXED_NOW, calendar: DataFrame | None = None,
                  max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, stage: bool = False):
-        self.bronze_customers = bronze_customers
-        self.bronze_products = bronze_products
-        self.bronze_orders = bronze_orders
+        self._bronze = {"customers": bronze_customers, "products": bronze_products,
+                        "orders": bronze_orders}
         self.now = now
         self._calendar = calendar
         self.max_broadcast_rows = max_broadcast_rows
@@ -46,6 +45,20 @@ class Star:
         """Drop the staged layers (call when no DataFrame of this Star is needed)."""
         tables.drop_paths(spark, self.staged_paths)
 
+    # Bronze is a layer too: staged, both Silver branches read Parquet and the
+    # missing-key branch is answered from row-group statistics.
+    @cached_property
+    def bronze_customers(self) -> DataFrame:
+        return self._keep(self._bronze["customers"], "bronze_customers")
+
+    @cached_property
+    def bronze_products(self) -> DataFrame:
+        return self._keep(self._bronze["products"], "bronze_products")
+
+    @cached_property
+    def bronze_orders(self) -> DataFrame:
+        return self._keep(self._bronze["orders"], "bronze_orders")
+
     def _split(self, tagged: DataFrame, columns: list, label: str) -> Split:
         return silver.split_tagged(self._keep(tagged, label), columns, self.now)
 
@@ -107,7 +120,8 @@ class Star:
 
 
     # Layers in dependency order; the members of one wave are independent.
-    WAVES = (("silver_customers_split", "silver_products_split", "silver_orders_split"),
+    WAVES = (("bronze_customers", "bronze_products", "bronze_orders"),
+             ("silver_customers_split", "silver_products_split", "silver_orders_split"),
              ("dim_customer", "dim_product", "dim_geography", "dim_date"),
              ("fact_sales",))
 
