@@ -6,8 +6,10 @@ report plans only what it needs. With ``stage=True`` each layer is
 written once, on first use, to the shared checkpoint folder and read back
 from there, as the layers of a warehouse are tables: later jobs do not
 recompute the lineage, and a lost executor costs a re-read of staged
-files, not a rerun from the raw extracts. Silver's valid and rejected
-rows are staged by one write (the de-duplication shuffle is shared).
+files, not a rerun from the raw extracts. Bronze is staged too, so the
+extract's joins run once. Silver's valid and rejected rows are staged by
+one write (the de-duplication shuffle is shared). ``build`` runs the
+independent layers of each wave concurrently.
 ``from_tables`` builds it from the TPC-H-style driver tables.
 """
 from __future__ import annotations
