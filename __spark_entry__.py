@@ -183,7 +183,7 @@ def _order_batches(spark, d):
     staged once per session and shared by the incremental-load queries."""
     key = (id(spark), d)
     if key not in _BATCHES:
-        bronze = extracts.order_extract(spark, d)
+        bronze = _star(spark, d).bronze_orders  # staged once, shared with the Star
         cut = F.lit(CUTOFF).cast("timestamp")
         first = silver.orders(bronze.filter(F.col("ingested_at") < cut)).valid
         second = silver.orders(bronze.filter(F.col("ingested_at") >= cut)).valid
