@@ -82,8 +82,12 @@ def test_null_keys_on_both_sides_never_match(spark):
     assert [r.v for r in out if r.k == "K1"] == ["b"]
 
 
-def test_guard_adds_no_shuffle(spark):
+def test_hot_new_key_bypasses_the_full_outer_join(spark):
     t = spark.range(100).selectExpr("cast(id as string) k", "id v")
-    s = spark.range(50, 150).selectExpr("cast(id as string) k", "id * 2 v")
-    plan = upsert(t, s, "k", ["v"], NOW)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2  # one per side, shared by window and join
+    hot = spark.range(5000).selectExpr("'HOT' k", "id v")  # one new key, many rows
+    s = spark.range(50, 150).selectExpr("cast(id as string) k", "id * 2 v").unionByName(hot)
+    out = upsert(t, s, "k", ["v"], NOW, with_action=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "BroadcastHashJoin" in plan
+    got = {r[MERGE_ACTION]: r.n for r in out.groupBy(MERGE_ACTION).count().withColumnRenamed("count", "n").collect()}
+    assert got == {"keep": 50, "update": 50, "insert": 5050}
