@@ -48,3 +48,24 @@ def test_upsert_matches_model(spark, target, source):
         if k is None or k not in tkeys:
             model.append((k or "", v, "insert"))
     assert got == sorted(model)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["x", "y", None]), st.one_of(st.none(), st.integers(-2, 4))),
+                     max_size=15))
+def test_quality_suite_matches_model(spark, rows):
+    from starweave.operators.quality import DuplicateRate, NullRate, RowCount, ValueRange, run_checks
+    df = spark.createDataFrame(rows, "k string, q int")
+    got = {r.check_name: (r.observed, r.passed) for r in run_checks(
+        df, "t", [RowCount(), NullRate(("k", "q"), 0.25), DuplicateRate(("k",), 0.0), ValueRange("q", 0, 3)]
+    ).collect()}
+    n = len(rows)
+    nulls_k = sum(k is None for k, _ in rows)
+    nulls_q = sum(q is None for _, q in rows)
+    distinct = len({k for k, _ in rows})  # NULL counts as one value
+    out = sum(q is not None and not (0 <= q <= 3) for _, q in rows)
+    assert got["row_count_check"] == (n, n >= 1)
+    assert got["null_check_k"] == (nulls_k, n > 0 and nulls_k / n <= 0.25)
+    assert got["null_check_q"] == (nulls_q, n > 0 and nulls_q / n <= 0.25)
+    assert got["duplicate_check"] == (n - distinct, n == 0 or (n - distinct) / n <= 0.0)
+    assert got["range_check_q"] == (out, out == 0)
