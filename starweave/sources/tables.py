@@ -181,7 +181,8 @@ class TableStore:
 
 
 def publish_partitions(source: DataFrame, table_path: str, keys, update_cols, partition_col: str,
-                       now=None, only_changed: bool = True, sort_by=()) -> dict:
+                       now=None, only_changed: bool = True, sort_by=(),
+                       source_is_staged: bool = False) -> dict:
     """Type 1 upsert into a partitioned table, rewriting only touched partitions.
 
     Touched partitions are the new partitions of every source row plus the
@@ -198,7 +199,8 @@ def publish_partitions(source: DataFrame, table_path: str, keys, update_cols, pa
     if not exists(spark, table_path):
         rows = write(source, table_path, "overwrite", [partition_col], cluster_by=keys, sort_by=sort_by)
         return {"created": True, "rows": rows, "touched": None, "emptied": []}
-    source = stage(source, "source")
+    if not source_is_staged:  # read several times below: evaluate it once
+        source = stage(source, "source")
     target = spark.read.parquet(table_path)
     src_parts = source.select(partition_col)
     old_parts = (target.select(*keys, partition_col)
