@@ -30,6 +30,14 @@ from starweave.plans.star import Star, from_tables  # noqa: E402
 from starweave.sources import extracts, tables  # noqa: E402
 from starweave.sources.layout import zorder  # noqa: E402
 
+try:
+    from starweave.llm import queries as llm_queries  # noqa: E402
+    import corpus_pipeline  # noqa: E402
+except ModuleNotFoundError as missing:  # the subpackage may be absent; nothing else is excused
+    if missing.name not in ("starweave.llm", "corpus_pipeline"):
+        raise
+    llm_queries = corpus_pipeline = None
+
 SF0001 = "/root/testdata/sf0.001"
 # Fixed value: boundary between the first and the second load of the
 # incremental (upsert) scenarios; both loads together cover every row.
@@ -347,10 +355,17 @@ def q_rpt_channel(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
+    found = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
+    if llm_queries:
+        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_sql import oracle
     sql = oracle()
+    if llm_queries:
+        sql |= llm_queries.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return {k: v for k, v in sql.items() if k in queries()}
