@@ -96,11 +96,15 @@ def words(buf: np.ndarray, off: np.ndarray, member: np.ndarray = NOT_SPACE) -> t
     last = inside.copy()
     last[:-1] &= ~inside[1:] | start[1:]
     s, e = np.flatnonzero(start), np.flatnonzero(last) + 1
-    up, down = _powers(n)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(VALUES[buf] * up[:n], out=total[1:])
-    h = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
-    return h, np.searchsorted(s, off), s, e
+    return hashes(buf, s, e), np.searchsorted(s, off), s, e
+
+
+def hashes(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """The hash of each stretch ``buf[s:e]``."""
+    up, down = _powers(len(buf))
+    total = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(VALUES[buf] * up[: len(buf)], out=total[1:])
+    return mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
 
 
 def shingles(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
