@@ -131,3 +131,48 @@ def shingles(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.n
         keep[lo] = True
     at = np.flatnonzero(keep)
     return mix(g[at]), np.searchsorted(at, first)
+
+
+class Memo:
+    """Whole numbers by 64-bit hash, looked up and stored in bulk (open addressing). Hash 0 stands for 1."""
+
+    def __init__(self, size: int):
+        self.slots = 1 << max(8, (4 * size).bit_length())
+        self.shift = np.uint64(64 - self.slots.bit_length() + 1)
+        self.keys = np.zeros(self.slots, np.uint64)
+        self.numbers = np.zeros(self.slots, np.int32)
+        self.count = 0
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The stored numbers, -1 where there is none."""
+        out = np.full(len(h), -1, np.int32)
+        h = np.maximum(h, np.uint64(1))
+        slot, left = (h >> self.shift).astype(np.int64), np.arange(len(h))
+        while len(left):
+            key = self.keys[slot]
+            same = key == h[left]
+            out[left[same]] = self.numbers[slot[same]]
+            more = ~same & (key != 0)
+            left, slot = left[more], (slot[more] + 1) & (self.slots - 1)
+        return out
+
+    def put(self, h: np.ndarray, numbers: np.ndarray) -> None:
+        """Store new, distinct hashes."""
+        self.count += len(h)
+        h = np.maximum(h, np.uint64(1))
+        if 2 * self.count > self.slots:  # a batch of very many new words: a larger table
+            held = np.flatnonzero(self.keys)
+            old, own = self.keys[held], self.numbers[held]
+            self.__init__(2 * self.count)
+            self.put(old, own)
+            self.count += len(h)
+        slot = (h >> self.shift).astype(np.int64)
+        while len(h):
+            free = np.flatnonzero(self.keys[slot] == 0)
+            _, one = np.unique(slot[free], return_index=True)  # of several that want a place, one gets it
+            won = free[one]
+            self.keys[slot[won]] = h[won]
+            self.numbers[slot[won]] = numbers[won]
+            lost = np.ones(len(h), bool)
+            lost[won] = False
+            h, numbers, slot = h[lost], numbers[lost], (slot[lost] + 1) & (self.slots - 1)

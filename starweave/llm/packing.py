@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from ._tokens import NOT_SPACE, byte_class, chunks, hashes
+from ._tokens import NOT_SPACE, Memo, byte_class, chunks, hashes
 
 CAPACITY = 2048
 END_ID = 1
@@ -76,12 +76,9 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(CACHE * 4, np.uint64)  # open addressing; 0 is free
-        self.number = np.zeros(CACHE * 4, np.int32)
-        self.shift = np.uint64(64 - (CACHE * 4).bit_length() + 1)
+        self.memo = Memo(CACHE)
         self.flat = np.zeros(1 << 20, np.uint32)
         self.start = np.zeros(CACHE + 1, np.int64)
-        self.count = 0
 
     def encode_plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -95,20 +92,9 @@ class Encoder:
                 return [t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(_BYTE_CHARS))]
         return self.encode_plain(text)
 
-    def _find(self, h: np.ndarray) -> np.ndarray:
-        """Numbers of the atoms, -1 where unknown."""
-        out = np.full(len(h), -1, np.int32)
-        slot, left = (h >> self.shift).astype(np.int64), np.arange(len(h))
-        while len(left):
-            key = self.keys[slot]
-            same = key == h[left]
-            out[left[same]] = self.number[slot[same]]
-            more = ~same & (key != 0)
-            left, slot = left[more], (slot[more] + 1) & (len(self.keys) - 1)
-        return out
-
     def _learn(self, h: np.ndarray, ids: list[list[int]]) -> None:
-        n, total = self.count, int(self.start[self.count])
+        n = self.memo.count
+        total = int(self.start[n])
         if n + len(h) >= len(self.start):
             self.start = np.concatenate([self.start, np.zeros(len(h) + CACHE, np.int64)])
         ends = total + np.cumsum([len(i) for i in ids])
@@ -116,25 +102,14 @@ class Encoder:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[total: ends[-1]] = np.fromiter(chain.from_iterable(ids), np.uint32, ends[-1] - total)
         self.start[n + 1: n + 1 + len(h)] = ends
-        number = np.arange(n, n + len(h), dtype=np.int32)
-        slot = (h >> self.shift).astype(np.int64)
-        while len(h):
-            free = np.flatnonzero(self.keys[slot] == 0)
-            _, one = np.unique(slot[free], return_index=True)  # of several new atoms, one gets the place
-            won = free[one]
-            self.keys[slot[won]] = h[won]
-            self.number[slot[won]] = number[won]
-            lost = np.ones(len(h), bool)
-            lost[won] = False
-            h, number, slot = h[lost], number[lost], (slot[lost] + 1) & (len(self.keys) - 1)
-        self.count = n + len(number) if len(number) else int(n + len(ids))
+        self.memo.put(h, np.arange(n, n + len(h), dtype=np.int32))
 
     def encode(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of a run of texts, one after the other, and where each begins (one more entry at the end)."""
         n = len(buf)
         if not n:
             return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
-        if self.count > CACHE:
+        if self.memo.count > CACHE:
             self._clear()
         inside = NOT_SPACE[buf]
         letter = _LETTER[buf]
@@ -152,15 +127,15 @@ class Encoder:
         last = inside.copy()
         last[:-1] &= ~inside[1:] | border[1:n]
         s, e = np.flatnonzero(start), np.flatnonzero(last) + 1
-        h = hashes(buf, s, e) | np.uint64(1)
-        which = self._find(h)
+        h = hashes(buf, s, e)
+        which = self.memo.find(h)
         new = np.flatnonzero(which < 0)
         if len(new):
             distinct, at = np.unique(h[new], return_index=True)
             at = new[at]
             raw = buf.tobytes()
             self._learn(distinct, [self._atom(raw[a:b]) for a, b in zip(s[at].tolist(), e[at].tolist(), strict=True)])
-            which[new] = self._find(h[new])
+            which[new] = self.memo.find(h[new])
         begin = self.start[which]
         size = self.start[which + 1] - begin
         ends = np.cumsum(size)
