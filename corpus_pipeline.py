@@ -10,11 +10,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starweave.llm import near_dedup
+from starweave.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
 from starweave.llm._cluster import ensure_checkpoint_dir
 
 STAGES = [
+    ("toxicity", toxicity.stage),
+    ("line_dedup", line_dedup.stage),
     ("minhash_near_dedup", near_dedup.stage),
+    ("benchmark_decontamination", decontaminate.stage),
+    ("packing", packing.stage),
 ]
 
 #: Near-duplicate search, a learned toxicity model and the tokenizer are beyond SQL; tests compare with brute force.

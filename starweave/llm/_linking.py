@@ -1,14 +1,14 @@
 """Links between classes of texts that share a MinHash band, and their components.
 
 Nodes are classes of equal texts (``cls``, the MD5 digest), so copies never
-become pairs. The work is done in two rounds, neither of which lists all pairs
-of a bucket:
-
-1. Each class is compared with one hub: the smallest class of a bucket, the one
-   it meets in the most bands. Exact verification, then components.
-2. Buckets that still hold several components are searched in blocks: only
-   pairs across components, tested on whole signatures, go on to the exact
-   verification. A pair inside a component would change nothing.
+become pairs. No step lists all pairs of a bucket:
+
+1. In rounds, each class is compared with a few hubs: members that come first in
+   the round's order of a bucket, taken where the two meet in the most bands.
+   Exact verification, then components. Large groups of near copies collapse
+   here.
+2. Buckets that still hold several components are searched in blocks, for links
+   across components only: a pair inside a component would change nothing.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -24,7 +23,9 @@ from ._cluster import checkpointed, small_side
 from ._tokens import NOT_SPACE, chunks, shingles, words
 
 #: Rows of a bucket that one block of the second round holds.
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 512
+#: Rounds of hubs, and hubs that a class tries in each.
+ROUNDS, TRIES = 2, 6
 #: Standard deviations below the threshold at which a signature still passes.
 SIGMAS = 5.0
 
@@ -60,7 +61,7 @@ def components(edges: DataFrame) -> DataFrame:
             .union(edges.select(F.col("a").alias("node"), F.col("a").alias("comp"))).distinct())
 
 
-def verified(pairs: DataFrame, texts: DataFrame, jaccard: float, k: int, extra: Callable | None = None) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, jaccard: float, k: int) -> DataFrame:
     """The ``pairs(a, b)`` whose texts' sets of ``k``-word shingles have the exact Jaccard or more.
 
     ``texts(cls, text)`` has one row for each class. The threshold is compared
@@ -93,65 +94,103 @@ def verified(pairs: DataFrame, texts: DataFrame, jaccard: float, k: int, extra:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a binary, b binary")
 
 
+def _lift(edges: DataFrame, comp: DataFrame) -> DataFrame:
+    """Edges between classes as edges between their components of ``comp(cls, comp)``."""
+    return (edges.join(comp.select(F.col("cls").alias("a"), F.col("comp").alias("ca")), "a", "left")
+            .join(comp.select(F.col("cls").alias("b"), F.col("comp").alias("cb")), "b", "left")
+            .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+
+
+def _join_components(comp: DataFrame, edges: DataFrame) -> DataFrame:
+    """``comp(cls, comp)`` after linking the components that ``edges(a, b)`` connect."""
+    merged = checkpointed(components(_lift(edges, comp)))
+    return checkpointed(comp.join(merged.withColumnRenamed("comp", "upper"), comp["comp"] == merged["node"], "left")
+                        .select("cls", F.coalesce("upper", "comp").alias("comp")))
+
+
+def _mixed(shared: DataFrame, comp: DataFrame) -> DataFrame:
+    """The rows ``band, cls, comp`` of buckets that hold several components."""
+    owned = shared.select("band", "cls").join(comp, "cls")
+    several = owned.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("band")
+    return checkpointed(owned.join(several, "band"))
+
+
+def _across(mixed: DataFrame, sketches: DataFrame, texts: DataFrame, jaccard: float, k: int) -> DataFrame:
+    """Links between members of a bucket that lie in two components.
+
+    Buckets are searched in blocks of ``BLOCK_ROWS`` members against blocks.
+    Pairs whose signatures allow the threshold are verified on the spot, on
+    whole texts; only links leave the task, never candidates.
+    """
+    blocks = mixed.groupBy("band").agg(F.expr(f"CAST(ceil(count(*) / {BLOCK_ROWS}) AS INT)").alias("blocks"))
+    member = (mixed.join(blocks, "band").join(sketches, "cls").join(texts, "cls")
+              .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+              .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))))
+    member = member.select("band", "cls", "comp", "sketch", "text", "own",
+                           F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    per_mille = round(jaccard * 1000)
+
+    def search(table: pa.Table) -> pa.Table:
+        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
+        cls = table["cls"].to_pylist()
+        numbers: dict[bytes, int] = {}
+        comp = np.array([numbers.setdefault(c, len(numbers)) for c in table["comp"].to_pylist()])
+        i, j, own = table["i"][0].as_py(), table["j"][0].as_py(), table["own"].to_numpy()
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        least = (jaccard - SIGMAS * np.sqrt(jaccard * (1 - jaccard) / sketch.shape[1])) * sketch.shape[1]
+        sets = []
+        for lo, hi, buf, off in chunks(table["text"]):
+            h, first, *_ = words(buf, off, NOT_SPACE)
+            g, at = shingles(h, first, k)
+            sets += [np.unique(g[at[n]: at[n + 1]]) for n in range(hi - lo)]
+        size = np.array([len(x) for x in sets])
+        ptr = np.concatenate([[0], np.cumsum(size)])
+        _, flat = np.unique(np.concatenate(sets), return_inverse=True)  # shingles by number
+        held = np.zeros(flat.max(initial=-1) + 2, bool)
+        out = []
+        for x in left.tolist():
+            y = right[right > x] if i == j else right  # inside one block, each pair once
+            y = y[comp[y] != comp[x]]
+            y = y[(sketch[y] == sketch[x]).sum(axis=1) >= least]
+            if not len(y):
+                continue
+            mine = flat[ptr[x]: ptr[x + 1]]
+            held[mine] = True
+            begin = np.cumsum(size[y]) - size[y]
+            both = np.add.reduceat(held[flat[np.repeat(ptr[y] - begin, size[y]) + np.arange(size[y].sum())]].astype(np.int64), begin)
+            held[mine] = False
+            out += [(cls[x], cls[z]) for z in y[1000 * both >= per_mille * (size[x] + size[y] - both)].tolist()]
+        return pa.table({"a": pa.array([a for a, _ in out], pa.binary()), "b": pa.array([b for _, b in out], pa.binary())})
+
+    return member.groupBy("band", "i", "j").applyInArrow(search, "a binary, b binary").distinct()
+
+
 def link(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], jaccard: float, k: int) -> DataFrame:
-    """``(cls, comp)`` of every class that is linked with another one.
+    """``(cls, comp)`` of every class that shares a bucket with another one.
 
     ``classes(cls binary, bands array<bigint>, sketch binary)``: one row for
     each distinct text, checkpointed. ``texts_of(needed)`` gives ``(cls,
     text)`` of the classes in ``needed(cls)``.
     """
     rows = classes.select("cls", F.explode("bands").alias("band"))
-    buckets = rows.groupBy("band").agg(F.min("cls").alias("hub"), F.max("cls").alias("top")).filter("hub < top")
-    shared = checkpointed(rows.join(buckets.select("band", "hub"), "band"))
-    # Round 1: the hub a class meets most often.
-    star = (shared.filter("cls <> hub").groupBy("cls", "hub").agg(F.count("*").alias("n"))
-            .groupBy("cls").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub")))
-    star = checkpointed(star.select(F.col("hub").alias("a"), F.col("cls").alias("b")))
+    buckets = rows.groupBy("band").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi")
+    shared = checkpointed(rows.join(buckets.select("band"), "band"))
     needed = checkpointed(shared.select("cls").distinct())
     texts = checkpointed(texts_of(small_side(needed, 48)))
-    first = checkpointed(verified(star, texts, jaccard, k))
-    comp = checkpointed(components(first))
-    # Round 2: buckets of several components, in blocks.
-    node = comp.select(F.col("node").alias("cls"), "comp")
-    owned = shared.select("band", "cls").join(node, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    owned = checkpointed(owned)
-    mixed = (owned.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
-             .filter("lo < hi").select("band", F.expr(f"CAST(ceil(n / {BLOCK_ROWS}) AS INT)").alias("blocks")))
-    member = (owned.join(mixed, "band").join(classes.select("cls", "sketch"), "cls")
-              .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-              .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))))
-    member = member.select("band", "cls", "comp", "sketch", "own",
-                           F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-
-    def search(frame: pd.DataFrame) -> pd.DataFrame:
-        sketch = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(len(frame), -1)
-        cls, comp = frame["cls"].to_numpy(), frame["comp"].to_numpy()
-        _, comp_id = np.unique(np.array([c.hex() for c in comp]), return_inverse=True)
-        i, j, own = int(frame["i"].iloc[0]), int(frame["j"].iloc[0]), frame["own"].to_numpy()
-        left = np.flatnonzero(own == i)
-        right = np.flatnonzero(own == j)
-        width = sketch.shape[1]
-        least = (jaccard - SIGMAS * np.sqrt(jaccard * (1 - jaccard) / width)) * width
-        out_a, out_b = [], []
-        for x in left:
-            # Inside one block, each pair once.
-            y = right[right > x] if i == j else right
-            y = y[comp_id[y] != comp_id[x]]
-            if len(y):
-                y = y[(sketch[y] == sketch[x]).sum(axis=1) >= least]
-                out_a += [min(cls[x], cls[z]) for z in y]
-                out_b += [max(cls[x], cls[z]) for z in y]
-        return pd.DataFrame({"a": out_a, "b": out_b})
-
-    across = member.groupBy("band", "i", "j").applyInPandas(search, "a binary, b binary").distinct()
-    second = verified(across, texts, jaccard, k)
-    # Components of the first round's components.
-    to = comp.select("node", "comp")
-    lifted = (second.join(to.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left")
-              .join(to.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
-              .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-    merged = checkpointed(components(lifted))
-    up = merged.select(F.col("node").alias("comp"), F.col("comp").alias("upper"))
-    return (comp.select("node", "comp").union(merged.join(comp, "node", "left_anti").select("node", F.col("node").alias("comp")))
-            .join(up, "comp", "left")
-            .select(F.col("node").alias("cls"), F.coalesce("upper", "comp").alias("comp")).distinct())
+    comp = needed.select("cls", F.col("cls").alias("comp"))
+    mixed = shared.select("band", "cls", F.col("cls").alias("comp"))
+    # What a group's copies were made from meets more of them than they meet each other: the best hub.
+    crowd = shared.groupBy("band").agg(F.count("*").alias("c"))
+    degree = checkpointed(shared.select("band", "cls").join(crowd, "band").groupBy("cls").agg(F.sum("c").alias("degree")))
+    for n in range(ROUNDS):
+        rank = F.struct(("degree" if n == 0 else F.pmod(F.xxhash64(F.lit(n), "cls"), F.lit(1 << 40)) * F.log("degree")), "cls", "comp")
+        hubs = mixed.join(degree, "cls").groupBy("band").agg(F.max(rank).alias("hub"))
+        met = (mixed.join(hubs, "band").filter("comp <> hub.comp").groupBy("cls", F.col("hub.cls").alias("hub")).agg(F.count("*").alias("n")))
+        star = (met.groupBy("cls").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "hub")), False), 1, TRIES).alias("try"))
+                .select("cls", F.explode("try.hub").alias("hub")))
+        pairs = star.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
+        found = checkpointed(verified(pairs, texts, jaccard, k))
+        comp = _join_components(comp, found)
+        mixed = _mixed(shared, comp)
+    rest = checkpointed(_across(mixed, classes.select("cls", "sketch"), texts, jaccard, k))
+    return _join_components(comp, rest)

@@ -27,6 +27,8 @@ SHINGLE = 5
 JACCARD = 0.75
 #: 40 bands of 5 rows: a pair at the threshold is missed once in 50,000 times.
 BANDS, ROWS = 40, 5
+#: Coordinates whose lowest byte is kept to estimate the similarity of a pair.
+SKETCH = 128
 
 
 def _pi(x: np.ndarray) -> None:
@@ -72,7 +74,7 @@ def describe(frame: DataFrame, keys: str, shingle: int, bands: int, rows: int) -
                 n = [len(np.unique(g[at[i]: at[i + 1]])) for i in range(hi - lo)]
                 have = np.flatnonzero(at[:-1] < at[1:])
                 sig = signatures(g, at, bands * rows) if len(have) else np.zeros((0, bands * rows), np.uint32)
-                key, sketch = band_keys(sig, bands, rows), (sig & np.uint32(255)).astype(np.uint8)
+                key, sketch = band_keys(sig, bands, rows), (sig[:, :SKETCH] & np.uint32(255)).astype(np.uint8)
                 ends = np.zeros(hi - lo + 1, np.int32)
                 ends[1:][have] = bands
                 np.cumsum(ends, out=ends)

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from .near_dedup import op10_minhash_near_dedup
+from . import decontaminate, line_dedup, near_dedup, packing, sharding, toxicity
 
 QUERIES = {f.__name__: f for f in (
-    op10_minhash_near_dedup,
+    decontaminate.op2_benchmark_decontamination,
+    sharding.op5_sharding,
+    toxicity.op6_toxicity,
+    packing.op7_packing,
+    line_dedup.op9_line_dedup,
+    near_dedup.op10_minhash_near_dedup,
 )}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op2_benchmark_decontamination": decontaminate.ORACLE_SQL,
+    "op5_sharding": sharding.ORACLE_SQL,
+    "op9_line_dedup": line_dedup.ORACLE_SQL,
+}
