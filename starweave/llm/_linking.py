@@ -169,11 +169,11 @@ def link(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], jaccard
     """``(cls, comp)`` of every class that shares a bucket with another one.
 
     ``classes(cls binary, bands array<bigint>, sketch binary)``: one row for
-    each distinct text, checkpointed. ``texts_of(needed)`` gives ``(cls,
+    each distinct text, its bands distinct, checkpointed. ``texts_of(needed)`` gives ``(cls,
     text)`` of the classes in ``needed(cls)``.
     """
     rows = classes.select("cls", F.explode("bands").alias("band"))
-    buckets = rows.groupBy("band").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi")
+    buckets = rows.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1")  # a class is in a bucket once
     shared = checkpointed(rows.join(buckets.select("band"), "band"))
     needed = checkpointed(shared.select("cls").distinct())
     texts = checkpointed(texts_of(small_side(needed, 48)))

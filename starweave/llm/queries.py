@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, near_dedup, packing, sharding, toxicity
+from . import decontaminate, fingerprints, language_id, line_dedup, near_dedup, packing, quality, sharding, substring_dedup, toxicity
 
 QUERIES = {f.__name__: f for f in (
+    fingerprints.op1_fingerprints,
     decontaminate.op2_benchmark_decontamination,
+    language_id.op3_language_id,
+    substring_dedup.op4_substring_dedup,
     sharding.op5_sharding,
     toxicity.op6_toxicity,
     packing.op7_packing,
+    quality.op8_quality_classifier,
     line_dedup.op9_line_dedup,
     near_dedup.op10_minhash_near_dedup,
 )}
