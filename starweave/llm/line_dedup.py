@@ -35,8 +35,8 @@ MIN_CHARS = 25
 _NO_ID = -(1 << 63)
 
 
-def _keys(text: Column = F.col("text")) -> list[Column]:
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("d"), F.xxhash64(text).alias("t")]
+def _keys() -> list[Column]:
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("d"), F.xxhash64("text").alias("t")]
 
 
 def repeated_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -84,7 +84,7 @@ def _edited(docs: DataFrame, min_chars: int) -> DataFrame:
     """The documents as ``row`` (all columns), with ``kept`` (text), ``had`` and ``lost`` (numbers of lines)."""
     cut = checkpointed(deletions(docs.select("doc_id", "text"), min_chars))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
-    whole = whole.select("row", "text", *_keys(F.coalesce("text", F.lit(""))))
+    whole = whole.select("row", "text", *_keys())
     both = whole.join(small_side(cut, 256), ["d", "t"], "left").withColumn("part", F.split("text", "\n", -1))
 
     def upto(stretch: Column, i: Column) -> Column:
