@@ -339,9 +339,9 @@ def _suite(table: str, source: str, min_rows=None, nulls=(), dup=None, ranges=()
 
 
 def _ri(table: str, fk: str, dim: str, pk: str) -> str:
-    q = (f"(SELECT count(*) AS o FROM (SELECT DISTINCT {fk} AS k FROM fact) f "
-         f"WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{pk} = f.k))")
-    return _check(table, f"ref_integrity_{fk}", "o", "o", "NULL", "o = 0") + f" FROM {q}"
+    q = (f"(SELECT count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{pk} = f.k)) AS o, count(*) AS n "
+         f"FROM (SELECT DISTINCT {fk} AS k FROM fact) f)")
+    return _check(table, f"ref_integrity_{fk}", "o", "n", "NULL", "o = 0") + f" FROM {q}"
 
 
 FACT_COLS = ("customer_sk, product_sk, order_date_sk, ship_date_sk, geography_sk, order_id, order_line_id, "
@@ -355,10 +355,10 @@ PHONE_RE = r"^\+?[0-9-]+$"
 SILVER_C_SUITE = dict(min_rows=1, nulls=("customer_id", "email", "full_name", "country"), dup=("customer_id",))
 SILVER_P_SUITE = dict(min_rows=1, nulls=("product_id", "product_name", "unit_price"), dup=("product_id",),
                       ranges=(("unit_price", 0, None), ("unit_cost", 0, None)))
-SILVER_O_SUITE = dict(min_rows=1, nulls=("order_id", "order_line_id", "customer_id", "product_id"),
+SILVER_O_SUITE = dict(min_rows=1, nulls=("order_id", "order_line_id", "customer_id", "product_id", "order_date"),
                       dup=("order_line_id",),
                       ranges=(("quantity", 1, None), ("unit_price", 0, None), ("net_revenue", 0, None)))
-FACT_SUITE = dict(min_rows=1, nulls=("order_line_id", "customer_sk", "product_sk"), dup=("order_line_id",),
+FACT_SUITE = dict(min_rows=1, nulls=("order_line_id", "customer_sk", "product_sk", "order_date_sk"), dup=("order_line_id",),
                   ranges=(("quantity", 1, None), ("net_revenue", 0, None), ("gross_profit", None, None)))
 
 

@@ -16,6 +16,11 @@ def upper_clean(c: "Column | str") -> Column:
     return F.upper(F.trim(col(c)))
 
 
+def key_clean(c: "Column | str") -> Column:
+    """A business key: upper case without surrounding spaces; a blank one is NULL."""
+    return F.nullif(upper_clean(c), F.lit(""))
+
+
 def lower_clean(c: "Column | str") -> Column:
     return F.lower(F.trim(col(c)))
 

@@ -1,33 +1,19 @@
-"""Left lookups of dimension attributes, broadcasting only bounded sides.
+"""Left lookups of dimension attributes.
 
-``bounded_broadcast`` proves a size bound before it hints a broadcast: it
-counts at most ``max_rows + 1`` rows of the dimension (a bounded job that
-stops early). Under the bound the dimension is broadcast, so the fact is
-never shuffled for it; above it the plain DataFrame is returned and Spark
-plans a shuffle join (AQE can still switch strategy or split skewed
-partitions at run time).
+Only the key and the wanted attributes of a dimension are read. No side is
+hinted: Spark broadcasts a dimension whose statistics prove it small enough
+(``spark.sql.autoBroadcastJoinThreshold``), at planning or, with adaptive
+execution, once its shuffle shows the size; otherwise the join is shuffled and
+skewed partitions are split at run time.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Default bound: a million narrow rows (key + a few attributes) is tens of MB.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
-
-def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    if not max_rows or max_rows <= 0:
-        return dim
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
-def lookup(fact: DataFrame, dim: DataFrame, fact_keys, dim_keys, columns: dict,
-           max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-           null_safe: bool = False) -> DataFrame:
+def lookup(fact: DataFrame, dim: DataFrame, fact_keys, dim_keys, columns: dict) -> DataFrame:
     """Left-join ``dim`` and add ``columns`` ({new_name: dim_column}).
 
-    Only the join keys and the requested columns of the dimension are read.
     Unmatched fact rows are kept with NULLs. A dimension with a repeated
     key would fan the fact out, so dimensions are built one row per key.
     """
@@ -35,8 +21,6 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_keys, dim_keys, columns: dict,
     dim_keys = [dim_keys] if isinstance(dim_keys, str) else list(dim_keys)
     side = dim.select(*[F.col(k).alias(f"__lk{i}") for i, k in enumerate(dim_keys)],
                       *[F.col(src).alias(dst) for dst, src in columns.items()])
-    side = bounded_broadcast(side, max_broadcast_rows)
-    cond = [(F.col(fk).eqNullSafe(side[f"__lk{i}"]) if null_safe else F.col(fk) == side[f"__lk{i}"])
-            for i, fk in enumerate(fact_keys)]
+    cond = [F.col(fk) == side[f"__lk{i}"] for i, fk in enumerate(fact_keys)]
     out = fact.join(side, cond, "left")
     return out.drop(*[f"__lk{i}" for i in range(len(dim_keys))])

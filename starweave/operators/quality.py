@@ -30,8 +30,6 @@ NULL_THRESHOLD = 0.05
 DUPLICATE_THRESHOLD = 0.01
 MIN_ROW_COUNT = 1
 
-RESULT_COLUMNS = ["table_name", "check_name", "observed", "total", "threshold", "passed"]
-
 
 @dataclass(frozen=True)
 class Check:
@@ -131,23 +129,26 @@ def run_checks(df: DataFrame, table: str, checks) -> DataFrame:
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
-def referential_integrity(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                          table: str, max_broadcast_rows: int | None = None) -> DataFrame:
+def referential_integrity(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, table: str) -> DataFrame:
     """Distinct foreign keys of ``fact`` absent from ``dim`` (a NULL key is one orphan).
 
-    The distinct is a partial + final aggregate, so the anti join sees one
-    row per key; its output is already hash-partitioned on the key, so only
-    the dimension keys are shuffled to meet it.
+    ``observed`` counts the orphans, ``total`` the distinct foreign keys. The
+    distinct is a partial + final aggregate, so the join sees one row per key;
+    its output is already hash-partitioned on the key, so only the dimension
+    keys are shuffled to meet it.
     """
-    from .lookup import bounded_broadcast
-
     fks = fact.select(F.col(fact_key).alias("__fk")).distinct()
-    pks = dim.select(F.col(dim_key).alias("__pk"))
-    if max_broadcast_rows:
-        pks = bounded_broadcast(pks, max_broadcast_rows)
-    orphans = fks.join(pks, fks["__fk"] == pks["__pk"], "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("__o")).select(F.inline(F.array(
-        _row(table, f"ref_integrity_{fact_key}", F.col("__o"), F.col("__o"), None, F.col("__o") == 0))))
+    pks = dim.select(F.col(dim_key).alias("__pk")).distinct()
+    met = fks.join(pks, fks["__fk"] == pks["__pk"], "left")
+    return met.agg(F.count_if(F.col("__pk").isNull()).alias("__o"), F.count(F.lit(1)).alias("__t")).select(F.inline(F.array(
+        _row(table, f"ref_integrity_{fact_key}", F.col("__o"), F.col("__t"), None, F.col("__o") == 0))))
+
+
+def overall(results: DataFrame) -> DataFrame:
+    """One row per table: its number of checks, how many failed, and whether all passed."""
+    return results.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("checks"), F.count_if(~F.col("passed")).alias("failed"),
+        F.min("passed").alias("passed"))
 
 
 def row_counts(tables: dict) -> DataFrame:
@@ -161,9 +162,12 @@ def row_counts(tables: dict) -> DataFrame:
     return out
 
 
-def enforce(results: DataFrame) -> DataFrame:
-    """Fail the consuming job if any check failed (gate a write on the suite)."""
-    return results.withColumn("passed", F.when(
-        ~F.col("passed"),
-        F.raise_error(F.concat(F.lit("data-quality check failed: "), F.col("table_name"),
-                               F.lit(" "), F.col("check_name")))).otherwise(F.col("passed")))
+class CheckFailed(RuntimeError):
+    """A gated suite had failing checks."""
+
+
+def enforce(results: DataFrame, shown: int = 20) -> None:
+    """Raise if any check failed. An action of its own, so no consumer can prune it away."""
+    failed = results.filter(~F.col("passed")).select("table_name", "check_name").limit(shown).collect()
+    if failed:
+        raise CheckFailed("data-quality check failed: " + ", ".join(f"{r.table_name} {r.check_name}" for r in failed))

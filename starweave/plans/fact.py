@@ -8,16 +8,15 @@ Lookups (all left joins, unmatched keys stay NULL and the row is kept):
   fact needs one customer lookup, not two;
 * product → ``product_sk`` and the current ``unit_cost``.
 
-Each dimension is broadcast only under a proven row bound
-(``operators.lookup.bounded_broadcast``); a larger one is joined by
-shuffle. The calendar is always small (366 rows per year).
+Spark broadcasts a dimension whose statistics prove it small; a larger one is
+joined by shuffle.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import metrics
-from ..operators.lookup import DEFAULT_BROADCAST_ROWS, lookup
+from ..operators.lookup import lookup
 from ..sources.ingest import _ts
 from .dimensions import geography_bk
 
@@ -35,32 +34,28 @@ FACT_UPDATE_COLUMNS = [
     "gross_profit_pct", "days_to_ship", "order_date"]
 
 
-def customer_keys(dim_customer: DataFrame, dim_geography: DataFrame,
-                  max_broadcast_rows=DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def customer_keys(dim_customer: DataFrame, dim_geography: DataFrame) -> DataFrame:
     """customer_bk → customer_sk, geography_sk (resolved on the dimension side)."""
     cust = dim_customer.select("customer_bk", "customer_sk",
                                geography_bk().alias("__geo_bk"))
     cust = lookup(cust, dim_geography, "__geo_bk", "geography_bk",
-                  {"geography_sk": "geography_sk"}, max_broadcast_rows)
+                  {"geography_sk": "geography_sk"})
     return cust.drop("__geo_bk")
 
 
-def resolve_dates(orders: DataFrame, dim_date: DataFrame,
-                  max_broadcast_rows=DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    f = lookup(orders, dim_date, "order_date", "full_date", {"order_date_sk": "date_key"}, max_broadcast_rows)
-    return lookup(f, dim_date, "ship_date", "full_date", {"ship_date_sk": "date_key"}, max_broadcast_rows)
+def resolve_dates(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
+    f = lookup(orders, dim_date, "order_date", "full_date", {"order_date_sk": "date_key"})
+    return lookup(f, dim_date, "ship_date", "full_date", {"ship_date_sk": "date_key"})
 
 
-def resolve_customers(orders: DataFrame, cust_keys: DataFrame,
-                      max_broadcast_rows=DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def resolve_customers(orders: DataFrame, cust_keys: DataFrame) -> DataFrame:
     return lookup(orders, cust_keys, "customer_id", "customer_bk",
-                  {"customer_sk": "customer_sk", "geography_sk": "geography_sk"}, max_broadcast_rows)
+                  {"customer_sk": "customer_sk", "geography_sk": "geography_sk"})
 
 
-def resolve_products(orders: DataFrame, dim_product: DataFrame,
-                     max_broadcast_rows=DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def resolve_products(orders: DataFrame, dim_product: DataFrame) -> DataFrame:
     return lookup(orders, dim_product, "product_id", "product_bk",
-                  {"product_sk": "product_sk", "unit_cost": "unit_cost"}, max_broadcast_rows)
+                  {"product_sk": "product_sk", "unit_cost": "unit_cost"})
 
 
 def with_measures(f: DataFrame) -> DataFrame:
@@ -74,13 +69,11 @@ def with_measures(f: DataFrame) -> DataFrame:
 
 
 def fact_sales(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-               dim_date: DataFrame, dim_geography: DataFrame, now=None,
-               max_broadcast_rows=DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               dim_date: DataFrame, dim_geography: DataFrame, now=None) -> DataFrame:
     f = orders.drop("created_at", "updated_at")
-    f = resolve_dates(f, dim_date, max_broadcast_rows)
-    f = resolve_customers(f, customer_keys(dim_customer, dim_geography, max_broadcast_rows),
-                          max_broadcast_rows)
-    f = resolve_products(f, dim_product, max_broadcast_rows)
+    f = resolve_dates(f, dim_date)
+    f = resolve_customers(f, customer_keys(dim_customer, dim_geography))
+    f = resolve_products(f, dim_product)
     f = with_measures(f)
     ts = _ts(now)
     return f.withColumns({"created_at": ts, "updated_at": ts}).select(*FACT_COLUMNS)

@@ -14,9 +14,11 @@ under one root folder:
 * layout (``cluster=True``): each new dimension version is z-ordered on its
   lookup columns and fact files are sorted by their keys inside each
   partition, for tight Parquet min/max statistics;
-* checks: the data-quality suites run on the new versions (one pass per
-  table) and are appended to an audit table; ``enforce=True`` fails the
-  load when a check fails.
+* checks: each table's suite runs on the staged frame before the table is
+  written (one pass per table). The results are appended to an audit table
+  first; with ``enforce=True`` the load then stops at a failed check, before the
+  tables of that layer are touched. Row counts of all tables close the load.
+* staged folders are dropped, and all but the last two versions of every table.
 
 Returns the check results of this load as a DataFrame.
 """
@@ -25,11 +27,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from ..operators.quality import enforce as enforce_checks, run_checks
+from ..operators.quality import enforce as enforce_checks, row_counts, run_checks
 from ..sources import tables
 from ..sources.contracts import CRM_CUSTOMERS, ECOM_ORDERS, ERP_PRODUCTS, Contract
 from ..sources.csv import CORRUPT_COLUMN
-from ..sources.ingest import ingest
+from ..sources.ingest import check_schema, ingest
 from . import dimensions, fact, silver, suites
 
 # The calendar range of the warehouse, and the columns each
@@ -54,78 +56,112 @@ def bronze_schema(contract: Contract) -> StructType:
 
 
 def read_bronze(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
-    # Explicit schema: a string partition column would otherwise come back as DATE.
-    return spark.read.schema(bronze_schema(contract)).parquet(f"{root}/bronze/{contract.name}")
+    """All landed rows of an extract: batches, and what the stream landed beside them.
+
+    Columns have the contract's types whatever the folder names look like;
+    columns that later batches added come along.
+    """
+    schema = bronze_schema(contract)
+    found = [tables.read(spark, f"{root}/{place}/{contract.name}", schema) for place in ("bronze", "bronze_stream")
+             if tables.exists(spark, f"{root}/{place}/{contract.name}")]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out
+
+
+def stream_target(root: str, contract: Contract) -> str:
+    """Where ``streaming.land`` puts an extract's stream. It has a folder of its own: the streaming sink keeps
+    a log there, and Spark then reads only the files of that log."""
+    return f"{root}/bronze_stream/{contract.name}"
 
 
 def load_batch(spark: SparkSession, root: str, sources: dict, batch_id: str, now=None,
-               calendar=(CALENDAR_START, CALENDAR_END), enforce: bool = False,
-               max_broadcast_rows=None, cluster: bool = True) -> DataFrame:
+               calendar=(CALENDAR_START, CALENDAR_END), enforce: bool = False, cluster: bool = True) -> DataFrame:
     """``sources`` maps extract name (crm_customers / erp_products / ecom_orders) to a CSV path."""
     store = tables.TableStore(spark, f"{root}/warehouse")
-    kw = {} if max_broadcast_rows is None else {"max_broadcast_rows": max_broadcast_rows}
     contracts = {c.name: c for c in (CRM_CUSTOMERS, ERP_PRODUCTS, ECOM_ORDERS)}
-
-    # Bronze
-    for name, path in sources.items():
-        c = contracts[name]
-        tables.append(ingest(spark, path, c, batch_id, now), f"{root}/bronze/{name}",
-                      partition_by=c.partition_by, cluster_by=c.key)
-
-    # Silver (one staged pass per table, then the two committed outputs)
-    tagged = {
-        "customers": (silver.tag_customers, CRM_CUSTOMERS, silver.CUSTOMER_COLUMNS),
-        "products": (silver.tag_products, ERP_PRODUCTS, silver.PRODUCT_COLUMNS),
-        "orders": (silver.tag_orders, ECOM_ORDERS, silver.ORDER_COLUMNS),
-    }
-    for name, (tag, contract, columns) in tagged.items():
-        staged = tables.stage(tag(read_bronze(spark, root, contract)), f"silver_{name}")
-        split = silver.split_tagged(staged, columns, now)
-        store.commit(f"silver_{name}", split.valid,
-                     partition_by=contract.partition_by, cluster_by=contract.key)
-        store.commit(f"quarantine_{name}", split.rejected)
-    s_cust, s_prod, s_ord = (store.read(f"silver_{n}") for n in ("customers", "products", "orders"))
-
-    # Gold dimensions (Type 1)
-    z = CLUSTER_COLUMNS if cluster else {}
-    store.merge("dim_customer", dimensions.dim_customer(s_cust, now), "customer_bk",
-                dimensions.CUSTOMER_UPDATE_COLUMNS, now, zorder_by=z.get("dim_customer", ()))
-    store.merge("dim_product", dimensions.dim_product(s_prod, now), "product_bk",
-                dimensions.PRODUCT_UPDATE_COLUMNS, now, zorder_by=z.get("dim_product", ()))
-    store.merge("dim_geography", dimensions.dim_geography(s_cust, now), "geography_bk",
-                dimensions.GEOGRAPHY_UPDATE_COLUMNS, now, zorder_by=z.get("dim_geography", ()))
-    if not store.exists("dim_date"):
-        cal = dimensions.dim_date(spark, *calendar)
-        store.commit("dim_date", cal.orderBy("date_key") if cluster else cal)
-    d_cust, d_prod, d_geo, d_date = (store.read(n) for n in
-                                     ("dim_customer", "dim_product", "dim_geography", "dim_date"))
-
-    # Gold fact, published into the touched order-date partitions
-    fact_path = f"{root}/warehouse/fact_sales"
-    new_fact = fact.fact_sales(s_ord, d_cust, d_prod, d_date, d_geo, now, **kw)
-    tables.publish_partitions(new_fact, fact_path, ["order_line_id"], fact.FACT_UPDATE_COLUMNS + ["updated_at"],
-                              "order_date", now, sort_by=z.get("fact_sales", ()))
-    f = spark.read.parquet(fact_path)
-
-    # Checks
-    results = (run_checks(s_cust, "silver_customers", suites.SILVER_CUSTOMER_CHECKS)
-               .unionByName(run_checks(s_prod, "silver_products", suites.SILVER_PRODUCT_CHECKS))
-               .unionByName(run_checks(s_ord, "silver_orders", suites.SILVER_ORDER_CHECKS))
-               .unionByName(suites.dimension_checks(d_cust, "dim_customer", "customer_bk", "customer_sk"))
-               .unionByName(suites.dimension_checks(d_prod, "dim_product", "product_bk", "product_sk"))
-               .unionByName(suites.dimension_checks(d_geo, "dim_geography", "geography_bk", "geography_sk"))
-               .unionByName(run_checks(d_date, "dim_date", suites.CALENDAR_CHECKS))
-               .unionByName(run_checks(f, "fact_sales", suites.FACT_CHECKS))
-               .unionByName(suites.fact_integrity(f, d_cust, d_prod, d_date, d_geo)))
-    layers = [("SILVER", "silver_customers"), ("SILVER", "silver_products"), ("SILVER", "silver_orders"),
-              ("GOLD", "dim_customer"), ("GOLD", "dim_product"), ("GOLD", "dim_date"),
-              ("GOLD", "dim_geography")]
-    counts = store.row_counts(layers).select(
-        "table_name", F.lit("row_count_check").alias("check_name"), F.col("row_count").alias("observed"),
-        F.col("row_count").alias("total"), F.lit(None).cast("double").alias("threshold"),
-        F.coalesce(F.col("row_count") > 0, F.lit(False)).alias("passed"))
-    results = results.unionByName(counts.withColumn("table_name", F.concat(F.lit("layer:"), "table_name")))
-    results = results.withColumn("batch_id", F.lit(batch_id))
-    staged = tables.stage(enforce_checks(results) if enforce else results, "checks")
-    tables.append(staged, f"{root}/audit/dq_results")
-    return staged
+    staged: list = []
+    audit = f"{root}/audit/dq_results"
+
+    def gate(results: DataFrame) -> DataFrame:
+        """Keep the results, then stop the load if one of them failed."""
+        kept = tables.stage(results.withColumn("batch_id", F.lit(batch_id)), "checks", track=staged)
+        tables.append(kept, audit)
+        if enforce:
+            enforce_checks(kept)
+        return kept
+
+    try:
+        # Bronze
+        for name, path in sources.items():
+            c = contracts[name]
+            landed = ingest(spark, path, c, batch_id, now)
+            check_schema(landed, bronze_schema(c))
+            tables.append(landed, f"{root}/bronze/{name}", partition_by=c.partition_by, cluster_by=c.key)
+
+        # Silver: one staged pass per table, its checks, then the two outputs
+        tagged = {
+            "customers": (silver.tag_customers, CRM_CUSTOMERS, silver.CUSTOMER_COLUMNS, suites.SILVER_CUSTOMER_CHECKS),
+            "products": (silver.tag_products, ERP_PRODUCTS, silver.PRODUCT_COLUMNS, suites.SILVER_PRODUCT_CHECKS),
+            "orders": (silver.tag_orders, ECOM_ORDERS, silver.ORDER_COLUMNS, suites.SILVER_ORDER_CHECKS),
+        }
+        splits, results = {}, []
+        for name, (tag, contract, columns, checks) in tagged.items():
+            whole = tables.stage(tag(read_bronze(spark, root, contract)), f"silver_{name}", track=staged)
+            splits[name] = silver.split_tagged(whole, columns, now)
+            results.append(run_checks(splits[name].valid, f"silver_{name}", checks))
+        done = [gate(_union(results))]
+        for name, (_, contract, _, _) in tagged.items():
+            store.commit(f"silver_{name}", splits[name].valid, partition_by=contract.partition_by, cluster_by=contract.key)
+            store.commit(f"quarantine_{name}", splits[name].rejected)
+        s_cust, s_prod, s_ord = (store.read(f"silver_{n}", splits[n].valid.schema) for n in ("customers", "products", "orders"))
+
+        # Gold dimensions (Type 1)
+        z = CLUSTER_COLUMNS if cluster else {}
+        store.merge("dim_customer", dimensions.dim_customer(s_cust, now), "customer_bk",
+                    dimensions.CUSTOMER_UPDATE_COLUMNS, now, zorder_by=z.get("dim_customer", ()))
+        store.merge("dim_product", dimensions.dim_product(s_prod, now), "product_bk",
+                    dimensions.PRODUCT_UPDATE_COLUMNS, now, zorder_by=z.get("dim_product", ()))
+        store.merge("dim_geography", dimensions.dim_geography(s_cust, now), "geography_bk",
+                    dimensions.GEOGRAPHY_UPDATE_COLUMNS, now, zorder_by=z.get("dim_geography", ()))
+        if not store.exists("dim_date"):
+            cal = dimensions.dim_date(spark, *calendar)
+            store.commit("dim_date", cal.orderBy("date_key") if cluster else cal)
+        d_cust, d_prod, d_geo, d_date = (store.read(n) for n in ("dim_customer", "dim_product", "dim_geography", "dim_date"))
+
+        # Gold fact: staged, checked, then published into the partitions that change
+        fact_path = f"{root}/warehouse/fact_sales"
+        new_fact = tables.stage(fact.fact_sales(s_ord, d_cust, d_prod, d_date, d_geo, now), "fact", track=staged)
+        done.append(gate(_union([
+            suites.dimension_checks(d_cust, "dim_customer", "customer_bk", "customer_sk"),
+            suites.dimension_checks(d_prod, "dim_product", "product_bk", "product_sk"),
+            suites.dimension_checks(d_geo, "dim_geography", "geography_bk", "geography_sk"),
+            run_checks(d_date, "dim_date", suites.CALENDAR_CHECKS),
+            run_checks(new_fact, "fact_sales", suites.FACT_CHECKS),
+            suites.fact_integrity(new_fact, d_cust, d_prod, d_date, d_geo)])))
+        tables.publish_partitions(new_fact, fact_path, ["order_line_id"], fact.FACT_UPDATE_COLUMNS + ["updated_at"],
+                                  "order_date", now, sort_by=z.get("fact_sales", ()), source_is_staged=True)
+
+        # Row counts of all eleven tables
+        rows = {("BRONZE", c.name): read_bronze(spark, root, c) for c in contracts.values()}
+        rows |= {("SILVER", f"silver_{n}"): f for n, f in (("customers", s_cust), ("products", s_prod), ("orders", s_ord))}
+        rows |= {("GOLD", "dim_customer"): d_cust, ("GOLD", "dim_product"): d_prod, ("GOLD", "dim_date"): d_date,
+                 ("GOLD", "dim_geography"): d_geo, ("GOLD", "fact_sales"): tables.read(spark, fact_path, new_fact.schema)}
+        done.append(gate(row_counts(rows).select(
+            F.concat(F.lit("layer:"), "table_name").alias("table_name"), F.lit("row_count_check").alias("check_name"),
+            F.col("row_count").alias("observed"), F.col("row_count").alias("total"),
+            F.lit(None).cast("double").alias("threshold"), (F.col("row_count") > 0).alias("passed"))))
+        for name in [f"{k}_{n}" for k in ("silver", "quarantine") for n in tagged] + ["dim_customer", "dim_product", "dim_geography"]:
+            store.vacuum(name)
+        rows = _union(done).collect()  # a few rows per check; the staged folders go below
+        return spark.createDataFrame(rows, done[0].schema)
+    finally:
+        tables.drop_paths(spark, staged)
+
+
+def _union(parts: list) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

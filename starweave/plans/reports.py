@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DecimalType
 
 from ..functions.metrics import exact_avg
-from ..operators.lookup import bounded_broadcast
 
 AMOUNT = DecimalType(38, 2)
 
@@ -73,7 +72,7 @@ def by_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
                .agg(F.count("order_line_id").alias("__lines"),
                     F.sum("net_revenue").alias("__net"),
                     F.sum("gross_profit").alias("__profit")))
-    days = bounded_broadcast(dim_date.select(F.col("date_key").alias("order_date_sk"), "year_month"))
+    days = dim_date.select(F.col("date_key").alias("order_date_sk"), "year_month")
     j = per_day.join(days, "order_date_sk", "left")
     return (j.groupBy("year_month")
             .agg(F.sum("__lines").cast("bigint").alias("transactions"),

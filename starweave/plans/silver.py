@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import casts, metrics
-from ..functions.text import clean, join_names, lower_clean, phone_clean, title_clean, upper_clean
+from ..functions.text import clean, join_names, key_clean, lower_clean, phone_clean, title_clean, upper_clean
 from ..operators.dedup import keep_latest
 from ..operators.quarantine import REASONS, Split, tag_rules
 from ..sources.csv import CORRUPT_COLUMN
@@ -31,6 +31,7 @@ from ..sources.ingest import _ts
 
 AUDIT = ["source_system", "batch_id", "ingested_at"]
 
+# Names and order of the Silver tables' columns.
 CUSTOMER_COLUMNS = [
     "customer_id", "first_name", "last_name", "full_name", "email", "phone", "city", "state",
     "country", "zip_code", "customer_segment", "registration_date",
@@ -65,15 +66,15 @@ def _corrupt(bronze: DataFrame):
 def tag(bronze: DataFrame, standardise, key: str, tiebreak: list, rules: dict) -> DataFrame:
     """Latest row per key, with ``reject_reasons`` (empty = valid); one shuffle.
 
-    Rows without a key never enter the de-duplication: they are selected on
-    the raw key (the cleaned key is NULL exactly when the raw one is, and
-    Parquet can skip row groups on ``IS NULL``), standardised alike and
-    rejected by the ``missing_<key>`` rule. So they can neither collapse
-    into one row nor pile up in one task, and the result does not depend
-    on row order, which keeps a recomputed task exact after executor loss.
+    Rows without a key (NULL, or blank: both clean to NULL) never enter the
+    de-duplication: they are standardised alike and rejected by the
+    ``missing_<key>`` rule. So they can neither collapse into one row nor pile
+    up in one task, and the result does not depend on row order, which keeps a
+    recomputed task exact after executor loss.
     """
-    keyed = standardise(bronze.filter(F.col(key).isNotNull()))
-    unkeyed = standardise(bronze.filter(F.col(key).isNull()))
+    clean_rows = standardise(bronze)
+    keyed = clean_rows.filter(F.col(key).isNotNull())
+    unkeyed = clean_rows.filter(F.col(key).isNull())
     raw_cols = [c for c in keyed.columns if c.startswith("_raw_")]
     latest = keep_latest(keyed, key, "ingested_at", tiebreak + raw_cols)
     all_rules = {f"missing_{key}": F.col(key).isNotNull(), **rules,
@@ -91,7 +92,7 @@ def split_tagged(tagged: DataFrame, columns: list, now=None) -> Split:
 def standardise_customers(bronze: DataFrame) -> DataFrame:
     first, last = title_clean("first_name"), title_clean("last_name")
     return bronze.select(
-        upper_clean("customer_id").alias("customer_id"),
+        key_clean("customer_id").alias("customer_id"),
         first.alias("first_name"),
         last.alias("last_name"),
         join_names(first, last).alias("full_name"),
@@ -103,7 +104,9 @@ def standardise_customers(bronze: DataFrame) -> DataFrame:
         clean("zip_code").alias("zip_code"),
         upper_clean("customer_segment").alias("customer_segment"),
         casts.parse_date("registration_date").alias("registration_date"),
-        *AUDIT, *_corrupt(bronze))
+        *AUDIT,
+        F.col("registration_date").alias("_raw_registration_date"),
+        *_corrupt(bronze))
 
 
 def tag_customers(bronze: DataFrame) -> DataFrame:
@@ -118,7 +121,7 @@ def standardise_products(bronze: DataFrame) -> DataFrame:
     cost = casts.parse_decimal("unit_cost", 10, 2)
     price = casts.parse_decimal("unit_price", 10, 2)
     return bronze.select(
-        upper_clean("product_id").alias("product_id"),
+        key_clean("product_id").alias("product_id"),
         title_clean("product_name").alias("product_name"),
         title_clean("category").alias("category"),
         title_clean("sub_category").alias("sub_category"),
@@ -136,11 +139,15 @@ def standardise_products(bronze: DataFrame) -> DataFrame:
         F.col("unit_price").alias("_raw_unit_price"),
         F.col("weight_kg").alias("_raw_weight_kg"),
         F.col("is_active").alias("_raw_is_active"),
+        F.col("created_date").alias("_raw_created_date"),
         *_corrupt(bronze))
 
 
 def customer_rules() -> dict:
-    return {"missing_email": F.col("email").isNotNull()}
+    return {
+        "missing_email": F.col("email").isNotNull(),
+        "bad_registration_date": casts.parsed_ok("_raw_registration_date", "registration_date"),
+    }
 
 
 def product_rules() -> dict:
@@ -150,6 +157,7 @@ def product_rules() -> dict:
         "bad_unit_price": casts.parsed_ok("_raw_unit_price", "unit_price"),
         "bad_weight_kg": casts.parsed_ok("_raw_weight_kg", "weight_kg"),
         "bad_is_active": casts.parsed_ok("_raw_is_active", "is_active"),
+        "bad_created_date": casts.parsed_ok("_raw_created_date", "created_date"),
         "non_positive_cost": F.col("unit_cost") > 0,
         "non_positive_price": F.col("unit_price") > 0,
         "price_below_cost": F.col("unit_price") >= F.col("unit_cost"),
@@ -173,7 +181,7 @@ def standardise_orders(bronze: DataFrame) -> DataFrame:
     gross = metrics.gross_revenue(price, qty)
     return bronze.select(
         upper_clean("order_id").alias("order_id"),
-        upper_clean("order_line_id").alias("order_line_id"),
+        key_clean("order_line_id").alias("order_line_id"),
         upper_clean("customer_id").alias("customer_id"),
         upper_clean("product_id").alias("product_id"),
         order_date.alias("order_date"),
@@ -192,6 +200,8 @@ def standardise_orders(bronze: DataFrame) -> DataFrame:
         F.col("quantity").alias("_raw_quantity"),
         F.col("unit_price").alias("_raw_unit_price"),
         F.col("discount_pct").alias("_raw_discount_pct"),
+        F.col("order_date").alias("_raw_order_date"),
+        F.col("ship_date").alias("_raw_ship_date"),
         *_corrupt(bronze))
 
 
@@ -203,6 +213,8 @@ def order_rules() -> dict:
         "bad_quantity": casts.parsed_ok("_raw_quantity", "quantity"),
         "bad_unit_price": casts.parsed_ok("_raw_unit_price", "unit_price"),
         "bad_discount_pct": casts.parsed_ok("_raw_discount_pct", "discount_pct"),
+        "bad_order_date": casts.parsed_ok("_raw_order_date", "order_date"),
+        "bad_ship_date": casts.parsed_ok("_raw_ship_date", "ship_date"),
         "non_positive_quantity": F.col("quantity") > 0,
         "non_positive_price": F.col("unit_price") > 0,
         "revenue_overflow": F.col("gross_revenue").isNotNull(),

@@ -19,7 +19,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.lookup import DEFAULT_BROADCAST_ROWS
 from ..operators.quarantine import Split
 from ..sources import extracts, tables
 from . import dimensions, fact, silver
@@ -30,13 +29,11 @@ FIXED_NOW = "2024-01-01 00:00:00"
 
 class Star:
     def __init__(self, bronze_customers: DataFrame, bronze_products: DataFrame,
-                 bronze_orders: DataFrame, now=FIXED_NOW, calendar: DataFrame | None = None,
-                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, stage: bool = False):
+                 bronze_orders: DataFrame, now=FIXED_NOW, calendar: DataFrame | None = None, stage: bool = False):
         self._bronze = {"customers": bronze_customers, "products": bronze_products,
                         "orders": bronze_orders}
         self.now = now
         self._calendar = calendar
-        self.max_broadcast_rows = max_broadcast_rows
         self.stage = stage
         self.staged_paths: list = []
 
@@ -117,8 +114,7 @@ class Star:
     @cached_property
     def fact_sales(self) -> DataFrame:
         return self._keep(fact.fact_sales(self.silver_orders, self.dim_customer, self.dim_product,
-                                          self.dim_date, self.dim_geography, self.now,
-                                          self.max_broadcast_rows), "fact_sales")
+                                          self.dim_date, self.dim_geography, self.now), "fact_sales")
 
 
     # Layers in dependency order; the members of one wave are independent.

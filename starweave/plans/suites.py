@@ -12,10 +12,10 @@ SILVER_CUSTOMER_CHECKS = (RowCount(), NullRate(("customer_id", "email", "full_na
 SILVER_PRODUCT_CHECKS = (RowCount(), NullRate(("product_id", "product_name", "unit_price")),
                          DuplicateRate(("product_id",)), ValueRange("unit_price", 0),
                          ValueRange("unit_cost", 0))
-SILVER_ORDER_CHECKS = (RowCount(), NullRate(("order_id", "order_line_id", "customer_id", "product_id")),
+SILVER_ORDER_CHECKS = (RowCount(), NullRate(("order_id", "order_line_id", "customer_id", "product_id", "order_date")),
                        DuplicateRate(("order_line_id",)), ValueRange("quantity", 1),
                        ValueRange("unit_price", 0), ValueRange("net_revenue", 0))
-FACT_CHECKS = (RowCount(), NullRate(("order_line_id", "customer_sk", "product_sk")),
+FACT_CHECKS = (RowCount(), NullRate(("order_line_id", "customer_sk", "product_sk", "order_date_sk")),
                DuplicateRate(("order_line_id",)), ValueRange("quantity", 1),
                ValueRange("net_revenue", 0), ValueRange("gross_profit"))
 CALENDAR_CHECKS = (RowCount(), DuplicateRate(("date_key",)))
@@ -37,13 +37,12 @@ def dimension_checks(df: DataFrame, table: str, bk: str, sk: str) -> DataFrame:
 
 
 def fact_integrity(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-                   dim_date: DataFrame, dim_geography: DataFrame, table: str = "fact_sales",
-                   max_broadcast_rows=None) -> DataFrame:
+                   dim_date: DataFrame, dim_geography: DataFrame, table: str = "fact_sales") -> DataFrame:
     pairs = [("customer_sk", dim_customer, "customer_sk"), ("product_sk", dim_product, "product_sk"),
              ("order_date_sk", dim_date, "date_key"), ("ship_date_sk", dim_date, "date_key"),
              ("geography_sk", dim_geography, "geography_sk")]
     out = None
     for fk, dim, pk in pairs:
-        r = referential_integrity(fact, dim, fk, pk, table, max_broadcast_rows)
+        r = referential_integrity(fact, dim, fk, pk, table)
         out = r if out is None else out.unionByName(r)
     return out

@@ -15,10 +15,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.lookup import bounded_broadcast
-from ..operators.upsert import upsert
+from ..operators.upsert import MERGE_ACTION, upsert
 
 VERSION_PREFIX = "v"
 
@@ -47,18 +47,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def write(df: DataFrame, path: str, mode: str = "overwrite", partition_by=(), name: str = "rows",
-          cluster_by=(), num_files: int | None = None, sort_by=()) -> int:
+          cluster_by=(), num_files: int | None = None, sort_by=(), dynamic: bool = False) -> int:
     """Write Parquet and return the number of rows written (observed, one job).
 
     A partitioned write is range-partitioned on (partition columns,
     ``cluster_by``) first: each task then writes one contiguous run of
     partition values instead of a file into every partition it happens to
     hold, and a hot partition value is still split across tasks by the
-    clustering columns.
+    clustering columns. Without ``num_files`` adaptive execution sizes the
+    tasks by their data.
     """
     if partition_by:
-        n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, *partition_by, *cluster_by)
+        order = [*partition_by, *cluster_by]
+        df = df.repartitionByRange(num_files, *order) if num_files else df.repartitionByRange(*order)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     obs = Observation(name)
@@ -66,16 +67,52 @@ def write(df: DataFrame, path: str, mode: str = "overwrite", partition_by=(), na
     w = observed.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
     return int(obs.get["rows"])
 
 
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether a write to this folder finished; a half-written first load is no table."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
+def read(spark: SparkSession, path: str, known: StructType | None = None) -> DataFrame:
+    """A Parquet folder with the columns of all its files (evolved ones too).
+
+    Columns of ``known`` have its types. Spark guesses the types of partition
+    columns from folder names ('01' becomes 1, '2024-1-6' a date), so a partition
+    column that is not known comes back as a string.
+    """
+    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    types = {f.name: f.dataType for f in (known or [])}
+    folders = _partition_columns(spark, path)
+    fields = [StructField(f.name, types.get(f.name, StringType() if f.name in folders else f.dataType), True) for f in found]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
+def _partition_columns(spark: SparkSession, path: str) -> set[str]:
+    """Names of the folder levels ``name=value`` below a table's folder."""
+    fs, p = _fs(spark, path)
+    names: set[str] = set()
+    while True:
+        below = next((s.getPath() for s in fs.listStatus(p) if s.isDirectory() and "=" in s.getPath().getName()), None)
+        if below is None:
+            return names
+        names.add(below.getName().split("=", 1)[0])
+        p = below
+
+
 def append(df: DataFrame, path: str, partition_by=(), cluster_by=()) -> int:
-    """Append to a table; a rerun appends again (Silver's dedup absorbs it)."""
+    """Append to a table; a rerun appends again (Silver's dedup absorbs it).
+
+    New columns are added, missing ones are NULL; no value is converted (see ``read``).
+    """
     if exists(df.sparkSession, path):
-        current = df.sparkSession.read.parquet(path)
-        # Additive schema evolution: new columns are allowed, missing ones are NULL.
-        df = current.limit(0).unionByName(df, allowMissingColumns=True)
+        current = read(df.sparkSession, path).schema
+        df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in current if f.name not in df.columns})
+        df = df.select(*current.names, *[c for c in df.columns if c not in current.names])
     return write(df, path, "append", partition_by, cluster_by=cluster_by)
 
 
@@ -150,10 +187,13 @@ class TableStore:
         ``zorder_by`` clusters the new version's files on those columns."""
         merged = source if not self.exists(name) else \
             upsert(self.read(name), source, keys, update_cols, now, only_changed)
+        staged: list = []
         if zorder_by:
             from .layout import zorder
-            merged = zorder(merged, list(zorder_by))
-        return self.commit(name, merged, partition_by)
+            merged = zorder(stage(merged, "merge", track=staged), list(zorder_by))
+        done = self.commit(name, merged, partition_by)
+        drop_paths(self.spark, staged)
+        return done
 
     def row_counts(self, names) -> DataFrame:
         """``(layer, name)`` pairs → layer, table_name, row_count; a table with
@@ -180,47 +220,75 @@ class TableStore:
         return dropped
 
 
+def _any_of(column: str, values) -> Column:
+    """``column`` is one of the literal ``values`` (NULL included): prunes folders at planning."""
+    some = [v for v in values if v is not None]
+    hit = F.col(column).isin(some) if some else F.lit(False)
+    return hit | F.col(column).isNull() if any(v is None for v in values) else hit
+
+
+def partition_folder(spark: SparkSession, column: str, value) -> str:
+    """The folder name that Spark's writer gives a partition value."""
+    if value is None or value == "":
+        return f"{column}=__HIVE_DEFAULT_PARTITION__"
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{escape(column)}={escape(str(value))}"
+
+
 def publish_partitions(source: DataFrame, table_path: str, keys, update_cols, partition_col: str,
                        now=None, only_changed: bool = True, sort_by=(),
                        source_is_staged: bool = False) -> dict:
     """Type 1 upsert into a partitioned table, rewriting only touched partitions.
 
-    Touched partitions are the new partitions of every source row plus the
-    old partitions of target rows the source matches (a row whose
-    partition value changes moves). Only those partitions are read (the
-    semi join on the partition column is pruned at run time), merged,
-    staged in the checkpoint folder and written back with dynamic
-    partition overwrite; partitions left empty by a move are deleted.
-    Not atomic across partitions: run one writer per table. ``sort_by``
-    orders rows inside every written file (tight row-group statistics).
+    1. The target's key and partition columns are read to find the partitions
+       that hold source keys. These and the source's own partitions, a bounded
+       list of values, become literal filters, so nothing else is listed or read.
+    2. The rows there are merged and staged. Touched are the partitions of
+       inserted and updated rows, and those that updated rows left.
+    3. Touched partitions are written with dynamic partition overwrite;
+       partitions left empty by a move are deleted.
+
+    Not atomic across partitions: run one writer per table. A crash between the
+    overwrite and the deletes of step 3 leaves a moved row in both partitions;
+    the next publish of that key keeps the latest (by ``updated_at``, then the
+    row that is in the source's partition). ``sort_by`` orders rows inside every
+    written file. Staged folders are dropped at the end.
     """
     spark = source.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if not exists(spark, table_path):
+    if not committed(spark, table_path):
         rows = write(source, table_path, "overwrite", [partition_col], cluster_by=keys, sort_by=sort_by)
         return {"created": True, "rows": rows, "touched": None, "emptied": []}
+    staged: list = []
     if not source_is_staged:  # read several times below: evaluate it once
-        source = stage(source, "source")
-    target = spark.read.parquet(table_path)
-    src_parts = source.select(partition_col)
-    old_parts = (target.select(*keys, partition_col)
-                 .join(source.select(*keys), keys, "left_semi").select(partition_col))
-    touched = stage(src_parts.unionByName(old_parts).distinct(), "touched")
-    target_touched = target.join(bounded_broadcast(touched), target[partition_col].eqNullSafe(touched[partition_col]),
-                                 "left_semi")
-    merged = stage(upsert(target_touched, source, keys, update_cols, now, only_changed), "merged")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = merged.repartitionByRange(n, partition_col, *keys)
-    if sort_by:
-        out = out.sortWithinPartitions(partition_col, *sort_by)
-    (out.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table_path))
-    left = merged.select(partition_col).distinct()
-    emptied = [r[0] for r in touched.join(left, touched[partition_col].eqNullSafe(left[partition_col]),
-                                          "left_anti").collect()]
-    fs, _ = _fs(spark, table_path)
-    jvm = spark.sparkContext._jvm
-    for value in emptied:
-        label = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{table_path}/{partition_col}={label}"), True)
-    return {"created": False, "touched": touched.count(), "emptied": [str(v) for v in emptied]}
+        source = stage(source, "source", track=staged)
+    target = read(spark, table_path, source.schema)
+    held = stage(target.select(*keys, partition_col).join(source.select(*keys).distinct(), keys, "left_semi"), "held", track=staged)
+    near = {r[0] for r in held.select(partition_col).union(source.select(partition_col)).distinct().collect()}
+    target = target.filter(_any_of(partition_col, near)).withColumn("__from", F.col(partition_col))
+    again = held.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys)
+    healed = not again.isEmpty()
+    if healed:  # an interrupted publish left several rows of a key
+        home = source.select(*keys, F.col(partition_col).alias("__home"))
+        latest = [F.col("updated_at").desc_nulls_last()] if "updated_at" in target.columns else []
+        order = Window.partitionBy(*keys).orderBy(*latest, F.col("__from").eqNullSafe(F.col("__home")).desc(), F.col("__from").desc_nulls_last())
+        twice = target.join(again, keys, "left_semi").join(home, keys, "left")
+        one = twice.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n", "__home")
+        target = target.join(again, keys, "left_anti").unionByName(one)
+    merged = stage(upsert(target, source, keys, update_cols, now, only_changed, with_action=True), "merged", track=staged)
+    moved = merged.filter(F.col(MERGE_ACTION).isin("insert", "update"))
+    touched = {r[0] for r in moved.select(partition_col).union(moved.filter(F.col(MERGE_ACTION) == "update").select("__from")).distinct().collect()}
+    if healed:
+        touched |= {r[0] for r in held.join(again, keys, "left_semi").select(partition_col).distinct().collect()}
+    emptied = []
+    if touched:
+        out = merged.filter(_any_of(partition_col, touched)).drop(MERGE_ACTION, "__from")
+        write(out, table_path, "overwrite", [partition_col], cluster_by=keys, sort_by=sort_by, dynamic=True)
+        left = {r[0] for r in out.select(partition_col).distinct().collect()}
+        emptied = sorted(touched - left, key=str)
+        fs, _ = _fs(spark, table_path)
+        for value in emptied:
+            folder = partition_folder(spark, partition_col, value)
+            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table_path}/{folder}"), True)
+    drop_paths(spark, staged)
+    return {"created": False, "touched": len(touched), "emptied": [str(v) for v in emptied]}

@@ -18,7 +18,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    own = {k for k, f in E.queries().items() if f.__module__ == E.__name__}
+    assert own and own <= set(E.oracle_sql()) <= set(E.queries())
     assert len(E.queries()) >= 38
 
 

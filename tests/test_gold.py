@@ -3,13 +3,12 @@ import datetime as dt
 from decimal import Decimal
 
 from helpers import bronze, customer, order, product
-from starweave.operators.lookup import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from starweave.plans import dimensions, reports
 from starweave.plans.star import Star
 from starweave.sources.contracts import CRM_CUSTOMERS, ECOM_ORDERS, ERP_PRODUCTS
 
 
-def small_star(spark, max_broadcast_rows=DEFAULT_BROADCAST_ROWS):
+def small_star(spark):
     cust = [customer("C001", segment="vip", zip_code="10001"),
             customer("C002", segment="standard", zip_code="10002"),   # same city, other zip
             customer("C003", segment="vip", city="austin", state=None, zip_code="73301")]
@@ -24,7 +23,7 @@ def small_star(spark, max_broadcast_rows=DEFAULT_BROADCAST_ROWS):
                   od="2024-02-10", sd="2031-01-01")]
     cal = dimensions.dim_date(spark, "2024-01-01", "2024-12-31")
     return Star(bronze(spark, CRM_CUSTOMERS, cust), bronze(spark, ERP_PRODUCTS, prod),
-                bronze(spark, ECOM_ORDERS, ords), calendar=cal, max_broadcast_rows=max_broadcast_rows)
+                bronze(spark, ECOM_ORDERS, ords), calendar=cal)
 
 
 def test_dim_date_rows(spark):
@@ -59,16 +58,16 @@ def test_fact_grain_lookups_and_measures(spark):
     assert f["L1"].customer_sk == 741130920687010838
 
 
-def test_fact_same_without_broadcast(spark):
-    a = small_star(spark).fact_sales.drop("created_at", "updated_at")
-    b = small_star(spark, max_broadcast_rows=None).fact_sales.drop("created_at", "updated_at")
-    assert sorted(a.collect(), key=str) == sorted(b.collect(), key=str)
-
-
-def test_bounded_broadcast(spark):
-    small = spark.range(10)
-    assert "broadcast" in bounded_broadcast(small, 100)._jdf.queryExecution().analyzed().toString().lower()
-    assert bounded_broadcast(small, 5) is small
+def test_fact_plans_without_a_job_or_a_forced_broadcast(spark):
+    tracker = spark.sparkContext.statusTracker()
+    group = "plan-only"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        plan = small_star(spark).fact_sales._jdf.queryExecution().analyzed().toString()
+        assert not tracker.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+    assert "broadcast" not in plan.lower()
 
 
 def test_reports(spark):

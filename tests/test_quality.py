@@ -1,6 +1,6 @@
 """Single-pass data-quality checks."""
 from starweave.operators.quality import (DuplicateRate, NullRate, RegexMatch, RowCount, ValueRange,
-                                         enforce, referential_integrity, row_counts, run_checks)
+                                         CheckFailed, enforce, overall, referential_integrity, row_counts, run_checks)
 
 import pytest
 from pyspark.errors import PySparkException
@@ -71,5 +71,16 @@ def test_row_counts(spark):
 
 def test_enforce_fails_job(spark):
     bad = run_checks(spark.createDataFrame([], "id string"), "t", [RowCount()])
-    with pytest.raises(PySparkException, match="data-quality check failed"):
-        enforce(bad).collect()
+    with pytest.raises(CheckFailed, match="data-quality check failed"):
+        enforce(bad)
+
+
+def test_overall_flag_per_table(spark):
+    r = spark.createDataFrame([("a", True), ("a", False), ("b", True)], "table_name string, passed boolean")
+    assert {x.table_name: (x.checks, x.failed, x.passed) for x in overall(r).collect()} == {"a": (2, 1, False), "b": (1, 0, True)}
+
+
+def test_referential_integrity_total_counts_distinct_keys(spark):
+    fact, dim = spark.createDataFrame([(1,), (1,), (2,), (9,)], "fk int"), spark.createDataFrame([(1,), (2,)], "pk int")
+    r = referential_integrity(fact, dim, "fk", "pk", "f").first()
+    assert (r.observed, r.total, r.passed) == (1, 3, False)

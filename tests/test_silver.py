@@ -92,12 +92,12 @@ def test_order_casts_metrics_and_rules(spark):
             order("L8", od="2024/01/05")]
     s = silver.orders(bronze(spark, ECOM_ORDERS, rows))
     valid = {r.order_line_id: r for r in s.valid.collect()}
-    assert sorted(valid) == ["L1", "L8"]
+    assert sorted(valid) == ["L1"]
     l1 = valid["L1"]
     assert (l1.gross_revenue, l1.discount_amount, l1.net_revenue, l1.days_to_ship) == \
         (Decimal("200.00"), Decimal("20.00"), Decimal("180.00"), 3)
-    assert valid["L8"].order_date is None  # bad dates become NULL, the row is kept
     got = reasons(s, "order_line_id")
+    assert got["L8"] == ["bad_order_date"]
     assert "bad_quantity" in got["L2"] and "bad_quantity" in got["L3"]
     assert got["L4"] == ["non_positive_quantity"] and got["L5"] == ["non_positive_quantity"]
     assert got["L6"] == ["non_positive_price"] and got["L7"] == ["missing_customer_id"]
@@ -118,3 +118,18 @@ def test_rerun_of_bronze_is_absorbed(spark):
     twice = once.unionByName(bronze(spark, ECOM_ORDERS, rows, batch_id="b2"))
     assert silver.orders(twice).valid.count() == 2
     assert F is not None
+
+
+def test_blank_keys_are_missing_keys(spark):
+    rows = [customer("   ", email="a@x.com"), customer(" ", email="b@x.com"), customer("", email="c@x.com"), customer("C1")]
+    s = silver.customers(bronze(spark, CRM_CUSTOMERS, rows))
+    assert [r.customer_id for r in s.valid.collect()] == ["C1"]
+    out = s.rejected.collect()
+    assert len(out) == 3 and all(r.reject_reasons == ["missing_customer_id"] for r in out)
+
+
+def test_impossible_dates_are_quarantined(spark):
+    c = silver.customers(bronze(spark, CRM_CUSTOMERS, [customer("C1", reg="2024-02-30"), customer("C2", reg=None), customer("C3")]))
+    assert {r.customer_id for r in c.valid.collect()} == {"C2", "C3"}
+    o = silver.orders(bronze(spark, ECOM_ORDERS, [order("L1", sd="2024-1-8"), order("L2", od="bad"), order("L3")]))
+    assert {r.order_line_id: r.reject_reasons for r in o.rejected.collect()} == {"L1": ["bad_ship_date"], "L2": ["bad_order_date"]}
