@@ -39,9 +39,9 @@ from ._tokens import NOT_SPACE, Memo, byte_class, chunks, hashes
 CAPACITY = 2048
 END_ID = 1
 #: Costs of a cut behind a sentence and inside one, in padded ids.
-SENTENCE_CUT, INNER_CUT = 2, 10
+SENTENCE_CUT, INNER_CUT = 2, 6
 #: Where a sentence is longer, it may be cut at every so many ids.
-STEP = 32
+STEP = 12
 BLOCK_IDS = 1 << 18
 #: Distinct atoms whose ids a Python worker remembers.
 CACHE = 1 << 20
@@ -160,11 +160,12 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def cuts(place: np.ndarray, penalty: np.ndarray, capacity: int) -> list[int]:
+def cuts(place: np.ndarray, penalty: np.ndarray, capacity: int, more: bool = False) -> list[int]:
     """The cheapest places to cut, ascending, the last place always among them.
 
     ``place`` ascends from above 0 by at most ``capacity``; ``penalty`` is the
-    cost of a cut there.
+    cost of a cut there. If ``more`` follows, the last window's padding costs
+    nothing: else the padding that the total length forces would go anywhere.
     """
     places, costs = [0, *place.tolist()], [0, *penalty.tolist()]
     costs[-1] = 0
@@ -185,6 +186,9 @@ def cuts(place: np.ndarray, penalty: np.ndarray, capacity: int) -> list[int]:
             queue.pop()
         keys.append(b)
         queue.append(j)
+    if more:
+        low = places[-1] - capacity
+        back[-1] = min((i for i in range(len(places) - 1) if places[i] >= low), key=lambda i: best[i])
     out, j = [], len(places) - 1
     while j:
         out.append(places[j])
@@ -222,7 +226,7 @@ class _Stream:
             inner = np.arange(place[i] - gap[i] + STEP, place[i], STEP)
             penalty[inner] = INNER_CUT
         place = np.flatnonzero(penalty >= 0)
-        at = cuts(place, penalty[place], self.capacity)
+        at = cuts(place, penalty[place], self.capacity, more=not last)
         if not last:
             at = at[:-1]
         done = at[-1] if at else 0
