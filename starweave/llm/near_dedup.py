@@ -90,7 +90,7 @@ def describe(frame: DataFrame, keys: str, shingle: int, bands: int, rows: int) -
 
 def near_duplicates(docs: DataFrame, jaccard: float = JACCARD, shingle: int = SHINGLE,
                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for each row of ``docs(doc_id, text)``."""
+    """``doc_id, n_shingles, component_id, kept, text_md5`` for each row of ``docs(doc_id, text)``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     docs = docs.withColumn("cls", F.unhex(F.md5("text")))
     items = checkpointed(describe(docs.select("doc_id", "cls", "text"), "doc_id bigint", shingle, bands, rows))
@@ -108,8 +108,8 @@ def near_duplicates(docs: DataFrame, jaccard: float = JACCARD, shingle: int = SH
                          .filter("component_id <> low OR several OR low IS NULL").select("cls", "component_id"))
     out = items.select("doc_id", "n_shingles", "cls").join(small_side(named, 48), "cls", "left")
     own = F.coalesce(F.col("component_id"), F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"),
+                      F.lower(F.hex("cls")).alias("text_md5"))
 
 
 def _several(items: DataFrame) -> DataFrame:
@@ -123,5 +123,6 @@ def op10_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component, the document with the smallest id stays."""
-    gone = checkpointed(near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct())
-    return docs.join(small_side(gone, 16), "doc_id", "left_anti").select(docs.columns)
+    gone = checkpointed(near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_md5").alias("_gone_md5")).distinct())
+    same = docs["doc_id"].eqNullSafe(F.col("_gone_id")) & (F.md5(F.coalesce(docs["text"], F.lit(""))) == F.col("_gone_md5"))
+    return docs.join(small_side(gone, 96), same, "left_anti")
