@@ -137,7 +137,7 @@ class Memo:
     """Whole numbers by 64-bit hash, looked up and stored in bulk (open addressing). Hash 0 stands for 1."""
 
     def __init__(self, size: int):
-        self.slots = 1 << max(8, (4 * size).bit_length())
+        self.slots = 1 << max(8, (2 * size - 1).bit_length())
         self.shift = np.uint64(64 - self.slots.bit_length() + 1)
         self.keys = np.zeros(self.slots, np.uint64)
         self.numbers = np.zeros(self.slots, np.int32)
@@ -160,7 +160,7 @@ class Memo:
         """Store new, distinct hashes."""
         self.count += len(h)
         h = np.maximum(h, np.uint64(1))
-        if 2 * self.count > self.slots:  # a batch of very many new words: a larger table
+        if 4 * self.count > 3 * self.slots:  # a batch of very many new words: a larger table
             held = np.flatnonzero(self.keys)
             old, own = self.keys[held], self.numbers[held]
             self.__init__(2 * self.count)

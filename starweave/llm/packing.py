@@ -44,7 +44,7 @@ SENTENCE_CUT, INNER_CUT = 2, 6
 STEP = 12
 BLOCK_IDS = 1 << 18
 #: Distinct atoms whose ids a Python worker remembers.
-CACHE = 1 << 20
+CACHE = 1 << 19
 
 _LETTER = byte_class(lambda b: 65 <= b <= 90 or 97 <= b <= 122)
 #: ASCII punctuation but the apostrophe, which may begin a token of its own with the letters after it.

@@ -46,7 +46,7 @@ THRESHOLD = 0.7
 HELD_OUT, FOLDS = 1, 3
 _QUOTES = set("\"'“”„«»‘’‹›`")
 #: Distinct words a Python worker remembers.
-CACHE = 1 << 20
+CACHE = 1 << 19
 
 
 def edits_allowed(term: str, whole: bool) -> int:
