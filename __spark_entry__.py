@@ -71,15 +71,15 @@ def entry(spark: SparkSession) -> DataFrame:
 # --- Bronze ---------------------------------------------------------------
 
 def q_bronze_customers(spark, d):
-    return _no_ts(extracts.customer_extract(spark, d))
+    return extracts.customer_extract(spark, d)
 
 
 def q_bronze_products(spark, d):
-    return _no_ts(extracts.product_extract(spark, d))
+    return extracts.product_extract(spark, d)
 
 
 def q_bronze_orders(spark, d):
-    return _no_ts(extracts.order_extract(spark, d))
+    return extracts.order_extract(spark, d)
 
 
 # --- Silver operators -----------------------------------------------------
@@ -123,6 +123,21 @@ def q_quarantine(spark, d):
                            F.array_join(F.col(REASONS), ",").alias("reject_reasons"))
 
 
+def q_quarantine_customers(spark, d):
+    r = _star(spark, d).silver_customers_split.rejected
+    return r.select("customer_id", "email", F.array_join(REASONS, ",").alias("reject_reasons"))
+
+
+def q_quarantine_products(spark, d):
+    r = _star(spark, d).silver_products_split.rejected
+    return r.select("product_id", "product_name", "unit_cost", "unit_price", F.array_join(REASONS, ",").alias("reject_reasons"))
+
+
+def q_quarantine_orders(spark, d):
+    r = _star(spark, d).silver_orders_split.rejected
+    return r.select("order_line_id", "order_id", "quantity", "unit_price", F.array_join(REASONS, ",").alias("reject_reasons"))
+
+
 def q_surrogate_key(spark, d):
     s = _star(spark, d)
     c = s.silver_customers.select(F.lit("customer").alias("entity"), F.col("customer_id").alias("business_key"))

@@ -9,6 +9,8 @@ rounding can creep into the comparison.
 """
 from __future__ import annotations
 
+import re
+
 # Fixed values shared with the Spark side (see starweave.sources.extracts).
 CUTOFF = "1998-06-01"
 
@@ -53,8 +55,8 @@ def bool_text(x: str) -> str:
             f"WHEN {t} IN ('f', 'false', 'n', 'no', '0') THEN false END")
 
 
-CUST_RAW = """cust_raw AS (
-  SELECT ' c' || CAST(c.c_custkey AS VARCHAR) AS customer_id,
+CUST_RAW = """cust_base AS (
+  SELECT c.c_custkey AS k, ' c' || CAST(c.c_custkey AS VARCHAR) AS customer_id,
          lower(split_part(c.c_name, '#', 1)) AS first_name,
          split_part(c.c_name, '#', 2) || ' ' AS last_name,
          ' ' || replace(c.c_name, '#', '.') || '@Example.COM' AS email,
@@ -69,10 +71,17 @@ CUST_RAW = """cust_raw AS (
          'CRM_SYSTEM' AS source_system, '20240101000000' AS batch_id
   FROM customer c
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)"""
-
-PROD_RAW = """prod_raw AS (
-  SELECT 'p' || CAST(p_partkey AS VARCHAR) AS product_id,
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
+cust_raw AS (
+  SELECT * EXCLUDE (k) REPLACE (
+    CASE WHEN k % 79 = 0 THEN '  ' ELSE customer_id END AS customer_id,
+    CASE WHEN k % 97 = 0 THEN NULL WHEN k % 83 = 0 THEN 'no-at-sign' ELSE email END AS email,
+    CASE WHEN k % 73 = 0 THEN NULL ELSE state END AS state,
+    CASE WHEN k % 89 = 0 THEN 'not a date' ELSE registration_date END AS registration_date)
+  FROM cust_base)"""
+
+PROD_RAW = """prod_base AS (
+  SELECT p_partkey AS k, 'p' || CAST(p_partkey AS VARCHAR) AS product_id,
          ' ' || p_name AS product_name,
          lower(p_type) AS category,
          'size ' || CAST(p_size AS VARCHAR) AS sub_category,
@@ -86,10 +95,20 @@ PROD_RAW = """prod_raw AS (
          CAST(CAST(p_size * 0.125 AS DECIMAL(8,3)) AS VARCHAR) AS weight_kg,
          TIMESTAMP '2024-01-01 00:00:00' AS ingested_at,
          'ERP_SYSTEM' AS source_system, '20240101000000' AS batch_id
-  FROM part)"""
-
-ORD_RAW = """ord_raw AS (
-  SELECT ' o' || CAST(l.l_orderkey AS VARCHAR) AS order_id,
+  FROM part),
+prod_raw AS (
+  SELECT * EXCLUDE (k) REPLACE (
+    CASE WHEN k % 101 = 0 THEN ' ' ELSE product_id END AS product_id,
+    CASE WHEN k % 71 = 0 THEN NULL ELSE product_name END AS product_name,
+    CASE WHEN k % 67 = 0 THEN 'abc' WHEN k % 59 = 0 THEN '99999.00' WHEN k % 37 = 0 THEN '0' ELSE unit_cost END AS unit_cost,
+    CASE WHEN k % 61 = 0 THEN '0.00' WHEN k % 41 = 0 THEN '123456789.999' ELSE unit_price END AS unit_price,
+    CASE WHEN k % 53 = 0 THEN 'maybe' ELSE is_active END AS is_active,
+    CASE WHEN k % 47 = 0 THEN '2024-02-30' ELSE created_date END AS created_date,
+    CASE WHEN k % 43 = 0 THEN 'heavy' ELSE weight_kg END AS weight_kg)
+  FROM prod_base)"""
+
+ORD_RAW = """ord_base AS (
+  SELECT l.l_orderkey AS k, l.l_linenumber AS line, ' o' || CAST(l.l_orderkey AS VARCHAR) AS order_id,
          'o' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS order_line_id,
          'c' || CAST(o.o_custkey AS VARCHAR) AS customer_id,
          'p' || CAST(l.l_partkey AS VARCHAR) AS product_id,
@@ -105,10 +124,33 @@ ORD_RAW = """ord_raw AS (
          o.o_orderstatus AS order_status,
          l.l_shipdate AS ingested_at,
          'ECOMMERCE_PLATFORM' AS source_system, '20240101000000' AS batch_id
-  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey),
+ord_raw AS (
+  SELECT * EXCLUDE (k, line) REPLACE (
+    CASE WHEN k % 199 = 0 AND line = 1 THEN '  ' ELSE order_line_id END AS order_line_id,
+    CASE WHEN k % 197 = 0 THEN NULL ELSE order_id END AS order_id,
+    CASE WHEN k % 191 = 0 THEN NULL ELSE customer_id END AS customer_id,
+    CASE WHEN k % 139 = 0 THEN NULL WHEN k % 151 = 0 THEN 'p999999999' ELSE product_id END AS product_id,
+    CASE WHEN k % 181 = 0 THEN replace(order_date, '-', '/') ELSE order_date END AS order_date,
+    CASE WHEN k % 179 = 0 THEN '2024-02-30' ELSE ship_date END AS ship_date,
+    CASE WHEN k % 173 = 0 THEN 'abc' WHEN k % 167 = 0 THEN '0' WHEN k % 113 = 0 THEN '1.7' WHEN k % 109 = 0 THEN '2000000000' ELSE quantity END AS quantity,
+    CASE WHEN k % 163 = 0 THEN '0.00' WHEN k % 137 = 0 THEN '123456789.999' WHEN k % 109 = 0 THEN '99999999.00' ELSE unit_price END AS unit_price,
+    CASE WHEN k % 157 = 0 THEN 'x' ELSE discount_pct END AS discount_pct)
+  FROM ord_base)"""
+
+def reasons(*rules: tuple[str, str]) -> str:
+    """Names of the failed rules, in order; a rule that is NULL has failed."""
+    parts = ", ".join(f"CASE WHEN NOT coalesce({cond}, false) THEN '{name}' END" for name, cond in rules)
+    return f"list_filter([{parts}], lambda x: x IS NOT NULL) AS reasons"
+
 
-CUST_STD = f"""cust_std AS (
-  SELECT upper(trim(customer_id)) AS customer_id,
+def parsed(column: str) -> tuple[str, str]:
+    return f"bad_{column}", f"raw_{column} IS NULL OR {column} IS NOT NULL"
+
+
+
+CUST_STD = f"""cust_typed AS (
+  SELECT nullif(upper(trim(customer_id)), '') AS customer_id,
          {initcap('trim(first_name)')} AS first_name,
          {initcap('trim(last_name)')} AS last_name,
          nullif(concat_ws(' ', {initcap('trim(first_name)')}, {initcap('trim(last_name)')}), '') AS full_name,
@@ -119,9 +161,13 @@ CUST_STD = f"""cust_std AS (
          upper(trim(country)) AS country,
          trim(zip_code) AS zip_code,
          upper(trim(customer_segment)) AS customer_segment,
-         {to_date('registration_date')} AS registration_date,
+         {to_date('registration_date')} AS registration_date, registration_date AS raw_registration_date,
          source_system, batch_id, ingested_at
-  FROM cust_raw)"""
+  FROM cust_raw),
+cust_std AS (
+  SELECT *, {reasons(("missing_customer_id", "customer_id IS NOT NULL"), ("missing_email", "email IS NOT NULL"),
+                     parsed("registration_date"))}
+  FROM cust_typed)"""
 
 CUST_SILVER = """cust_silver AS (
   SELECT * EXCLUDE (rn) FROM (
@@ -131,10 +177,10 @@ CUST_SILVER = """cust_silver AS (
       customer_segment ASC NULLS FIRST, registration_date ASC NULLS FIRST, source_system ASC NULLS FIRST,
       batch_id ASC NULLS FIRST) AS rn
     FROM cust_std WHERE customer_id IS NOT NULL)
-  WHERE rn = 1 AND email IS NOT NULL)"""
+  WHERE rn = 1 AND len(reasons) = 0)"""
 
-PROD_STD = f"""prod_std AS (
-  SELECT upper(trim(product_id)) AS product_id,
+PROD_STD = f"""prod_typed AS (
+  SELECT nullif(upper(trim(product_id)), '') AS product_id,
          {initcap('trim(product_name)')} AS product_name,
          {initcap('trim(category)')} AS category,
          {initcap('trim(sub_category)')} AS sub_category,
@@ -146,8 +192,16 @@ PROD_STD = f"""prod_std AS (
          TRY_CAST(weight_kg AS DECIMAL(8,3)) AS weight_kg,
          {bool_text('is_active')} AS is_active,
          {to_date('created_date')} AS created_date,
+         unit_cost AS raw_unit_cost, unit_price AS raw_unit_price, weight_kg AS raw_weight_kg, is_active AS raw_is_active,
+         created_date AS raw_created_date,
          source_system, batch_id, ingested_at
-  FROM prod_raw)"""
+  FROM prod_raw),
+prod_std AS (
+  SELECT *, {reasons(("missing_product_id", "product_id IS NOT NULL"), ("missing_product_name", "product_name IS NOT NULL"),
+                     parsed("unit_cost"), parsed("unit_price"), parsed("weight_kg"), parsed("is_active"), parsed("created_date"),
+                     ("non_positive_cost", "unit_cost > 0"), ("non_positive_price", "unit_price > 0"),
+                     ("price_below_cost", "unit_price >= unit_cost"))}
+  FROM prod_typed)"""
 
 PROD_SILVER = f"""prod_silver AS (
   SELECT product_id, product_name, category, sub_category, brand, sku, supplier_id, unit_cost, unit_price,
@@ -160,21 +214,23 @@ PROD_SILVER = f"""prod_silver AS (
       unit_price ASC NULLS FIRST, weight_kg ASC NULLS FIRST, is_active ASC NULLS FIRST,
       created_date ASC NULLS FIRST, source_system ASC NULLS FIRST, batch_id ASC NULLS FIRST) AS rn
     FROM prod_std WHERE product_id IS NOT NULL)
-  WHERE rn = 1 AND product_name IS NOT NULL AND unit_cost > 0 AND unit_price > 0 AND unit_price >= unit_cost)"""
+  WHERE rn = 1 AND len(reasons) = 0)"""
 
 ORD_STD = f"""ord_typed AS (
   SELECT upper(trim(order_id)) AS order_id,
-         upper(trim(order_line_id)) AS order_line_id,
+         nullif(upper(trim(order_line_id)), '') AS order_line_id,
          upper(trim(customer_id)) AS customer_id,
          upper(trim(product_id)) AS product_id,
          {to_date('order_date')} AS order_date,
          {to_date('ship_date')} AS ship_date,
-         TRY_CAST(quantity AS INTEGER) AS quantity,
+         CASE WHEN regexp_full_match(trim(quantity), '[+-]?[0-9]+') THEN TRY_CAST(quantity AS INTEGER) END AS quantity,
          TRY_CAST(unit_price AS DECIMAL(10,2)) AS unit_price,
          TRY_CAST(discount_pct AS DECIMAL(5,4)) AS discount_pct,
          {initcap('trim(payment_method)')} AS payment_method,
          {initcap('trim(order_channel)')} AS order_channel,
          {initcap('trim(order_status)')} AS order_status,
+         quantity AS raw_quantity, unit_price AS raw_unit_price, discount_pct AS raw_discount_pct,
+         order_date AS raw_order_date, ship_date AS raw_ship_date,
          source_system, batch_id, ingested_at
   FROM ord_raw),
 ord_std AS (
@@ -182,9 +238,15 @@ ord_std AS (
          discount_pct, discount_amount, gross_revenue,
          {money('gross_revenue - discount_amount')} AS net_revenue,
          CAST(date_diff('day', order_date, ship_date) AS INTEGER) AS days_to_ship,
-         payment_method, order_channel, order_status, source_system, batch_id, ingested_at
-  FROM (SELECT *, {money('unit_price * quantity * discount_pct')} AS discount_amount,
-                  {money('unit_price * quantity')} AS gross_revenue
+         payment_method, order_channel, order_status, source_system, batch_id, ingested_at,
+         {reasons(("missing_order_line_id", "order_line_id IS NOT NULL"), ("missing_order_id", "order_id IS NOT NULL"),
+                  ("missing_customer_id", "customer_id IS NOT NULL"), ("missing_product_id", "product_id IS NOT NULL"),
+                  parsed("quantity"), parsed("unit_price"), parsed("discount_pct"), parsed("order_date"), parsed("ship_date"),
+                  ("non_positive_quantity", "quantity > 0"), ("non_positive_price", "unit_price > 0"),
+                  ("revenue_overflow", "gross_revenue IS NOT NULL"))}
+  FROM (SELECT *, TRY_CAST(round(CAST(unit_price AS DECIMAL(20,2)) * CAST(quantity AS DECIMAL(10,0)) * CAST(discount_pct AS DECIMAL(5,4)), 2)
+                         AS DECIMAL(18,2)) AS discount_amount,
+                  TRY_CAST(CAST(unit_price AS DECIMAL(20,2)) * CAST(quantity AS DECIMAL(10,0)) AS DECIMAL(18,2)) AS gross_revenue
         FROM ord_typed))"""
 
 ORD_TIEBREAK = """ingested_at DESC NULLS LAST, order_id ASC NULLS FIRST, customer_id ASC NULLS FIRST,
@@ -193,16 +255,12 @@ ORD_TIEBREAK = """ingested_at DESC NULLS LAST, order_id ASC NULLS FIRST, custome
       payment_method ASC NULLS FIRST, order_channel ASC NULLS FIRST, order_status ASC NULLS FIRST,
       source_system ASC NULLS FIRST, batch_id ASC NULLS FIRST"""
 
-ORD_RULES = ("order_id IS NOT NULL AND customer_id IS NOT NULL AND product_id IS NOT NULL "
-             "AND quantity > 0 AND unit_price > 0 AND gross_revenue IS NOT NULL")
-
-
 def ord_silver(name: str = "ord_silver", where: str = "TRUE") -> str:
     return f"""{name} AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY order_line_id ORDER BY {ORD_TIEBREAK}) AS rn
     FROM ord_std WHERE order_line_id IS NOT NULL AND ({where}))
-  WHERE rn = 1 AND {ORD_RULES})"""
+  WHERE rn = 1 AND len(reasons) = 0)"""
 
 
 GEO_BK = "concat_ws('_', coalesce(country, ''), coalesce(state, ''), coalesce(city, ''))"
@@ -364,9 +422,9 @@ FACT_SUITE = dict(min_rows=1, nulls=("order_line_id", "customer_sk", "product_sk
 
 def oracle() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["bronze_customers"] = w(CUST_RAW) + "SELECT * EXCLUDE (ingested_at) FROM cust_raw"
-    q["bronze_products"] = w(PROD_RAW) + "SELECT * EXCLUDE (ingested_at) FROM prod_raw"
-    q["bronze_orders"] = w(ORD_RAW) + "SELECT * EXCLUDE (ingested_at) FROM ord_raw"
+    q["bronze_customers"] = w(CUST_RAW) + "SELECT * FROM cust_raw"
+    q["bronze_products"] = w(PROD_RAW) + "SELECT * FROM prod_raw"
+    q["bronze_orders"] = w(ORD_RAW) + "SELECT * FROM ord_raw"
     q["standardise_strings"] = (w(CUST_RAW, CUST_STD) + "SELECT customer_id, first_name, last_name, full_name, "
                                 "email, phone, city, state, country, zip_code, customer_segment FROM cust_std")
     q["typed_casts"] = (w(ORD_RAW, ORD_STD) + "SELECT order_line_id, order_date, ship_date, quantity, unit_price, "
@@ -378,12 +436,21 @@ def oracle() -> dict[str, str]:
              ("missing_product_id", "product_id IS NOT NULL"), ("non_positive_quantity", "quantity > 0"),
              ("non_positive_price", "unit_price > 0"), ("negative_net_revenue", "net_revenue >= 0"),
              ("ship_before_order", "days_to_ship >= 0")]
-    reasons = "concat_ws(',', " + ", ".join(
+    failed = "concat_ws(',', " + ", ".join(
         f"CASE WHEN NOT coalesce({cond}, false) THEN '{name}' END" for name, cond in rules) + ")"
     q["quarantine"] = (w(ORD_RAW, ORD_STD) + f"SELECT order_line_id, days_to_ship, net_revenue, reasons AS reject_reasons "
-                       f"FROM (SELECT *, {reasons} AS reasons FROM ord_std WHERE order_line_id IS NOT NULL "
+                       f"FROM (SELECT * EXCLUDE (reasons), {failed} AS reasons FROM ord_std WHERE order_line_id IS NOT NULL "
                        f"QUALIFY row_number() OVER (PARTITION BY order_line_id ORDER BY {ORD_TIEBREAK}) = 1) "
                        "WHERE reasons <> ''")
+    for name, ctes, std, key, columns in (
+            ("customers", BASE_C, "cust_std", "customer_id", "customer_id, email"),
+            ("products", BASE_P, "prod_std", "product_id", "product_id, product_name, unit_cost, unit_price"),
+            ("orders", BASE_O, "ord_std", "order_line_id", "order_line_id, order_id, quantity, unit_price")):
+        order = re.search(rf"PARTITION BY {key} ORDER BY (.*?)\) AS rn", ctes[2], re.S)[1]
+        q[f"quarantine_{name}"] = (w(*ctes) + f"SELECT {columns}, array_to_string(reasons, ',') AS reject_reasons FROM ("
+                                   f"SELECT * FROM {std} WHERE {key} IS NULL UNION ALL "
+                                   f"(SELECT * FROM {std} WHERE {key} IS NOT NULL QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1)) "
+                                   "WHERE len(reasons) > 0")
     q["surrogate_key"] = (w(*BASE_C, *BASE_P) + f"SELECT 'customer' AS entity, customer_id AS business_key, "
                           f"{sk('customer_id')} AS surrogate_key FROM cust_silver UNION ALL "
                           f"SELECT 'product', product_id, {sk('product_id')} FROM prod_silver")

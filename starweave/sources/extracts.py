@@ -3,8 +3,9 @@
 The warehouse expects three string-typed extracts (CRM customers, ERP
 products, e-commerce order lines). These functions render them from the
 typed ``customer / nation / region / part / orders / lineitem`` tables with
-some cosmetic dirt (padding, casing, punctuation) that Silver has to clean,
-so the whole Bronze → Gold path does real work at any scale factor.
+cosmetic dirt (padding, casing, punctuation) that Silver has to clean and, by
+modulo rules, bad rows (blank keys, bad dates and numbers, unknown products)
+that it has to reject, so the whole Bronze → Gold path does real work at any scale factor.
 
 Each extract is a narrow projection plus equi-joins: ``nation`` and
 ``region`` are bounded lookups (25 and 5 rows in TPC-H at any scale);
@@ -34,6 +35,32 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spoil(df: DataFrame, key: str, rules: dict) -> DataFrame:
+    """Replace values in rows whose key a modulus divides: ``{column: [(modulus, bad value), ...]}``, the first that
+    divides wins. ``key`` is dropped."""
+    def bad(c, cases):
+        out = None
+        for modulus, value in cases:
+            hit, value = F.col(key) % modulus == 0, value if isinstance(value, Column) else F.lit(value)
+            out = F.when(hit, value) if out is None else out.when(hit, value)
+        return out.otherwise(F.col(c))
+    return df.withColumns({c: bad(c, cases) for c, cases in rules.items()}).drop(key)
+
+
+# Fixed values of the bad rows (our own choices, mirrored by the SQL oracle): what every rule of Silver must catch.
+BAD_CUSTOMERS = {
+    "customer_id": [(79, "  ")], "email": [(97, None), (83, "no-at-sign")], "state": [(73, None)],
+    "registration_date": [(89, "not a date")]}
+BAD_PRODUCTS = {
+    "product_id": [(101, " ")], "product_name": [(71, None)], "unit_cost": [(67, "abc"), (59, "99999.00"), (37, "0")],
+    "unit_price": [(61, "0.00"), (41, "123456789.999")], "is_active": [(53, "maybe")], "created_date": [(47, "2024-02-30")],
+    "weight_kg": [(43, "heavy")]}
+BAD_ORDERS = {
+    "order_id": [(197, None)], "customer_id": [(191, None)], "product_id": [(139, None), (151, "p999999999")],
+    "ship_date": [(179, "2024-02-30")], "quantity": [(173, "abc"), (167, "0"), (113, "1.7"), (109, "2000000000")],
+    "unit_price": [(163, "0.00"), (137, "123456789.999"), (109, "99999999.00")], "discount_pct": [(157, "x")]}
+
+
 def _s(c: Column) -> Column:
     return c.cast("string")
 
@@ -61,7 +88,9 @@ def customer_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s(F.col("c_nationkey") * 10 + F.col("c_custkey") % 3 + 10000).alias("zip_code"),
         F.lower(F.col("c_mktsegment")).alias("customer_segment"),
         F.date_format(reg, "yyyy-MM-dd").alias("registration_date"),
+        F.col("c_custkey").alias("_k"),
     )
+    raw = _spoil(raw, "_k", BAD_CUSTOMERS)
     assert tuple(raw.columns) == CRM_CUSTOMERS.columns
     return add_audit_columns(raw, CRM_CUSTOMERS.source_system, BATCH_ID, MASTER_INGESTED_AT)
 
@@ -97,7 +126,9 @@ def product_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_size") >= 10, F.lit("yes")).otherwise(F.lit("N")).alias("is_active"),
         F.date_format(created, "yyyy-MM-dd").alias("created_date"),
         (F.col("p_size") * F.lit(Decimal("0.125"))).cast("decimal(8,3)").cast("string").alias("weight_kg"),
+        F.col("p_partkey").alias("_k"),
     )
+    raw = _spoil(raw, "_k", BAD_PRODUCTS)
     assert tuple(raw.columns) == ERP_PRODUCTS.columns
     return add_audit_columns(raw, ERP_PRODUCTS.source_system, BATCH_ID, MASTER_INGESTED_AT)
 
@@ -115,10 +146,12 @@ def order_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     unit_cents = F.when(qty != 0, int_div(price_cents(F.col("l_extendedprice")), qty))
     raw = j.select(
         F.concat(F.lit(" o"), _s(F.col("l_orderkey"))).alias("order_id"),
-        F.concat(F.lit("o"), _s(F.col("l_orderkey")), F.lit("-"), _s(F.col("l_linenumber"))).alias("order_line_id"),
+        F.when((F.col("l_orderkey") % 199 == 0) & (F.col("l_linenumber") == 1), F.lit("  ")).otherwise(
+            F.concat(F.lit("o"), _s(F.col("l_orderkey")), F.lit("-"), _s(F.col("l_linenumber")))).alias("order_line_id"),
         F.concat(F.lit("c"), _s(F.col("o_custkey"))).alias("customer_id"),
         F.concat(F.lit("p"), _s(F.col("l_partkey"))).alias("product_id"),
-        F.date_format(F.col("o_orderdate"), "yyyy-MM-dd").alias("order_date"),
+        F.when(F.col("l_orderkey") % 181 == 0, F.date_format(F.col("o_orderdate"), "yyyy/MM/dd"))
+         .otherwise(F.date_format(F.col("o_orderdate"), "yyyy-MM-dd")).alias("order_date"),
         F.date_format(F.col("l_shipdate"), "yyyy-MM-dd").alias("ship_date"),
         _s(qty).alias("quantity"),
         _cents_to_text(unit_cents).alias("unit_price"),
@@ -127,7 +160,9 @@ def order_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.col("l_linestatus")).alias("order_channel"),
         F.col("o_orderstatus").alias("order_status"),
         F.col("l_shipdate").alias("_ingested_at"),
+        F.col("l_orderkey").alias("_k"),
     )
+    raw = _spoil(raw, "_k", BAD_ORDERS)
     assert tuple(raw.columns[:-1]) == ECOM_ORDERS.columns
     out = add_audit_columns(raw, ECOM_ORDERS.source_system, BATCH_ID, F.col("_ingested_at"))
     return out.drop("_ingested_at")
