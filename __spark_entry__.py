@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 from starweave.functions.keys import surrogate_key  # noqa: E402
 from starweave.operators.quarantine import REASONS, split_valid  # noqa: E402
 from starweave.operators.quality import (DuplicateRate, NullRate, RowCount, ValueRange,  # noqa: E402
-                                         row_counts, run_checks)
+                                         overall, row_counts, run_checks)
 from starweave.operators.upsert import MERGE_ACTION, upsert  # noqa: E402
 from starweave.plans import reports, silver, suites  # noqa: E402
 from starweave.plans.star import Star, from_tables  # noqa: E402
@@ -276,6 +276,57 @@ def q_partition_publish(spark, d):
     return spark.read.parquet(path)
 
 
+def _order_parts(spark, d):
+    """Orders under string partition values that Spark would guess to be numbers, or has to escape."""
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    part = F.when(F.col("o_orderkey") % 5 == 4, F.lit("a:b")).otherwise(F.concat(F.lit("0"), (F.col("o_orderkey") % 5).cast("string")))
+    return o.select("o_orderkey", part.alias("part"), F.col("o_orderpriority").alias("priority"))
+
+
+def _scratch(spark, name):
+    import uuid
+    return f"{tables.checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def q_partition_publish_string(spark, d):
+    """Every third order moves to the next partition, and the moved rows are published."""
+    first, path = _order_parts(spark, d), _scratch(spark, "order_parts")
+    tables.publish_partitions(first, path, "o_orderkey", ["part", "priority"], "part")
+    moved = (first.filter(F.col("o_orderkey") % 3 == 0)
+             .withColumn("part", F.concat(F.lit("0"), (F.col("o_orderkey") % 4).cast("string")))
+             .withColumn("priority", F.lower("priority")))
+    tables.publish_partitions(moved, path, "o_orderkey", ["part", "priority"], "part")
+    return tables.read(spark, path, first.schema)
+
+
+def q_partition_publish_noop(spark, d):
+    """Publishing what is there already touches no partition."""
+    first, path = _order_parts(spark, d), _scratch(spark, "order_parts")
+    tables.publish_partitions(first, path, "o_orderkey", ["part", "priority"], "part")
+    info = tables.publish_partitions(first, path, "o_orderkey", ["part", "priority"], "part")
+    out = tables.read(spark, path, first.schema)
+    return out.groupBy("part").agg(F.count(F.lit(1)).alias("row_count"), F.lit(info["touched"]).cast("bigint").alias("touched"))
+
+
+def q_scd1_evolve(spark, d):
+    """The second load brings a column that the target lacks: matched rows receive it, and stamps follow."""
+    target, source, _ = _order_batches(spark, d)
+    first, second = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+    stamp = lambda df, t: df.withColumns({c: F.lit(t).cast("timestamp") for c in ("created_at", "updated_at")})
+    t = stamp(target.select("order_line_id", "quantity"), first)
+    s = stamp(source.select("order_line_id", "quantity", "order_channel"), second)
+    return upsert(t, s, "order_line_id", ["quantity"], now=second, with_action=True)
+
+
+def q_zorder_strings(spark, d):
+    """Clustered rewrite of the customers on string columns (same rows)."""
+    return zorder(_no_ts(_star(spark, d).dim_customer), ["customer_bk", "country", "state"])
+
+
+def q_dq_overall(spark, d):
+    return overall(q_dq_suite(spark, d))
+
+
 # --- Data quality -----------------------------------------------------------
 
 def q_dq_nulls(spark, d):

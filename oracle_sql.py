@@ -475,6 +475,23 @@ def oracle() -> dict[str, str]:
     q["scd1_upsert"] = _upsert_sql(["order_line_id"])
     q["scd1_upsert_multi"] = _upsert_sql(["order_id", "order_line_id"])
     q["scd1_unchanged_noop"] = _noop_sql()
+    part = "CASE WHEN o_orderkey % 5 = 4 THEN 'a:b' ELSE '0' || CAST(o_orderkey % 5 AS VARCHAR) END"
+    q["partition_publish_string"] = (
+        f"SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '0' || CAST(o_orderkey % 4 AS VARCHAR) ELSE {part} END AS part, "
+        "CASE WHEN o_orderkey % 3 = 0 THEN lower(o_orderpriority) ELSE o_orderpriority END AS priority FROM orders")
+    q["partition_publish_noop"] = f"SELECT {part} AS part, count(*) AS row_count, CAST(0 AS BIGINT) AS touched FROM orders GROUP BY 1"
+    early, late = "TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-02-01 00:00:00'"
+    q["scd1_evolve"] = (
+        w(ORD_RAW, ORD_STD, ord_silver("b1", f"ingested_at < TIMESTAMP '{CUTOFF}'"), ord_silver("b2", f"ingested_at >= TIMESTAMP '{CUTOFF}'"))
+        + "SELECT coalesce(t.order_line_id, s.order_line_id) AS order_line_id, "
+        "CASE WHEN s.order_line_id IS NOT NULL THEN s.quantity ELSE t.quantity END AS quantity, s.order_channel, "
+        f"CASE WHEN t.order_line_id IS NULL THEN {late} ELSE {early} END AS created_at, "
+        "CASE WHEN t.order_line_id IS NULL OR (s.order_line_id IS NOT NULL AND (t.quantity IS DISTINCT FROM s.quantity OR s.order_channel IS NOT NULL)) "
+        f"THEN {late} ELSE {early} END AS updated_at, "
+        "CASE WHEN t.order_line_id IS NULL THEN 'insert' WHEN s.order_line_id IS NULL THEN 'keep' "
+        "WHEN t.quantity IS DISTINCT FROM s.quantity OR s.order_channel IS NOT NULL THEN 'update' ELSE 'noop' END AS merge_action "
+        "FROM b1 t FULL OUTER JOIN b2 s ON t.order_line_id = s.order_line_id")
+    q["zorder_strings"] = q["dim_customer"]
     q["dq_nulls"] = w(*STAR) + _suite("fact_sales", "fact", nulls=(
         "order_line_id", "customer_sk", "product_sk", "order_date_sk", "ship_date_sk", "geography_sk", "unit_cost"))
     q["dq_duplicates"] = w(ORD_RAW, ORD_STD) + _suite("bronze_orders", "ord_std", min_rows=1, dup=("order_line_id",))
@@ -507,6 +524,8 @@ def oracle() -> dict[str, str]:
               ("GOLD", "dim_customer", "dim_customer"), ("GOLD", "dim_product", "dim_product"),
               ("GOLD", "dim_date", "dim_date"), ("GOLD", "dim_geography", "dim_geography"),
               ("GOLD", "fact_sales", "fact")]
+    q["dq_overall"] = ("SELECT table_name, count(*) AS checks, count(*) FILTER (WHERE NOT passed) AS failed, bool_and(passed) AS passed "
+                       f"FROM ({q['dq_suite']}) GROUP BY table_name")
     q["layer_row_counts"] = w(*STAR) + "\nUNION ALL\n".join(
         f"SELECT '{l}' AS layer, '{n}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM {v}"
         for l, n, v in counts)
