@@ -2,8 +2,7 @@
 
 A rule is a boolean Column; NULL counts as failed (a NULL operand in
 ``price > 0`` must not let the row through). Both outputs come from one
-tagged frame: write it once partitioned by validity (``tables.write_split``)
-to avoid evaluating the upstream lineage twice on large inputs.
+tagged frame: stage it (``tables.stage``) so the upstream lineage is evaluated once.
 """
 from __future__ import annotations
 

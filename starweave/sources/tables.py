@@ -235,6 +235,19 @@ def partition_folder(spark: SparkSession, column: str, value) -> str:
     return f"{escape(column)}={escape(str(value))}"
 
 
+def _partitions(spark: SparkSession, table_path: str, partition_col: str, values, known: StructType) -> DataFrame:
+    """The rows of some partitions. Only their folders are listed, and only their files asked for columns
+    that ``known`` lacks (a rewrite must not lose one)."""
+    folders = [f"{table_path}/{partition_folder(spark, partition_col, v)}" for v in values]
+    folders = [f for f in folders if exists(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], known)
+    found = spark.read.option("mergeSchema", "true").option("basePath", table_path).parquet(*folders).schema
+    extra = [f for f in found if f.name not in known.names]
+    rows = spark.read.schema(StructType([*known, *extra])).option("basePath", table_path).parquet(*folders)
+    return rows.filter(_any_of(partition_col, values))
+
+
 def publish_partitions(source: DataFrame, table_path: str, keys, update_cols, partition_col: str,
                        now=None, only_changed: bool = True, sort_by=(),
                        source_is_staged: bool = False) -> dict:
@@ -262,10 +275,11 @@ def publish_partitions(source: DataFrame, table_path: str, keys, update_cols, pa
     staged: list = []
     if not source_is_staged:  # read several times below: evaluate it once
         source = stage(source, "source", track=staged)
-    target = read(spark, table_path, source.schema)
-    held = stage(target.select(*keys, partition_col).join(source.select(*keys).distinct(), keys, "left_semi"), "held", track=staged)
+    slim = StructType([f for f in source.schema if f.name in (*keys, partition_col)])
+    everywhere = spark.read.schema(slim).parquet(table_path)
+    held = stage(everywhere.select(*keys, partition_col).join(source.select(*keys).distinct(), keys, "left_semi"), "held", track=staged)
     near = {r[0] for r in held.select(partition_col).union(source.select(partition_col)).distinct().collect()}
-    target = target.filter(_any_of(partition_col, near)).withColumn("__from", F.col(partition_col))
+    target = _partitions(spark, table_path, partition_col, near, source.schema).withColumn("__from", F.col(partition_col))
     again = held.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys)
     healed = not again.isEmpty()
     if healed:  # an interrupted publish left several rows of a key
