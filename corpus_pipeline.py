@@ -29,9 +29,13 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; the rows of the last one."""
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for n, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{n}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if last:  # what this run wrote for the stage that has ended
+            old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(last)
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+        last = path
     return docs
