@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 from ._cluster import checkpointed, small_side
 from ._tokens import NOT_SPACE, chunks, shingles, words
 
-#: Rows of a bucket that one block of the second round holds.
-BLOCK_ROWS = 512
+#: Bytes of text that one block of a bucket holds, about.
+BLOCK_BYTES = 4 << 20
 #: Rounds of hubs, and hubs that a class tries in each.
 ROUNDS, TRIES = 2, 6
 #: Standard deviations below the threshold at which a signature still passes.
@@ -118,11 +118,13 @@ def _mixed(shared: DataFrame, comp: DataFrame) -> DataFrame:
 def _across(mixed: DataFrame, sketches: DataFrame, texts: DataFrame, jaccard: float, k: int) -> DataFrame:
     """Links between members of a bucket that lie in two components.
 
-    Buckets are searched in blocks of ``BLOCK_ROWS`` members against blocks.
+    Buckets are searched in blocks of ``BLOCK_BYTES`` of text against blocks;
+    nearly all buckets are one block, and their texts are sent once.
     Pairs whose signatures allow the threshold are verified on the spot, on
     whole texts; only links leave the task, never candidates.
     """
-    blocks = mixed.groupBy("band").agg(F.expr(f"CAST(ceil(count(*) / {BLOCK_ROWS}) AS INT)").alias("blocks"))
+    sized = mixed.join(texts.select("cls", F.octet_length("text").alias("size")), "cls")
+    blocks = sized.groupBy("band").agg(F.expr(f"CAST(ceil((sum(size) + 1) / {BLOCK_BYTES}) AS INT)").alias("blocks"))
     member = (mixed.join(blocks, "band").join(sketches, "cls").join(texts, "cls")
               .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))))

@@ -66,7 +66,7 @@ def test_a_chain_and_a_wide_star(spark):
 
 def test_blocks_of_one_bucket_meet_each_other(spark, corpus, monkeypatch):
     from starweave.llm import _linking
-    monkeypatch.setattr(_linking, "BLOCK_ROWS", 2)
+    monkeypatch.setattr(_linking, "BLOCK_BYTES", 600)
     monkeypatch.setattr(_linking, "ROUNDS", 0)  # the search in blocks alone
     rows = [(r.doc_id, r.text) for r in corpus.select("doc_id", "text").collect()]
     got = near_dedup.near_duplicates(corpus).collect()
