@@ -6,15 +6,18 @@ Two kinds of paragraph are compared over all documents:
   ``ROWS`` coordinates (99.8 % of pairs at the threshold meet, and 99.99 % of
   those at 0.85); lines that meet are joined and verified by the exact Jaccard of
   their whole sets of five-word shingles;
-* content-defined paragraphs: a line end is no border for them; one begins at
-  each word whose three-word hash is the smallest within ``REACH`` places on
-  either side. A passage that stands inside different lines is cut at the same
-  words wherever it stands, so its inner paragraphs are equal. They are too
-  short for a changed word to leave 0.75, so equal words are their only link.
+* every run of ``SPAN_WORDS`` words, wherever it stands (a line end is no border),
+  by equal words. The smallest of a run's ``GRAM``-word hashes is its anchor: equal
+  runs have equal anchors, and neighbours that share one are a stretch, the unit
+  that is shuffled. Anchors of a single place are left out. Where all stretches of
+  an anchor are equal, so are their runs; else the runs of one stretch of each kind
+  are compared. So every passage of ``SPAN_WORDS`` words or more that stands in two
+  places is found, word by word.
 
 A component's first paragraph, by ``doc_id``, then the text's hash, then place,
-stays; the others are removals. Removals of a document are merged, and stretches
-of ``SPAN_WORDS`` words or more are reported, with the documents that keep them.
+stays; the others are removals, but for words that a run shares with its own first
+place. Removals of a document are merged, and stretches of ``SPAN_WORDS`` words or
+more are reported, with the documents that keep them.
 
 Defined results: a NULL or blank text has no paragraphs; a NULL ``doc_id`` comes
 first; rows that repeat id and text are one document; extra columns are ignored;
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ._cluster import checkpointed, small_side
 from ._linking import link
@@ -37,8 +40,8 @@ SHINGLE, JACCARD = 5, 0.75
 #: Words of a line that is compared by MinHash, at least.
 LINE_WORDS = 40
 BANDS, ROWS = 14, 3
-REACH = 8
-SPAN_WORDS = 20
+#: Words of a reported stretch, at least, and of the pieces whose smallest hash anchors a run.
+SPAN_WORDS, GRAM = 20, 8
 _NO_ID = -(1 << 63)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -79,36 +82,47 @@ def _lines(buf: np.ndarray, off: np.ndarray, h: np.ndarray, first: np.ndarray, s
     return np.searchsorted(first, lo, side="right") - 1, lo, hi
 
 
-def _anchored(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Content-defined paragraphs: their document, first word and end word."""
-    g, at = shingles(h, first, 3)
-    if not len(g):
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    place = first[doc] + np.arange(len(g)) - at[doc]
-    low = np.full(len(g) + 2 * REACH, np.iinfo(np.uint64).max, np.uint64)
-    low[REACH: REACH + len(g)] = g
-    window = np.lib.stride_tricks.sliding_window_view(low, 2 * REACH + 1)
-    begin = np.flatnonzero(g == window.min(axis=1))
-    a, b = begin[:-1], begin[1:]
-    same = doc[a] == doc[b]
-    return doc[a[same]], place[a[same]], place[b[same]]
+def _anchors(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of ``SPAN_WORDS`` words inside a document: document, first word, place of the anchor (the last smallest)."""
+    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    place = np.flatnonzero(np.arange(len(h)) + SPAN_WORDS <= first[doc + 1]) if len(h) else np.zeros(0, np.int64)
+    if not len(place):
+        return place, place, place
+    begin = np.arange(len(h) - GRAM + 1)
+    g = _sequence_hash(h, begin, begin + GRAM, _A)
+    # Pieces across the border of two documents lie in no run that is kept.
+    n = len(h) - SPAN_WORDS + 1
+    low, at = g[SPAN_WORDS - GRAM:].copy(), np.full(n, SPAN_WORDS - GRAM)
+    for k in range(SPAN_WORDS - GRAM - 1, -1, -1):
+        less = g[k: k + n] < low
+        low[less], at[less] = g[k: k + n][less], k
+    at = place + at[place]
+    return doc[place], place, at
 
 
 def _paragraphs(docs: DataFrame, what: str) -> DataFrame:
-    """What a scan of the whole texts gives: ``bands`` or ``texts`` of lines, or ``members`` of both kinds."""
+    """What a scan of the whole texts gives: ``bands``, ``texts`` or ``members`` of lines, or ``anchors``: stretches of runs."""
     schema = {"bands": "cls binary, bands array<bigint>, sketch binary", "texts": "cls binary, text string",
-              "members": "d bigint, t bigint, a bigint, b bigint, from int, to int"}[what]
+              "members": "d bigint, t bigint, a bigint, b bigint, from int, to int",
+              "anchors": "d bigint, t bigint, g bigint, s bigint, from int, to int"}[what]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, _, buf, off in chunks(batch.column("text")):
                 h, first, s, e = words(buf, off, NOT_SPACE)
+                if what == "anchors":
+                    doc, place, at = _anchors(h, first)
+                    if not len(doc):
+                        continue
+                    new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+                    last = np.append(new[1:], len(at)) - 1
+                    g, s = _sequence_hash(h, at[new], at[new] + GRAM, _A), _sequence_hash(h, place[new], place[last] + SPAN_WORDS, _B)
+                    at_row, own = start + doc[new], first[doc[new]]
+                    yield pa.RecordBatch.from_arrays([pa.array(batch.column("d").to_numpy()[at_row]), pa.array(batch.column("t").to_numpy()[at_row]), pa.array(g.view(np.int64)), pa.array(s.view(np.int64)),
+                                                      pa.array((place[new] - own).astype(np.int32)), pa.array((place[last] - own + SPAN_WORDS).astype(np.int32))],
+                                                     ["d", "t", "g", "s", "from", "to"])
+                    continue
                 doc, lo, hi = _lines(buf, off, h, first, s)
-                if what == "members":
-                    more = _anchored(h, first)
-                    doc, lo, hi = (np.concatenate([x, y]) for x, y in zip((doc, lo, hi), more, strict=True))
                 if not len(doc):
                     continue
                 a, b = _sequence_hash(h, lo, hi, _A), _sequence_hash(h, lo, hi, _B)
@@ -141,6 +155,63 @@ def _paragraphs(docs: DataFrame, what: str) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _runs(chosen: DataFrame) -> DataFrame:
+    """``d, t, a, b, stretch, from``: the runs of ``SPAN_WORDS`` words in the stretches ``at`` of each document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("at")
+            edge = column.offsets.to_numpy().astype(np.int64)
+            begin, end = (column.values.field(k).to_numpy().astype(np.int64) for k in (0, 1))
+            d, t = batch.column("d").to_numpy(), batch.column("t").to_numpy()
+            for start, stop, buf, off in chunks(batch.column("text")):
+                h, first, _, _ = words(buf, off, NOT_SPACE)
+                mine = slice(edge[start], edge[stop])
+                n = end[mine] - begin[mine] - SPAN_WORDS + 1
+                row = np.repeat(np.repeat(np.arange(stop - start), np.diff(edge[start: stop + 1])), n)
+                stretch = np.repeat(begin[mine], n)
+                at = stretch + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                lo = first[row] + at
+                a, b = (_sequence_hash(h, lo, lo + SPAN_WORDS, seed) for seed in (_A, _B))
+                yield pa.RecordBatch.from_arrays([pa.array(d[start + row]), pa.array(t[start + row]), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
+                                                  pa.array(stretch.astype(np.int32)), pa.array(at.astype(np.int32))], ["d", "t", "a", "b", "stretch", "from"])
+
+    return chosen.mapInArrow(run, "d bigint, t bigint, a bigint, b bigint, stretch int, from int")
+
+
+def _later(d: str, t: str, begin: str, end: str, first: str) -> list[Column]:
+    """The document and the words that a later copy loses; one that overlaps its first place leaves that place whole."""
+    own = (F.col(d) == F.col(f"{first}.d")) & (F.col(t) == F.col(f"{first}.t"))
+    # Runs move by as many places as their stretch.
+    moved = F.when(own, F.greatest(F.lit(0), F.lit(SPAN_WORDS) - F.col(begin) + F.col(f"{first}.from"))).otherwise(F.lit(0))
+    return [F.col(d).alias("d"), F.col(t).alias("t"), (F.col(begin) + moved).alias("from"), F.col(end).alias("to")]
+
+
+def _repeated(whole: DataFrame) -> DataFrame:
+    """``d, t, from, to, kept``: later copies of runs of ``SPAN_WORDS`` words, as stretches or single runs."""
+    place = F.struct("d", "t", "from")
+    often = (_paragraphs(whole, "anchors").groupBy("g").agg(F.count("*").alias("c"), (F.min("s") < F.max("s")).alias("mixed"))
+             .filter("c > 1").select("g", "mixed"))
+    found = checkpointed(_paragraphs(whole, "anchors").join(often, "g"))
+    kind = checkpointed(found.groupBy("g", "s").agg(F.min(place).alias("first"), F.first("to").alias("any_to"), F.first("from").alias("any_from"),
+                                                    F.first("mixed").alias("mixed"), F.count("*").alias("c"))
+                        .select("g", "s", "first", "mixed", "c", (F.col("first.from") + F.col("any_to") - F.col("any_from")).alias("end")))
+    # Kinds of one anchor have runs in common, or none: those of each kind's first place are compared.
+    chosen = checkpointed(kind.filter("mixed").groupBy(F.col("first.d").alias("d"), F.col("first.t").alias("t"))
+                          .agg(F.collect_list(F.struct(F.col("first.from").alias("from"), F.col("end").alias("to"))).alias("at")))
+    once = whole.join(small_side(chosen, 256), ["d", "t"]).dropDuplicates(["d", "t"]).select("d", "t", "text", "at")
+    runs = checkpointed(_runs(once))
+    low = runs.groupBy("a", "b").agg(F.min(place).alias("low"), F.count("*").alias("n")).filter("n > 1").select("a", "b", "low")
+    runs = checkpointed(runs.join(low, ["a", "b"], "left").select("d", "t", "stretch", "from", F.coalesce("low", place).alias("low")))
+    keeps = runs.groupBy("d", "t", F.col("stretch").alias("from")).agg(F.collect_set("low.d").alias("kept")).select(place.alias("first"), "kept")
+    several = checkpointed(kind.filter("c > 1").join(keeps, "first", "left")
+                           .select("g", "s", "first", F.coalesce("kept", F.array("first.d")).alias("kept")))
+    copies = found.join(several, ["g", "s"]).filter(place != F.col("first"))
+    single = runs.withColumn("to", F.col("from") + SPAN_WORDS).filter(place != F.col("low"))
+    return copies.select(*_later("d", "t", "from", "to", "first"), "kept").union(
+        single.select(*_later("d", "t", "from", "to", "low"), F.array("low.d").alias("kept")))
+
+
 def removals(docs: DataFrame) -> DataFrame:
     """``d, t`` (the document), ``spans`` (sorted, ``[from, to)`` in words) and ``kept_in`` (ids of the documents that keep them)."""
     whole = docs.filter(F.col("text").isNotNull()).select(
@@ -153,13 +224,13 @@ def removals(docs: DataFrame) -> DataFrame:
     linked = checkpointed(link(classes, texts_of, JACCARD, SHINGLE).filter("cls <> comp"))
     number = lambda c, at: F.conv(F.hex(F.substring(c, at, 8)), 16, -10).cast("long")
     same = checkpointed(linked.select(number("cls", 1).alias("a"), number("cls", 9).alias("b"), number("comp", 1).alias("ca"), number("comp", 9).alias("cb")))
-    members = (_paragraphs(whole, "members").join(small_side(same, 40), ["a", "b"], "left")
-               .select("d", "t", "from", "to", F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-    often = members.groupBy("a").agg(F.count("*").alias("c")).filter("c > 1").select("a")
-    found = checkpointed(members.join(often, "a").distinct())
+    # Equal lines are equal runs: only components of several lines are left.
+    several = checkpointed(same.union(same.select(F.col("ca").alias("a"), F.col("cb").alias("b"), "ca", "cb").distinct()))
+    found = checkpointed(_paragraphs(whole, "members").join(small_side(several, 40), ["a", "b"]).select("d", "t", "from", "to", "ca", "cb"))
     place = F.struct("d", "t", "from")
-    first = found.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("c")).filter("c > 1").select("a", "b", "first")
-    later = found.join(first, ["a", "b"]).filter(place != F.col("first")).select("d", "t", "from", "to", F.col("first.d").alias("kept"))
+    first = found.groupBy("ca", "cb").agg(F.min(place).alias("first"))
+    lines = found.join(first, ["ca", "cb"]).filter(place != F.col("first")).select("d", "t", "from", "to", F.array("first.d").alias("kept"))
+    later = lines.union(_repeated(whole))
     # Merge what overlaps or touches.
     order = Window.partitionBy("d", "t").orderBy("from", "to")
     reach = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -168,7 +239,7 @@ def removals(docs: DataFrame) -> DataFrame:
               .agg(F.min("from").alias("from"), F.max("to").alias("to"), F.collect_set("kept").alias("kept"))
               .filter(F.col("to") - F.col("from") >= SPAN_WORDS))
     return merged.groupBy("d", "t").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("spans"),
-                                        F.array_sort(F.array_distinct(F.flatten(F.collect_list("kept")))).alias("kept_in"))
+                                        F.array_sort(F.array_distinct(F.flatten(F.flatten(F.collect_list("kept"))))).alias("kept_in"))
 
 
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:

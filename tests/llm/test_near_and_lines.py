@@ -144,3 +144,33 @@ def test_only_empty_documents(spark, text):
     docs = spark.createDataFrame([(1, text), (2, text)], "doc_id bigint, text string")
     assert sorted((r.doc_id, r.component_id, r.n_shingles) for r in near_dedup.near_duplicates(docs).collect()) == [(1, 1, 0), (2, 2, 0)]
     assert line_dedup.dedup_lines(docs).count() == 2
+
+
+def brute_runs(docs, size):
+    """Words that a run of ``size`` words at an earlier place repeats, but those of that place itself."""
+    first, gone = {}, defaultdict(set)
+    for d, text in sorted(docs):
+        w = space_words(text)
+        for p in range(len(w) - size + 1):
+            k = tuple(w[p: p + size])
+            d0, p0 = first.setdefault(k, (d, p))
+            if (d0, p0) != (d, p):
+                gone[d].update(range(max(p, p0 + size) if d0 == d else p, p + size))
+    return gone
+
+
+def test_substring_dedup_finds_every_passage_word_by_word(spark):
+    import random
+
+    from conftest import sentence
+    rng = random.Random(17)
+    rows = []
+    for n in [*range(50, 56)] * 8 + [20, 21, 25, 30, 39] * 5:
+        passage = sentence(rng, n)
+        for _ in range(2):
+            rows.append((len(rows), f"{sentence(rng, rng.randint(5, 60))} {passage} {sentence(rng, rng.randint(5, 60))}"))
+    rows += [(len(rows), " ".join(["la"] * 70)), (len(rows) + 1, " ".join(sentence(rng, 7).split() * 9)), (len(rows) + 2, rows[0][1].split(" ", 3)[3])]
+    out = {r.d: {i for x in r.spans for i in range(x["from"], x["to"])} for r in
+           substring_dedup.removals(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == {d: w for d, w in brute_runs(rows, 20).items() if w}
+    assert {2 * i + 1 for i in range(73)} <= set(out)
