@@ -38,7 +38,7 @@ from ._tokens import NOT_SPACE, chunks, mix, shingles, words
 
 SHINGLE, JACCARD = 5, 0.75
 #: Words of a line that is compared by MinHash, at least.
-LINE_WORDS = 40
+LINE_WORDS = 20
 BANDS, ROWS = 14, 3
 #: Words of a reported stretch, at least, and of the pieces whose smallest hash anchors a run.
 SPAN_WORDS, GRAM = 20, 8

@@ -174,3 +174,19 @@ def test_substring_dedup_finds_every_passage_word_by_word(spark):
            substring_dedup.removals(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert out == {d: w for d, w in brute_runs(rows, 20).items() if w}
     assert {2 * i + 1 for i in range(73)} <= set(out)
+
+
+def test_substring_dedup_compares_lines_of_20_words(spark):
+    import random
+
+    from conftest import sentence
+    rng = random.Random(23)
+    rows, expected = [], {}
+    for n in [20, 21, 24, 30, 39] * 6:
+        line = sentence(rng, n).split()
+        near = [*line[:-1], "changed"] if n < 39 else [*line[:19], "changed", *line[20:]]
+        before = rng.randint(3, 18)
+        rows += [(len(rows), " ".join(line)), (len(rows) + 1, f"{sentence(rng, before)}\n{' '.join(near)}\n{sentence(rng, 6)}")]
+        expected[len(rows) - 1] = [(before, before + n)]
+    out = {r.d: [(x["from"], x["to"]) for x in r.spans] for r in substring_dedup.removals(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == expected
