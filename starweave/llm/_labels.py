@@ -13,7 +13,9 @@ def remainder(doc_id: Column, n: int) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, name: str, fold: int, of: int, bound: int) -> DataFrame:
-    """``(text, label)`` of distinct texts outside the held-out fold, about ``bound`` of each class at most.
+    """``(text, label, share)`` of distinct texts outside the held-out fold, about ``bound`` of each class at most.
+
+    ``share`` is the part of the label's class that was drawn.
 
     An id with several labels has the largest; a class of more documents than
     ``bound`` is thinned by a hash of the id, which any number of executors
@@ -25,10 +27,11 @@ def labelled(docs: DataFrame, labels: DataFrame, name: str, fold: int, of: int,
     own = checkpointed(own)
     size = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}
     if not size:
-        return docs.select("text", F.lit(0).alias("label")).limit(0)
+        return docs.select("text", F.lit(0).alias("label"), F.lit(1.0).alias("share")).limit(0)
     share = F.coalesce(*[F.when(F.col("label") == k, F.lit(min(1.0, bound / n))) for k, n in sorted(size.items())])
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = checkpointed(own.filter(draw < share))
+    chosen = checkpointed(own.withColumn("share", share).filter(draw < F.col("share")))
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("text").isNotNull())
     return checkpointed(found.join(small_side(chosen, 32), "doc_id").groupBy(F.md5("text").alias("m"))
-                        .agg(F.first("text").alias("text"), F.max("label").alias("label")).select("text", "label"))
+                        .agg(F.first("text").alias("text"), F.max(F.struct("label", "share")).alias("most"))
+                        .select("text", "most.label", "most.share"))

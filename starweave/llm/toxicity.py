@@ -237,14 +237,18 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool]]:
     return sorted(terms)
 
 
-def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weights of a logistic model, the last one being the bias; hits never lower the score but when quoted."""
+def _fit(x: np.ndarray, y: np.ndarray, counts: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+    """Weights of a logistic model, the last one being the bias; hits never lower the score but when quoted.
+
+    ``counts`` is the number of labelled documents that a row stands for.
+    """
+    counts = counts / counts.mean()
     a = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(a.shape[1])
     rate = 1.0
     for _ in range(3000):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        grad = a.T @ (p - y) / len(y) + ridge * np.append(w[:-1], 0) / 10
+        grad = a.T @ (counts * (p - y)) / len(y) + ridge * np.append(w[:-1], 0) / 10
         w -= rate * grad
         w[[0, 2, 3]] = np.maximum(w[[0, 2, 3]], 0)
     return w
@@ -279,14 +283,16 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Model:
         for batch in batches:
             for lo, hi, buf, off in chunks(batch.column("text")):
                 x = scorer.features(buf, off)
-                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column("label").slice(lo, hi - lo)], ["x", "y"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column("label").slice(lo, hi - lo), batch.column("share").slice(lo, hi - lo)], ["x", "y", "share"])
 
-    rows = sample.mapInArrow(run, "x array<double>, y int").groupBy("x", "y").count().collect()  # bounded by the sample
+    rows = sample.mapInArrow(run, "x array<double>, y int, share double").groupBy("x", "y", "share").count().collect()  # bounded by the sample
     if not any(r["y"] == 1 for r in rows):
         return Model([], None)
     x = np.repeat(np.array([r["x"] for r in rows]), [r["count"] for r in rows], axis=0)
     y = np.repeat(np.array([r["y"] == 1 for r in rows], float), [r["count"] for r in rows])
-    return Model(terms, _fit(x, y))
+    # A class that was thinned counts as much as in the labels, so scores do not depend on the size of the input.
+    share = np.repeat(np.array([r["share"] for r in rows]), [r["count"] for r in rows])
+    return Model(terms, _fit(x, y, 1 / share))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

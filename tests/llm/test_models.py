@@ -132,3 +132,20 @@ def test_labels_of_the_held_out_fold_are_not_used(spark, texts):
     sample = labelled(docs, labels, "toxic", 1, 3, 50).collect()
     assert sample and not held & {r.text for r in sample}
     assert sum(r.label == 0 for r in sample) < 80
+
+
+def test_toxicity_of_thinned_labels_is_that_of_all(spark):
+    rng = random.Random(29)
+    rows = []
+    for i in range(3000):
+        words = sentence(rng, 30, "klmnopqr").split()
+        toxic = int(i % 20 < 3)
+        hits = (1 if rng.random() < 0.1 else 2) if toxic else int(rng.random() < 0.03)
+        for at in rng.sample(range(30), hits):
+            words[at] = "blockhead"
+        rows.append((i, " ".join(words), toxic))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").checkpoint()
+    probe = spark.createDataFrame([(n, "lorem ipsum dolor " * 9 + "blockhead " * n) for n in range(3)], "doc_id bigint, text string")
+    whole, thinned = ({r.doc_id: r.score for r in toxicity.scored(probe, toxicity.learn(df, df, bound)).collect()} for bound in (4000, 290))
+    assert whole[1] < toxicity.THRESHOLD < whole[2]
+    assert all(abs(whole[n] - thinned[n]) < 0.12 and (whole[n] < toxicity.THRESHOLD) == (thinned[n] < toxicity.THRESHOLD) for n in whole), (whole, thinned)
