@@ -7,9 +7,12 @@ prefix has ``2**k`` lines or more. Only intervals of several suffixes go on, so
 the rounds shrink, and they end when no longer run repeats. The places of an
 interval but the first, by ``doc_id``, then by the text's hash, then by line,
 are later copies. A line is deleted if it lies in a later copy of a run that
-has ``MIN_CHARS`` characters or more; the copies of a maximal run are covered
-by the copies of its power-of-two runs. Names are 128-bit hashes instead of
-sorted ranks, so a round needs no global sort.
+has ``MIN_CHARS`` characters or more, whatever its number of lines: each line of
+such a run lies in one of ``2**k`` lines, in the shortest long enough one from a
+line on, or in the shortest long enough one up to a line. The names of two
+overlapping runs of ``2**k`` lines are the name of any run of fewer than twice as
+many. Names are 128-bit hashes instead of sorted ranks, so a round needs no
+global sort.
 
 Only DataFrame functions run here. Line ids, places and lengths are shuffled;
 the texts are not, unless the deletions are too large to broadcast.
@@ -39,17 +42,48 @@ def _keys() -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("d"), F.xxhash64("text").alias("t")]
 
 
+def _shortest(active: DataFrame, min_chars: int) -> DataFrame:
+    """``d, t, line, lines``: for each line, the shortest runs of ``min_chars`` characters that begin and that end there.
+
+    Lines that are left out make a run too long in lines; it then has no name.
+    """
+    so_far = F.sum("n").over(Window.partitionBy("d", "t").orderBy("line"))
+    total = active.select("d", "t", "line", so_far.alias("upto"), (so_far - F.col("n")).alias("before"))
+    row = lambda at, place, of: total.select("d", "t", F.col(at).alias("at") if isinstance(at, str) else at.alias("at"), place.alias("place"), of.alias("of"))
+    none, line = F.lit(None).cast("int"), F.col("line")
+    order = Window.partitionBy("d", "t").rowsBetween(Window.unboundedPreceding, 0)
+    ends = row("upto", line, none).union(row(F.col("before") + min_chars, none, line)).withColumn(
+        "place", F.min("place").over(order.orderBy(F.desc("at"), F.col("of").asc_nulls_first())))
+    begins = row("before", line, none).union(row(F.col("upto") - min_chars, none, line)).withColumn(
+        "place", F.max("place").over(order.orderBy(F.asc("at"), F.col("of").asc_nulls_first())))
+    runs = ends.filter("of IS NOT NULL AND place IS NOT NULL").select("d", "t", F.col("of").alias("line"), (F.col("place") - F.col("of") + 1).alias("lines"))
+    return runs.union(begins.filter("of IS NOT NULL AND place IS NOT NULL").select("d", "t", F.col("place").alias("line"), (F.col("of") - F.col("place") + 1).alias("lines"))).distinct()
+
+
+def _between(active: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """Later copies of the ``wanted`` runs of more than ``size`` and fewer than twice as many lines, named by two of ``size``."""
+    place = F.struct("d", "t", "line")
+    second = active.select("d", "t", F.col("line").alias("line2"), F.col("a").alias("a2"), F.col("b").alias("b2"))
+    named = checkpointed(wanted.filter(F.col("lines").between(size + 1, 2 * size - 1)).join(active.select("d", "t", "line", "a", "b"), ["d", "t", "line"])
+                         .withColumn("line2", F.col("line") + F.col("lines") - size).join(second, ["d", "t", "line2"]))
+    # Whether a run is a shortest one depends on its own lines only, so all its places are wanted.
+    name = ["lines", "a", "b", "a2", "b2"]
+    first = named.groupBy(*name).agg(F.min(place).alias("first"), F.count("*").alias("c")).filter("c > 1").select(*name, "first")
+    return (named.join(first, name).filter(place != F.col("first"))
+            .select("d", "t", "line", "lines", F.col("first.d").alias("first_d"), F.col("first.line").alias("first_line")))
+
+
 def repeated_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Later copies: ``d, t`` (the document), ``line``, ``lines``, ``first_d``, ``first_line``.
 
-    One row for each place and round, with the first place of the same run.
+    One row for each place and round, and for each shortest run, with the first place of the same run.
     """
     line = (docs.filter(F.col("text").isNotNull()).select(*_keys(), F.posexplode(F.split("text", "\n", -1)).alias("line", "s"))
             .select("d", "t", "line", F.xxhash64("s").alias("a"), F.xxhash64(F.lit(1), "s").alias("b"), F.length("s").alias("n")))
     line = checkpointed(line)
     often = line.groupBy("a", "b").agg(F.count("*").alias("c")).filter("c > 1").select("a", "b")
     active = line.join(often, ["a", "b"]).groupBy("d", "t", "line").agg(*[F.first(c).alias(c) for c in ("a", "b", "n")])
-    place, size, found = F.struct("d", "t", "line"), 1, []
+    place, size, found, wanted, most = F.struct("d", "t", "line"), 1, [], None, 0
     while True:
         active = checkpointed(active)
         first = (active.groupBy("a", "b").agg(F.count("*").alias("c"), F.min(place).alias("first"))
@@ -60,6 +94,11 @@ def repeated_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                              F.col("first.line").alias("first_line")))
         if active.isEmpty():
             break
+        if wanted is None:
+            wanted = checkpointed(_shortest(active, min_chars).filter(F.col("lines") > 2))
+            most = wanted.agg(F.max("lines")).first()[0] or 0
+        elif size < most:
+            found.append(_between(active, wanted, size))
         beyond = Window.partitionBy("d", "t").orderBy("line").rangeBetween(size, size)
         joined = active.select("d", "t", "line", "a", "b", "n", *[F.first(c).over(beyond).alias(f"{c}2") for c in ("a", "b", "n")])
         active = (joined.filter("a2 IS NOT NULL")

@@ -190,3 +190,30 @@ def test_substring_dedup_compares_lines_of_20_words(spark):
         expected[len(rows) - 1] = [(before, before + n)]
     out = {r.d: [(x["from"], x["to"]) for x in r.spans] for r in substring_dedup.removals(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert out == expected
+
+
+def brute_runs_of_lines(rows, least):
+    """Deleted lines by document: windows of every length that occurred before."""
+    gone, seen = defaultdict(set), set()
+    for d, text in sorted(rows):
+        part = text.split("\n")
+        for p in range(len(part)):
+            for e in range(p + 1, len(part) + 1):
+                run = tuple(part[p:e])
+                if run in seen and sum(map(len, run)) >= least:
+                    gone[d].update(range(p, e))
+                seen.add(run)
+    return {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d]) for d, t in rows}
+
+
+def test_runs_of_any_number_of_lines(spark):
+    import random
+    rng = random.Random(31)
+    short = ["ten chars.", "Ed.", "", "eleven char", "x", "a line of nineteen."]
+    rows = [(1, "one\nten chars.\nten more..\nten again."), (2, "two\nten chars.\nten more..\nten again.\nend"),
+            (3, "a heading that is long enough\nEd.\nOf ores the eronnt."), (4, "own\na heading that is long enough\nEd.\nOf ores the eronnt.\nlast")]
+    rows += [(i, "\n".join(rng.choice(short) if rng.random() < 0.9 else f"own {i}" for _ in range(rng.randint(1, 25)))) for i in range(5, 60)]
+    got = line_dedup._edited(spark.createDataFrame(rows, "doc_id bigint, text string"), line_dedup.MIN_CHARS).select("row.doc_id", "kept").collect()
+    expected = brute_runs_of_lines(rows, line_dedup.MIN_CHARS)
+    assert expected[2] == "two\nend" and expected[4] == "own\nlast"
+    assert {r.doc_id: r.kept for r in got} == expected
