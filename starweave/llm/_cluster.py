@@ -1,12 +1,15 @@
 """Small helpers that every operator of this subpackage shares.
 
 ``checkpointed`` cuts lineage in the shared folder of ``spark.checkpoint.dir``;
+``Stages`` keeps it there as compressed Parquet and drops what is superseded;
 ``small_side`` broadcasts a side only after its size was measured.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,6 +24,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if sc.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="starweave-llm-"))
 
 
@@ -30,6 +35,35 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Stages:
+    """Intermediate tables of one run, as Parquet in a folder of its own under the shared checkpoint folder.
+
+    A table that its successors have replaced is dropped by name, so the folder
+    holds what is still to be read and nothing else.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        ensure_checkpoint_dir(spark)
+        self.spark = spark
+        self.folder = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame, name: str, drop: tuple[str, ...] = ()) -> DataFrame:
+        """The same rows, written as table ``name``; then the tables in ``drop`` go."""
+        df.write.option("compression", "zstd").parquet(f"{self.folder}/{name}")
+        for old in drop:
+            self.drop(old)
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self, name: str) -> None:
+        delete(self.spark, f"{self.folder}/{name}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a run of this subpackage has written."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def small_side(df: DataFrame, row_bytes: int = 64) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows fit the bound, else unchanged.
 
