@@ -32,8 +32,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-#: A 64-bit value for each byte, A-Z as a-z.
-VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+#: A 64-bit value for each byte; in VALUES, A-Z are as a-z.
+EXACT_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+VALUES = EXACT_VALUES.copy()
 VALUES[65:91] = VALUES[97:123]
 
 
@@ -99,11 +100,11 @@ def words(buf: np.ndarray, off: np.ndarray, member: np.ndarray = NOT_SPACE) -> t
     return hashes(buf, s, e), np.searchsorted(s, off), s, e
 
 
-def hashes(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """The hash of each stretch ``buf[s:e]``."""
+def hashes(buf: np.ndarray, s: np.ndarray, e: np.ndarray, values: np.ndarray = VALUES) -> np.ndarray:
+    """The hash of each stretch ``buf[s:e]``; ``values`` are those of the 256 bytes."""
     up, down = _powers(len(buf))
     total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(VALUES[buf] * up[: len(buf)], out=total[1:])
+    np.cumsum(values[buf] * up[: len(buf)], out=total[1:])
     return mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
 
 
