@@ -6,6 +6,9 @@
   writes the next version directory ``<root>/<name>/v000123`` and readers
   take the highest version whose write committed (``_SUCCESS`` present).
   Old versions stay until ``vacuum``. One writer per table at a time.
+* A table that is appended to or published keeps its columns in one small file
+  beside its data (``_columns.json``), written before the data: planning an
+  append or a read lists and opens no data file, however long the history.
 * ``stage`` writes an intermediate result into the cluster's shared
   checkpoint folder (``spark.checkpoint.dir``) and reads it back: the
   lineage is cut there, so a lost executor re-reads the staged files
@@ -13,6 +16,7 @@
 """
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
@@ -21,6 +25,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..operators.upsert import MERGE_ACTION, upsert
 
 VERSION_PREFIX = "v"
+# The log of a table's columns; Spark's readers skip names that begin with "_".
+COLUMNS_FILE = "_columns.json"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -38,6 +44,47 @@ def has_checkpoint_root(spark: SparkSession) -> bool:
     return bool(spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file beside a table's data, replaced as a whole: written under another name, then renamed."""
+    fs, p = _fs(spark, path)
+    fresh = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{p.getParent()}/_{uuid.uuid4().hex}")
+    out = fs.create(fresh, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if not fs.rename(fresh, p):  # stores that don't rename over an old file
+        fs.delete(p, False)
+        fs.rename(fresh, p)
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """What ``put_text`` wrote, or None."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def logged_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The columns that ``log_schema`` kept, or None for a folder without them."""
+    text = get_text(spark, f"{path}/{COLUMNS_FILE}")
+    return StructType.fromJson(json.loads(text)) if text else None
+
+
+def log_schema(spark: SparkSession, path: str, schema: StructType) -> StructType:
+    """Add the columns of ``schema`` that the table lacks to its log. Called before their data is
+    written: a column without data reads as NULL, data without its column would be lost."""
+    old = logged_schema(spark, path)
+    held = old.names if old else []
+    whole = StructType([*(old or []), *[StructField(f.name, f.dataType, True) for f in schema if f.name not in held]])
+    if old is None or len(whole) > len(old):
+        put_text(spark, f"{path}/{COLUMNS_FILE}", whole.json())
+    return whole
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (must be set on a cluster)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -81,10 +128,16 @@ def committed(spark: SparkSession, path: str) -> bool:
 def read(spark: SparkSession, path: str, known: StructType | None = None) -> DataFrame:
     """A Parquet folder with the columns of all its files (evolved ones too).
 
-    Columns of ``known`` have its types. Spark guesses the types of partition
+    Columns of ``known`` have its types. The table's own log of columns is used
+    where there is one, and no data file is opened; a folder without (written by
+    something else) has its footers merged. Spark guesses the types of partition
     columns from folder names ('01' becomes 1, '2024-1-6' a date), so a partition
-    column that is not known comes back as a string.
+    column that is in neither comes back as a string.
     """
+    logged = logged_schema(spark, path)
+    if logged is not None:
+        types = {f.name: f.dataType for f in (known or [])}
+        return spark.read.schema(StructType([StructField(f.name, types.get(f.name, f.dataType), True) for f in logged])).parquet(path)
     found = spark.read.option("mergeSchema", "true").parquet(path).schema
     types = {f.name: f.dataType for f in (known or [])}
     folders = _partition_columns(spark, path)
@@ -109,10 +162,14 @@ def append(df: DataFrame, path: str, partition_by=(), cluster_by=()) -> int:
 
     New columns are added, missing ones are NULL; no value is converted (see ``read``).
     """
-    if exists(df.sparkSession, path):
-        current = read(df.sparkSession, path).schema
+    spark = df.sparkSession
+    if exists(spark, path):
+        current = logged_schema(spark, path)
+        if current is None:  # the log begins with what is there
+            current = log_schema(spark, path, read(spark, path).schema)
         df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in current if f.name not in df.columns})
         df = df.select(*current.names, *[c for c in df.columns if c not in current.names])
+    log_schema(spark, path, df.schema)
     return write(df, path, "append", partition_by, cluster_by=cluster_by)
 
 
@@ -236,13 +293,16 @@ def partition_folder(spark: SparkSession, column: str, value) -> str:
 
 
 def _partitions(spark: SparkSession, table_path: str, partition_col: str, values, known: StructType) -> DataFrame:
-    """The rows of some partitions. Only their folders are listed, and only their files asked for columns
-    that ``known`` lacks (a rewrite must not lose one)."""
-    folders = [f"{table_path}/{partition_folder(spark, partition_col, v)}" for v in values]
-    folders = [f for f in folders if exists(spark, f)]
+    """The rows of some partitions. Only their folders are listed; columns that ``known`` lacks come from the
+    table's log, or from the files of these folders where it has none (a rewrite must not lose one)."""
+    wanted = {partition_folder(spark, partition_col, v) for v in values}
+    fs, p = _fs(spark, table_path)  # one listing instead of a question for each value
+    folders = [f"{table_path}/{name}" for name in sorted(wanted & {s.getPath().getName() for s in fs.listStatus(p)})]
     if not folders:
         return spark.createDataFrame([], known)
-    found = spark.read.option("mergeSchema", "true").option("basePath", table_path).parquet(*folders).schema
+    found = logged_schema(spark, table_path)
+    if found is None:
+        found = spark.read.option("mergeSchema", "true").option("basePath", table_path).parquet(*folders).schema
     extra = [f for f in found if f.name not in known.names]
     rows = spark.read.schema(StructType([*known, *extra])).option("basePath", table_path).parquet(*folders)
     return rows.filter(_any_of(partition_col, values))
@@ -271,6 +331,7 @@ def publish_partitions(source: DataFrame, table_path: str, keys, update_cols, pa
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not committed(spark, table_path):
         rows = write(source, table_path, "overwrite", [partition_col], cluster_by=keys, sort_by=sort_by)
+        log_schema(spark, table_path, source.schema)  # an overwrite empties the folder first
         return {"created": True, "rows": rows, "touched": None, "emptied": []}
     staged: list = []
     if not source_is_staged:  # read several times below: evaluate it once
@@ -297,6 +358,8 @@ def publish_partitions(source: DataFrame, table_path: str, keys, update_cols, pa
     emptied = []
     if touched:
         out = merged.filter(_any_of(partition_col, touched)).drop(MERGE_ACTION, "__from")
+        if logged_schema(spark, table_path) is not None:
+            log_schema(spark, table_path, out.schema)
         write(out, table_path, "overwrite", [partition_col], cluster_by=keys, sort_by=sort_by, dynamic=True)
         left = {r[0] for r in out.select(partition_col).distinct().collect()}
         emptied = sorted(touched - left, key=str)
