@@ -1,7 +1,8 @@
 """Small helpers that every operator of this subpackage shares.
 
 ``checkpointed`` cuts lineage in the shared folder of ``spark.checkpoint.dir``;
-``Stages`` keeps it there as compressed Parquet and drops what is superseded;
+``kept`` does so with compressed Parquet, computed once, and drops the frames that
+it replaces; ``Stages`` does the same for tables with names;
 ``small_side`` broadcasts a side only after its size was measured.
 """
 
@@ -35,6 +36,29 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def kept(df: DataFrame, *replaced: DataFrame) -> DataFrame:
+    """The same rows, written once as compressed Parquet in the shared checkpoint folder.
+
+    Afterwards the ``replaced`` frames, which ``kept`` returned before and which
+    nothing reads any more, are dropped.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/kept-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    dropped(*replaced)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.kept_at = path
+    return out
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Delete the rows of frames that ``kept`` returned; whatever else is given stays."""
+    for frame in frames:
+        if "kept_at" in vars(frame):
+            delete(frame.sparkSession, frame.kept_at)
+
+
 class Stages:
     """Intermediate tables of one run, as Parquet in a folder of its own under the shared checkpoint folder.
 

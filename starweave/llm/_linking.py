@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ._cluster import checkpointed, small_side
+from ._cluster import dropped, kept, small_side
 from ._tokens import NOT_SPACE, chunks, shingles, words
 
 #: Bytes of text that one block of a bucket holds, about.
@@ -35,9 +35,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates the large-star and the small-star step until nothing changes.
     Every step is an aggregate and a join, so the links of one hub are spread
-    over tasks; every round is checkpointed.
+    over tasks; every round is kept in the shared folder in place of the last one.
     """
-    edges = checkpointed(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    edges = kept(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     state = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -50,15 +50,15 @@ def components(edges: DataFrame) -> DataFrame:
         edges_new = (hung.select(F.col("m").alias("a"), "b")
                      .union(hung.filter("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b")))
                      .distinct())
-        edges = checkpointed(edges_new)
+        edges = kept(edges_new, edges)
         # Equal edge sets have equal counts and sums of hashes; smaller parents change the sum.
         new = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state == (new["n"], new["h"]):
             break
         state = (new["n"], new["h"])
     # Now every edge leads to a smallest node.
-    return (edges.select(F.col("b").alias("node"), F.col("a").alias("comp"))
-            .union(edges.select(F.col("a").alias("node"), F.col("a").alias("comp"))).distinct())
+    return kept(edges.select(F.col("b").alias("node"), F.col("a").alias("comp"))
+                .union(edges.select(F.col("a").alias("node"), F.col("a").alias("comp"))).distinct(), edges)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, jaccard: float, k: int) -> DataFrame:
@@ -102,17 +102,17 @@ def _lift(edges: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def _join_components(comp: DataFrame, edges: DataFrame) -> DataFrame:
-    """``comp(cls, comp)`` after linking the components that ``edges(a, b)`` connect."""
-    merged = checkpointed(components(_lift(edges, comp)))
-    return checkpointed(comp.join(merged.withColumnRenamed("comp", "upper"), comp["comp"] == merged["node"], "left")
-                        .select("cls", F.coalesce("upper", "comp").alias("comp")))
+    """``comp(cls, comp)`` after linking the components that ``edges(a, b)`` connect; takes the place of both."""
+    merged = components(_lift(edges, comp))
+    return kept(comp.join(merged.withColumnRenamed("comp", "upper"), comp["comp"] == merged["node"], "left")
+                .select("cls", F.coalesce("upper", "comp").alias("comp")), merged, comp, edges)
 
 
-def _mixed(shared: DataFrame, comp: DataFrame) -> DataFrame:
-    """The rows ``band, cls, comp`` of buckets that hold several components."""
-    owned = shared.select("band", "cls").join(comp, "cls")
+def _mixed(before: DataFrame, comp: DataFrame) -> DataFrame:
+    """The rows ``band, cls, comp`` of buckets that hold several components; they did so ``before``."""
+    owned = before.select("band", "cls").join(comp, "cls")
     several = owned.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("band")
-    return checkpointed(owned.join(several, "band"))
+    return kept(owned.join(several, "band"), before)
 
 
 def _across(mixed: DataFrame, sketches: DataFrame, texts: DataFrame, jaccard: float, k: int) -> DataFrame:
@@ -171,19 +171,19 @@ def link(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], jaccard
     """``(cls, comp)`` of every class that shares a bucket with another one.
 
     ``classes(cls binary, bands array<bigint>, sketch binary)``: one row for
-    each distinct text, its bands distinct, checkpointed. ``texts_of(needed)`` gives ``(cls,
+    each distinct text, its bands distinct, kept. ``texts_of(needed)`` gives ``(cls,
     text)`` of the classes in ``needed(cls)``.
     """
     rows = classes.select("cls", F.explode("bands").alias("band"))
     buckets = rows.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1")  # a class is in a bucket once
-    shared = checkpointed(rows.join(buckets.select("band"), "band"))
-    needed = checkpointed(shared.select("cls").distinct())
-    texts = checkpointed(texts_of(small_side(needed, 48)))
-    comp = needed.select("cls", F.col("cls").alias("comp"))
-    mixed = shared.select("band", "cls", F.col("cls").alias("comp"))
+    shared = kept(rows.join(buckets.select("band"), "band"))
+    needed = kept(shared.select("cls").distinct())
+    texts = kept(texts_of(small_side(needed, 48)))
+    comp = kept(needed.select("cls", F.col("cls").alias("comp")), needed)
     # What a group's copies were made from meets more of them than they meet each other: the best hub.
     crowd = shared.groupBy("band").agg(F.count("*").alias("c"))
-    degree = checkpointed(shared.select("band", "cls").join(crowd, "band").groupBy("cls").agg(F.sum("c").alias("degree")))
+    degree = kept(shared.join(crowd, "band").groupBy("cls").agg(F.sum("c").alias("degree")))
+    mixed = kept(shared.select("band", "cls", F.col("cls").alias("comp")), shared)
     for n in range(ROUNDS):
         rank = F.struct(("degree" if n == 0 else F.pmod(F.xxhash64(F.lit(n), "cls"), F.lit(1 << 40)) * F.log("degree")), "cls", "comp")
         hubs = mixed.join(degree, "cls").groupBy("band").agg(F.max(rank).alias("hub"))
@@ -191,8 +191,9 @@ def link(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], jaccard
         star = (met.groupBy("cls").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "hub")), False), 1, TRIES).alias("try"))
                 .select("cls", F.explode("try.hub").alias("hub")))
         pairs = star.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
-        found = checkpointed(verified(pairs, texts, jaccard, k))
+        found = kept(verified(pairs, texts, jaccard, k))
         comp = _join_components(comp, found)
-        mixed = _mixed(shared, comp)
-    rest = checkpointed(_across(mixed, classes.select("cls", "sketch"), texts, jaccard, k))
+        mixed = _mixed(mixed, comp)  # components only grow: a bucket of one stays so
+    dropped(degree)
+    rest = kept(_across(mixed, classes.select("cls", "sketch"), texts, jaccard, k), mixed, texts)
     return _join_components(comp, rest)

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ._cluster import checkpointed, small_side
+from ._cluster import kept, small_side
 from ._linking import link
 from ._tokens import NOT_SPACE, chunks, mix, shingles, words
 
@@ -93,19 +93,19 @@ def near_duplicates(docs: DataFrame, jaccard: float = JACCARD, shingle: int = SH
     """``doc_id, n_shingles, component_id, kept, text_md5`` for each row of ``docs(doc_id, text)``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     docs = docs.withColumn("cls", F.unhex(F.md5("text")))
-    items = checkpointed(describe(docs.select("doc_id", "cls", "text"), "doc_id bigint", shingle, bands, rows))
-    classes = checkpointed(items.filter("n_shingles > 0").groupBy("cls")
-                           .agg(F.min("doc_id").alias("low"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
+    items = kept(describe(docs.select("doc_id", "cls", "text"), "doc_id bigint", shingle, bands, rows))
+    classes = kept(items.filter("n_shingles > 0").groupBy("cls")
+                   .agg(F.min("doc_id").alias("low"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
 
     def texts_of(needed: DataFrame) -> DataFrame:
         return (docs.select("cls", "text").join(needed, "cls", "left_semi")
                 .groupBy("cls").agg(F.first("text").alias("text")))
 
-    linked = checkpointed(link(classes.select("cls", "bands", "sketch"), texts_of, jaccard, shingle))
+    linked = link(classes.select("cls", "bands", "sketch"), texts_of, jaccard, shingle)
     low = classes.select("cls", "low").join(linked, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     lowest = low.groupBy("comp").agg(F.min("low").alias("component_id"))
-    named = checkpointed(low.join(lowest, "comp").join(_several(items), "cls", "left")
-                         .filter("component_id <> low OR several OR low IS NULL").select("cls", "component_id"))
+    named = kept(low.join(lowest, "comp").join(_several(items), "cls", "left")
+                 .filter("component_id <> low OR several OR low IS NULL").select("cls", "component_id"), linked, classes)
     out = items.select("doc_id", "n_shingles", "cls").join(small_side(named, 48), "cls", "left")
     own = F.coalesce(F.col("component_id"), F.col("doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"),
@@ -123,6 +123,6 @@ def op10_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component, the document with the smallest id stays."""
-    gone = checkpointed(near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_md5").alias("_gone_md5")).distinct())
+    gone = kept(near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_md5").alias("_gone_md5")).distinct())
     same = docs["doc_id"].eqNullSafe(F.col("_gone_id")) & (F.md5(F.coalesce(docs["text"], F.lit(""))) == F.col("_gone_md5"))
     return docs.join(small_side(gone, 96), same, "left_anti")

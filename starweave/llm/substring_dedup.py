@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ._cluster import checkpointed, small_side
+from ._cluster import kept, small_side
 from ._linking import link
 from ._tokens import NOT_SPACE, chunks, mix, shingles, words
 
@@ -192,20 +192,20 @@ def _repeated(whole: DataFrame) -> DataFrame:
     place = F.struct("d", "t", "from")
     often = (_paragraphs(whole, "anchors").groupBy("g").agg(F.count("*").alias("c"), (F.min("s") < F.max("s")).alias("mixed"))
              .filter("c > 1").select("g", "mixed"))
-    found = checkpointed(_paragraphs(whole, "anchors").join(often, "g"))
-    kind = checkpointed(found.groupBy("g", "s").agg(F.min(place).alias("first"), F.first("to").alias("any_to"), F.first("from").alias("any_from"),
+    found = kept(_paragraphs(whole, "anchors").join(often, "g"))
+    kind = kept(found.groupBy("g", "s").agg(F.min(place).alias("first"), F.first("to").alias("any_to"), F.first("from").alias("any_from"),
                                                     F.first("mixed").alias("mixed"), F.count("*").alias("c"))
                         .select("g", "s", "first", "mixed", "c", (F.col("first.from") + F.col("any_to") - F.col("any_from")).alias("end")))
     # Kinds of one anchor have runs in common, or none: those of each kind's first place are compared.
-    chosen = checkpointed(kind.filter("mixed").groupBy(F.col("first.d").alias("d"), F.col("first.t").alias("t"))
+    chosen = kept(kind.filter("mixed").groupBy(F.col("first.d").alias("d"), F.col("first.t").alias("t"))
                           .agg(F.collect_list(F.struct(F.col("first.from").alias("from"), F.col("end").alias("to"))).alias("at")))
     once = whole.join(small_side(chosen, 256), ["d", "t"]).dropDuplicates(["d", "t"]).select("d", "t", "text", "at")
-    runs = checkpointed(_runs(once))
+    runs = kept(_runs(once), chosen)
     low = runs.groupBy("a", "b").agg(F.min(place).alias("low"), F.count("*").alias("n")).filter("n > 1").select("a", "b", "low")
-    runs = checkpointed(runs.join(low, ["a", "b"], "left").select("d", "t", "stretch", "from", F.coalesce("low", place).alias("low")))
+    runs = kept(runs.join(low, ["a", "b"], "left").select("d", "t", "stretch", "from", F.coalesce("low", place).alias("low")), runs)
     keeps = runs.groupBy("d", "t", F.col("stretch").alias("from")).agg(F.collect_set("low.d").alias("kept")).select(place.alias("first"), "kept")
-    several = checkpointed(kind.filter("c > 1").join(keeps, "first", "left")
-                           .select("g", "s", "first", F.coalesce("kept", F.array("first.d")).alias("kept")))
+    several = kept(kind.filter("c > 1").join(keeps, "first", "left")
+                           .select("g", "s", "first", F.coalesce("kept", F.array("first.d")).alias("kept")), kind)
     copies = found.join(several, ["g", "s"]).filter(place != F.col("first"))
     single = runs.withColumn("to", F.col("from") + SPAN_WORDS).filter(place != F.col("low"))
     return copies.select(*_later("d", "t", "from", "to", "first"), "kept").union(
@@ -216,17 +216,17 @@ def removals(docs: DataFrame) -> DataFrame:
     """``d, t`` (the document), ``spans`` (sorted, ``[from, to)`` in words) and ``kept_in`` (ids of the documents that keep them)."""
     whole = docs.filter(F.col("text").isNotNull()).select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("d"), F.xxhash64("text").alias("t"), "text")
-    classes = checkpointed(_paragraphs(whole, "bands").groupBy("cls").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
+    classes = kept(_paragraphs(whole, "bands").groupBy("cls").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
 
     def texts_of(needed: DataFrame) -> DataFrame:
         return (_paragraphs(whole, "texts").join(needed, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")))
 
-    linked = checkpointed(link(classes, texts_of, JACCARD, SHINGLE).filter("cls <> comp"))
+    linked = link(classes, texts_of, JACCARD, SHINGLE)
     number = lambda c, at: F.conv(F.hex(F.substring(c, at, 8)), 16, -10).cast("long")
-    same = checkpointed(linked.select(number("cls", 1).alias("a"), number("cls", 9).alias("b"), number("comp", 1).alias("ca"), number("comp", 9).alias("cb")))
+    same = kept(linked.filter("cls <> comp").select(number("cls", 1).alias("a"), number("cls", 9).alias("b"), number("comp", 1).alias("ca"), number("comp", 9).alias("cb")), linked, classes)
     # Equal lines are equal runs: only components of several lines are left.
-    several = checkpointed(same.union(same.select(F.col("ca").alias("a"), F.col("cb").alias("b"), "ca", "cb").distinct()))
-    found = checkpointed(_paragraphs(whole, "members").join(small_side(several, 40), ["a", "b"]).select("d", "t", "from", "to", "ca", "cb"))
+    several = kept(same.union(same.select(F.col("ca").alias("a"), F.col("cb").alias("b"), "ca", "cb").distinct()), same)
+    found = kept(_paragraphs(whole, "members").join(small_side(several, 40), ["a", "b"]).select("d", "t", "from", "to", "ca", "cb"), several)
     place = F.struct("d", "t", "from")
     first = found.groupBy("ca", "cb").agg(F.min(place).alias("first"))
     lines = found.join(first, ["ca", "cb"]).filter(place != F.col("first")).select("d", "t", "from", "to", F.array("first.d").alias("kept"))
@@ -245,7 +245,7 @@ def removals(docs: DataFrame) -> DataFrame:
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """One row for each document: words removed, the stretches, and the documents that keep them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    cut = checkpointed(removals(docs))
+    cut = kept(removals(docs))
     rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).alias("d"), F.xxhash64("text").alias("t"))
     words_cut = F.aggregate("spans", F.lit(0), lambda n, x: n + x["to"] - x["from"])
     return rows.join(small_side(cut, 128), ["d", "t"], "left").select(
