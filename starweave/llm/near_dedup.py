@@ -88,9 +88,13 @@ def describe(frame: DataFrame, keys: str, shingle: int, bands: int, rows: int) -
     return frame.mapInArrow(run, f"{keys}, cls binary, n_shingles bigint, bands array<bigint>, sketch binary")
 
 
-def near_duplicates(docs: DataFrame, jaccard: float = JACCARD, shingle: int = SHINGLE,
-                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept, text_md5`` for each row of ``docs(doc_id, text)``."""
+def _groups(docs: DataFrame, jaccard: float, shingle: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """``items(doc_id, cls, n_shingles, ..)``, a row for each document, and ``named(cls, component_id, keeper)``.
+
+    ``named`` has the classes of several rows, and those that are not the keeper
+    of their component: the class with the smallest id (NULL last), then the
+    smallest digest. A class that is not there has its own id and keeps its row.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     docs = docs.withColumn("cls", F.unhex(F.md5("text")))
     items = kept(describe(docs.select("doc_id", "cls", "text"), "doc_id bigint", shingle, bands, rows))
@@ -103,10 +107,17 @@ def near_duplicates(docs: DataFrame, jaccard: float = JACCARD, shingle: int = SH
 
     linked = link(classes.select("cls", "bands", "sketch"), texts_of, jaccard, shingle)
     low = classes.select("cls", "low").join(linked, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    lowest = low.groupBy("comp").agg(F.min("low").alias("component_id"))
-    named = kept(low.join(lowest, "comp").join(_several(items), "cls", "left")
-                 .filter("component_id <> low OR several OR low IS NULL").select("cls", "component_id"), linked, classes)
-    out = items.select("doc_id", "n_shingles", "cls").join(small_side(named, 48), "cls", "left")
+    first = low.groupBy("comp").agg(F.min(F.struct(F.col("low").isNull(), "low", "cls")).alias("first"))
+    named = kept(low.join(first, "comp").join(_several(items), "cls", "left").filter("cls <> first.cls OR several OR low IS NULL")
+                 .select("cls", F.col("first.low").alias("component_id"), F.col("first.cls").alias("keeper")), linked, classes)
+    return items, named
+
+
+def near_duplicates(docs: DataFrame, jaccard: float = JACCARD, shingle: int = SHINGLE,
+                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept, text_md5`` for each row of ``docs(doc_id, text)``."""
+    items, named = _groups(docs, jaccard, shingle, bands, rows)
+    out = items.select("doc_id", "n_shingles", "cls").join(small_side(named.select("cls", "component_id"), 48), "cls", "left")
     own = F.coalesce(F.col("component_id"), F.col("doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"),
                       F.lower(F.hex("cls")).alias("text_md5"))
@@ -122,7 +133,18 @@ def op10_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component, the document with the smallest id stays."""
-    gone = kept(near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_md5").alias("_gone_md5")).distinct())
-    same = docs["doc_id"].eqNullSafe(F.col("_gone_id")) & (F.md5(F.coalesce(docs["text"], F.lit(""))) == F.col("_gone_md5"))
-    return docs.join(small_side(gone, 96), same, "left_anti")
+    """Pipeline stage: of each component, one row stays.
+
+    It has the smallest id (a NULL id only where there is no other), then the
+    smallest digest of its text; of rows that share both, any one. Rows without
+    shingles belong to no component, and all stay. The rows of the other classes
+    go before anything is shuffled, as do copies with a greater id.
+    """
+    _, named = _groups(docs, JACCARD, SHINGLE, BANDS, ROWS)
+    named = named.select(F.lower(F.hex("cls")).alias("m"), "component_id", (F.col("cls") == F.col("keeper")).alias("keeps"))
+    whole = docs.select(F.struct("*").alias("row"), F.md5(F.coalesce("text", F.lit(""))).alias("m"))
+    marked = whole.join(small_side(named, 96), "m", "left")
+    alone = marked.filter("keeps IS NULL").select("row.*")
+    once = (marked.filter(F.col("keeps") & F.col("row.doc_id").cast("long").eqNullSafe(F.col("component_id")))
+            .groupBy("m").agg(F.first("row").alias("row")).select("row.*"))
+    return alone.union(once)

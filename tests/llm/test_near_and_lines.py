@@ -217,3 +217,21 @@ def test_runs_of_any_number_of_lines(spark):
     expected = brute_runs_of_lines(rows, line_dedup.MIN_CHARS)
     assert expected[2] == "two\nend" and expected[4] == "own\nlast"
     assert {r.doc_id: r.kept for r in got} == expected
+
+
+def test_stage_keeps_one_row_of_a_component(spark):
+    text, near = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(59)) + " x"
+    other, last = "a b c d e f g", "one two three four five six"
+    rows = [(1, text, "p"), (1, text, "p"), (1, text, "q"), (1, near, "p"), (7, text, "p"),  # one id three times, its near copy, a copy
+            (None, other, "p"), (None, other, "q"), (None, last, "p"), (9, last, "p"),       # NULL ids only; a NULL id and another
+            (4, "", "p"), (4, "", "p"), (5, None, "p"), (6, "alone here", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, m string")
+    got = near_dedup.stage(spark, docs, "")
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    small = min([text, near], key=lambda t: __import__("hashlib").md5(t.encode()).hexdigest())
+    assert kept == sorted([(1, small), (None, other), (9, last), (4, ""), (4, ""), (5, None), (6, "alone here")], key=str)
+
+
+def test_stage_of_an_empty_table(spark, nothing):
+    assert near_dedup.stage(spark, nothing, "").count() == 0
