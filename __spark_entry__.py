@@ -26,6 +26,7 @@ from starweave.operators.quality import (DuplicateRate, NullRate, RowCount, Valu
                                          overall, row_counts, run_checks)
 from starweave.operators.upsert import MERGE_ACTION, upsert  # noqa: E402
 from starweave.plans import reports, silver, suites  # noqa: E402
+from starweave.plans.silver_table import ORDERS as SILVER_ORDERS, SilverTable  # noqa: E402
 from starweave.plans.star import Star, from_tables  # noqa: E402
 from starweave.sources import extracts, tables  # noqa: E402
 from starweave.sources.layout import zorder  # noqa: E402
@@ -161,6 +162,17 @@ def q_silver_orders(spark, d):
     return _no_ts(_star(spark, d).silver_orders)
 
 
+def q_silver_orders_second_load(spark, d):
+    """Silver orders after two loads; the second holds the later rows and every tenth order's earlier ones (late rows)."""
+    bronze = _star(spark, d).bronze_orders
+    late = F.pmod(F.crc32(F.coalesce("order_id", F.lit(""))), F.lit(10)) == 0
+    second = (F.col("ingested_at") >= F.lit(CUTOFF).cast("timestamp")) | late
+    table = SilverTable(spark, _scratch(spark, "silver_orders"), SILVER_ORDERS, bronze.schema)
+    table.load(bronze.filter(~F.coalesce(second, F.lit(False))), "first")
+    table.load(bronze.filter(F.coalesce(second, F.lit(False))), "second")
+    return _no_ts(table.split().valid)
+
+
 # --- Gold -----------------------------------------------------------------
 
 def q_dim_customer(spark, d):

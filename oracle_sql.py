@@ -462,6 +462,7 @@ def oracle() -> dict[str, str]:
                             "supplier_id, unit_cost, unit_price, gross_margin_pct, weight_kg, is_active, "
                             "created_date, source_system, batch_id FROM prod_silver")
     q["silver_orders"] = w(*BASE_O) + f"SELECT {SILVER_ORDER_COLS} FROM ord_silver"
+    q["silver_orders_second_load"] = q["silver_orders"]  # the loads together hold every row
     q["dim_customer"] = w(*STAR) + "SELECT * FROM dim_customer"
     q["dim_product"] = w(*STAR) + "SELECT * FROM dim_product"
     q["dim_geography"] = w(*STAR) + "SELECT * FROM dim_geography"
