@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 from starweave.functions.keys import surrogate_key  # noqa: E402
 from starweave.operators.quarantine import REASONS, split_valid  # noqa: E402
 from starweave.operators.quality import (DuplicateRate, NullRate, RowCount, ValueRange,  # noqa: E402
-                                         overall, row_counts, run_checks)
+                                         foreign_keys, overall, row_counts, run_checks)
 from starweave.operators.upsert import MERGE_ACTION, upsert  # noqa: E402
 from starweave.plans import reports, silver, suites  # noqa: E402
 from starweave.plans.silver_table import ORDERS as SILVER_ORDERS, SilverTable  # noqa: E402
@@ -367,6 +367,16 @@ def q_ref_integrity(spark, d):
     return suites.fact_integrity(s.fact_sales, s.dim_customer, s.dim_product, s.dim_date, s.dim_geography)
 
 
+def q_ref_integrity_orphans(spark, d):
+    """Foreign keys against dimensions that lack members: every third, fifth and eleventh key is an orphan."""
+    s = _star(spark, d)
+    lacking = lambda dim, key, m: dim.filter(F.col(key) % m != 0)
+    return foreign_keys(s.fact_sales, [
+        ("customer_sk", lacking(s.dim_customer, "customer_sk", 3), "customer_sk"),
+        ("product_sk", lacking(s.dim_product, "product_sk", 5), "product_sk"),
+        ("order_date_sk", lacking(s.dim_date, "date_key", 11), "date_key")], "fact_sales")
+
+
 def q_dq_suite(spark, d):
     s = _star(spark, d)
     parts = [

@@ -370,7 +370,7 @@ def _check(table: str, name: str, observed: str, total: str, threshold: str, pas
             f"CAST({passed} AS BOOLEAN) AS passed")
 
 
-def _suite(table: str, source: str, min_rows=None, nulls=(), dup=None, ranges=(), regex=()) -> str:
+def _suite(table: str, source: str, min_rows=None, nulls=(), dup=None, dup_max="0.01", ranges=(), regex=()) -> str:
     """Union of check rows over ``source`` (a CTE or view name)."""
     parts = []
     agg = f"(SELECT count(*) AS n FROM {source})"
@@ -384,8 +384,8 @@ def _suite(table: str, source: str, min_rows=None, nulls=(), dup=None, ranges=()
         keys = ", ".join(dup)
         q = (f"(SELECT (SELECT count(*) FROM {source}) AS n, "
              f"(SELECT count(*) FROM (SELECT DISTINCT {keys} FROM {source})) AS d)")
-        parts.append(_check(table, "duplicate_check", "n - d", "n", "0.01",
-                            "n = 0 OR (n - d) / n <= 0.01") + f" FROM {q}")
+        parts.append(_check(table, "duplicate_check", "n - d", "n", dup_max,
+                            f"n = 0 OR (n - d) / n <= {dup_max}") + f" FROM {q}")
     for c, lo, hi in ranges:
         cond = " AND ".join([f"{c} >= {lo}"] * (lo is not None) + [f"{c} <= {hi}"] * (hi is not None)) or "TRUE"
         q = f"(SELECT count(*) AS n, count(*) FILTER (WHERE NOT ({cond})) AS x FROM {source})"
@@ -507,11 +507,16 @@ def oracle() -> dict[str, str]:
         _ri("fact_sales", "order_date_sk", "dim_date", "date_key"),
         _ri("fact_sales", "ship_date_sk", "dim_date", "date_key"),
         _ri("fact_sales", "geography_sk", "dim_geography", "geography_sk")])
+    keys = [("customer_sk", "dim_customer", "customer_sk", 3), ("product_sk", "dim_product", "product_sk", 5),
+            ("order_date_sk", "dim_date", "date_key", 11)]
+    q["ref_integrity_orphans"] = (
+        w(*STAR) + "SELECT * FROM (" + "\nUNION ALL\n".join(
+            _ri("fact_sales", fk, f"(SELECT * FROM {dim} WHERE {pk} % {m} <> 0)", pk) for fk, dim, pk, m in keys) + ")")
     dims = []
     for t, bk, s_ in (("dim_customer", "customer_bk", "customer_sk"), ("dim_product", "product_bk", "product_sk"),
                       ("dim_geography", "geography_bk", "geography_sk")):
         dims.append(_suite(t, t, min_rows=1, dup=(bk,)))
-        dims.append(_suite(t + ":sk", t, dup=(s_,)))
+        dims.append(_suite(t + ":sk", t, dup=(s_,), dup_max="0.0"))
     q["dq_suite"] = w(*STAR) + "\nUNION ALL\n".join([
         _suite("silver_customers", "cust_silver", **SILVER_C_SUITE),
         _suite("silver_products", "prod_silver", **SILVER_P_SUITE),

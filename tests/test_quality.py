@@ -1,9 +1,12 @@
 """Single-pass data-quality checks."""
 from starweave.operators.quality import (DuplicateRate, NullRate, RegexMatch, RowCount, ValueRange,
-                                         CheckFailed, enforce, overall, referential_integrity, row_counts, run_checks)
+                                         CheckFailed, enforce, foreign_keys, overall, referential_integrity, row_counts, run_checks)
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from starweave.plans import suites
 
 
 def checks(df, *cs):
@@ -84,3 +87,21 @@ def test_referential_integrity_total_counts_distinct_keys(spark):
     fact, dim = spark.createDataFrame([(1,), (1,), (2,), (9,)], "fk int"), spark.createDataFrame([(1,), (2,)], "pk int")
     r = referential_integrity(fact, dim, "fk", "pk", "f").first()
     assert (r.observed, r.total, r.passed) == (1, 3, False)
+
+
+def test_foreign_keys_in_one_pass(spark):
+    fact = spark.createDataFrame([(1, 10), (1, 20), (2, None), (5, None), (5, 30)], "a long, b int")
+    one, two = spark.createDataFrame([(1,), (2,), (2,)], "k long"), spark.createDataFrame([(10,), (None,)], "j int")
+    pairs = [("a", one, "k"), ("b", two, "j")]
+    got = foreign_keys(fact, pairs, "f")
+    singly = referential_integrity(fact, one, "a", "k", "f").unionByName(referential_integrity(fact, two, "b", "j", "f"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, singly.collect()), key=str)
+    assert {r.check_name: (r.observed, r.total) for r in got.collect()} == {"ref_integrity_a": (1, 3), "ref_integrity_b": (3, 4)}
+    empty = foreign_keys(fact.limit(0), pairs, "f").collect()
+    assert [(r.observed, r.total, r.passed) for r in empty] == [(0, 0, True)] * 2
+
+
+def test_one_colliding_surrogate_key_fails_the_suite(spark):
+    dim = spark.range(1000).select(F.col("id").alias("bk"), F.when(F.col("id") == 7, 8).otherwise(F.col("id")).alias("sk"))
+    results = {r.table_name: r.passed for r in suites.dimension_checks(dim, "d", "bk", "sk").filter("check_name = 'duplicate_check'").collect()}
+    assert results == {"d": True, "d:sk": False}
