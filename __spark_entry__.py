@@ -25,7 +25,9 @@ from starweave.operators.quarantine import REASONS, split_valid  # noqa: E402
 from starweave.operators.quality import (DuplicateRate, NullRate, RowCount, ValueRange,  # noqa: E402
                                          foreign_keys, overall, row_counts, run_checks)
 from starweave.operators.upsert import MERGE_ACTION, upsert  # noqa: E402
+from starweave.plans.dimensions import CUSTOMER_UPDATE_COLUMNS  # noqa: E402
 from starweave.plans import reports, silver, suites  # noqa: E402
+from starweave.plans.fact_table import Dimensions, FactTable  # noqa: E402
 from starweave.plans.silver_table import ORDERS as SILVER_ORDERS, SilverTable  # noqa: E402
 from starweave.plans.star import Star, from_tables  # noqa: E402
 from starweave.sources import extracts, tables  # noqa: E402
@@ -288,6 +290,35 @@ def q_partition_publish(spark, d):
     return spark.read.parquet(path)
 
 
+def q_late_dimension_repair(spark, d):
+    """All order lines are loaded while some customers, products and days are unknown and some products
+    have another cost; then the members come, and only the partitions concerned are mended."""
+    s = _star(spark, d)
+    known = lambda dim, sk: dim.filter(F.col(sk) % 50 != 0)
+    cost = F.when(F.col("product_sk") % 41 == 0, F.lit(1)).otherwise(F.col("unit_cost")).cast(s.dim_product.schema["unit_cost"].dataType)
+    before = Dimensions(known(s.dim_customer, "customer_sk"), known(s.dim_product, "product_sk").withColumn("unit_cost", cost),
+                        s.dim_date.filter(F.col("full_date") < F.lit(CUTOFF).cast("date")), s.dim_geography)
+    after = Dimensions(s.dim_customer, s.dim_product, s.dim_date, s.dim_geography)
+    table = FactTable(spark, _scratch(spark, "fact_late"))
+    table.load(s.silver_orders, before, s.now)
+    table.repair(s.silver_orders, after, before, s.now)
+    return _no_ts(table.read())
+
+
+def q_dim_customer_second_load(spark, d):
+    """The customer dimension after two loads. The first lacks every tenth customer and knows every seventh
+    without a phone; stamps tell what the second inserted, updated and left alone."""
+    s = _star(spark, d)
+    first, second = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+    store = tables.TableStore(spark, _scratch(spark, "dim_customer"))
+    stamp = lambda df, t: df.withColumns({c: F.lit(t).cast("timestamp") for c in ("created_at", "updated_at")})
+    phone = F.when(F.col("customer_sk") % 7 != 0, F.col("phone"))
+    early = stamp(s.dim_customer, first).filter(F.col("customer_sk") % 10 != 0).withColumn("phone", phone)
+    store.merge("dim_customer", early, "customer_bk", CUSTOMER_UPDATE_COLUMNS, first)
+    store.merge("dim_customer", stamp(s.dim_customer, second), "customer_bk", CUSTOMER_UPDATE_COLUMNS, second)
+    return store.read("dim_customer")
+
+
 def _order_parts(spark, d):
     """Orders under string partition values that Spark would guess to be numbers, or has to escape."""
     o = spark.read.parquet(f"{d}/orders.parquet")

@@ -464,6 +464,10 @@ def oracle() -> dict[str, str]:
     q["silver_orders"] = w(*BASE_O) + f"SELECT {SILVER_ORDER_COLS} FROM ord_silver"
     q["silver_orders_second_load"] = q["silver_orders"]  # the loads together hold every row
     q["dim_customer"] = w(*STAR) + "SELECT * FROM dim_customer"
+    changed = "customer_sk % 7 = 0 AND phone IS NOT NULL"
+    stamp = lambda cond: f"CASE WHEN {cond} THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END"
+    q["dim_customer_second_load"] = w(*STAR) + (
+        f"SELECT *, {stamp('customer_sk % 10 = 0')} AS created_at, {stamp(f'customer_sk % 10 = 0 OR ({changed})')} AS updated_at FROM dim_customer")
     q["dim_product"] = w(*STAR) + "SELECT * FROM dim_product"
     q["dim_geography"] = w(*STAR) + "SELECT * FROM dim_geography"
     q["dim_date"] = w(*STAR) + "SELECT * FROM dim_date"
@@ -473,6 +477,7 @@ def oracle() -> dict[str, str]:
     q["fact_sales"] = w(*STAR) + f"SELECT {FACT_COLS} FROM fact"
     q["zorder_rewrite"] = q["fact_sales"]
     q["partition_publish"] = q["fact_sales"]
+    q["late_dimension_repair"] = q["fact_sales"]  # a repair gives what a rebuild gives
     q["scd1_upsert"] = _upsert_sql(["order_line_id"])
     q["scd1_upsert_multi"] = _upsert_sql(["order_id", "order_line_id"])
     q["scd1_unchanged_noop"] = _noop_sql()
