@@ -163,17 +163,21 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup_lines(docs)
 
 
-#: Windows of 1, 2, 4, ... lines by content; later copies of MIN_CHARS characters or more cover their lines.
+#: Later copies of runs of MIN_CHARS characters or more, of any number of lines, cover their lines. A line of such a
+#: copy also lies in the shortest long enough run from some line on or up to some line, and that one is a later copy too.
 ORACLE_SQL = f"""
 WITH doc AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS part FROM documents),
 line AS (SELECT r, doc_id, unnest(range(len(part))) AS p, unnest(part) AS s FROM doc WHERE text IS NOT NULL),
 named AS (SELECT r, doc_id, p, dense_rank() OVER (ORDER BY s) AS id, length(s) AS n FROM line),
-seq AS (SELECT r, doc_id, list(id ORDER BY p) AS ids, list(n ORDER BY p) AS ns FROM named GROUP BY r, doc_id),
-size AS (SELECT unnest([1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096]) AS w),
-win AS (SELECT r, doc_id, p, w, ids[p + 1 : p + w] AS k, list_sum(ns[p + 1 : p + w]) AS n
-        FROM (SELECT r, doc_id, ids, ns, w, unnest(range(len(ids) - w + 1)) AS p FROM seq, size WHERE len(ids) >= w)),
+total AS (SELECT r, doc_id, p, sum(n) OVER (PARTITION BY r ORDER BY p) AS upto, sum(n) OVER (PARTITION BY r ORDER BY p) - n AS before FROM named),
+seq AS (SELECT r, list(id ORDER BY p) AS ids FROM named GROUP BY r),
+ends AS (SELECT r, upto, min(p) AS p FROM total GROUP BY r, upto),
+begins AS (SELECT r, before, max(p) AS p FROM total GROUP BY r, before),
+runs AS (SELECT a.r, a.doc_id, a.p, e.p - a.p + 1 AS w FROM total a ASOF JOIN ends e ON a.r = e.r AND a.before + {MIN_CHARS} <= e.upto
+         UNION SELECT a.r, a.doc_id, b.p, a.p - b.p + 1 FROM total a ASOF JOIN begins b ON a.r = b.r AND a.upto - {MIN_CHARS} >= b.before),
+win AS (SELECT runs.r, doc_id, p, w, ids[p + 1 : p + w] AS k FROM runs JOIN seq ON runs.r = seq.r),
 seen AS (SELECT *, row_number() OVER (PARTITION BY w, k ORDER BY doc_id NULLS FIRST, p) AS nth FROM win),
-gone AS (SELECT DISTINCT r, unnest(range(p, p + w)) AS p FROM seen WHERE nth > 1 AND n >= {MIN_CHARS}),
+gone AS (SELECT DISTINCT r, unnest(range(p, p + w)) AS p FROM seen WHERE nth > 1),
 kept AS (SELECT l.r, string_agg(l.s, chr(10) ORDER BY l.p) AS s FROM line l ANTI JOIN gone g ON l.r = g.r AND l.p = g.p GROUP BY l.r),
 lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
 SELECT d.doc_id, CAST(coalesce(len(d.part), 0) AS BIGINT) AS n_lines, coalesce(g.n, 0) AS n_deleted,

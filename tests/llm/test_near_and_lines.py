@@ -1,4 +1,5 @@
 """Near-dedup, line dedup and substring dedup against brute force."""
+import hashlib
 from collections import defaultdict
 
 import pytest
@@ -74,7 +75,7 @@ def test_blocks_of_one_bucket_meet_each_other(spark, corpus, monkeypatch):
 
 
 def brute_lines(rows, least):
-    """Deleted lines by document: windows of 1, 2, 4, ... lines that occurred before."""
+    """The lines that stay, by document: windows of every number of lines that occurred before are deleted."""
     docs = {}
     for doc, text in rows:
         if text is not None:
@@ -89,7 +90,7 @@ def brute_lines(rows, least):
                 if run in seen and sum(map(len, run)) >= least:
                     gone[k].update(range(p, p + size))
                 seen.add(run)
-        size *= 2
+        size += 1
     return {k: [x for i, x in enumerate(v) if i not in gone[k]] for k, v in docs.items()}
 
 
@@ -114,6 +115,35 @@ def test_lines(spark):
     assert kept[(6, "")] == 7 and kept[(5, None)] == 7 and kept[(2, "own\ntail")] == 8
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_lines_by_sql_and_by_every_window(spark, seed):
+    """Runs of any number of short lines: the operator, its SQL and all windows of all lengths agree."""
+    import random
+
+    import duckdb
+    import pandas as pd
+    rng = random.Random(seed)
+    some = ["", "", "a", "bb", "four", "ten chars.", "ten more..", "a line that is long enough"]
+    pieces = [[rng.choice(some) for _ in range(rng.randint(3, 12))] for _ in range(6)]
+    rows = [(1, "ten chars.\nten more..\nten again."), (2, "ten chars.\nten more..\nten again."), (3, None), (4, ""), (None, "ten chars.\nown\nten more..")]
+    for i in range(10, 35):
+        parts = [rng.choice(pieces) if rng.random() < 0.6 else [f"own {i} {rng.randint(0, 9)}"] for _ in range(rng.randint(1, 5))]
+        rows.append((i, "\n".join(x for part in parts for x in part)))
+    brute = brute_lines(rows, line_dedup.MIN_CHARS)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.kept, r.lost) for r in line_dedup._edited(docs, line_dedup.MIN_CHARS).select("row.doc_id", "kept", "lost").collect()}
+    want = {}
+    for doc, text in rows:
+        left = brute[(doc is not None, doc, text)] if text is not None else []
+        want[doc] = (None, 0) if text is None else ("\n".join(left), len(text.split("\n")) - len(left))
+    assert got == want and want[2] == ("", 3)
+    con = duckdb.connect()
+    documents = pd.DataFrame({"doc_id": pd.array([r[0] for r in rows], dtype="Int64"), "text": [r[1] for r in rows]})
+    con.register("documents", documents)
+    sql = {r[0]: (r[3], r[2]) for r in con.execute(line_dedup.ORACLE_SQL + " ORDER BY 1").fetchall()}
+    assert sql == {k: (t if t is None else hashlib.sha256(t.encode()).hexdigest(), n) for k, (t, n) in want.items()}
+
+
 def test_lines_of_a_corpus_with_clashing_names(corpus, nothing):
     out = line_dedup.dedup_lines(corpus)
     assert out.columns == corpus.columns and out.filter("d = 'x' AND `row` = 'y'").count() == out.count()
