@@ -24,6 +24,7 @@ from starweave.functions.keys import surrogate_key  # noqa: E402
 from starweave.operators.quarantine import REASONS, split_valid  # noqa: E402
 from starweave.operators.quality import (DuplicateRate, NullRate, RowCount, ValueRange,  # noqa: E402
                                          foreign_keys, overall, row_counts, run_checks)
+from starweave.operators.surrogate import with_unique_keys  # noqa: E402
 from starweave.operators.upsert import MERGE_ACTION, upsert  # noqa: E402
 from starweave.plans.dimensions import CUSTOMER_UPDATE_COLUMNS  # noqa: E402
 from starweave.plans import reports, silver, suites  # noqa: E402
@@ -148,6 +149,16 @@ def q_surrogate_key(spark, d):
     return c.unionByName(p).withColumn("surrogate_key", surrogate_key("business_key"))
 
 
+def q_surrogate_key_collisions(spark, d):
+    """Keys of all order ids on a hash of 24 bits, given in two loads: who had a key keeps it."""
+    orders = _star(spark, d).silver_orders
+    ids = lambda df: df.select(F.col("order_id").alias("business_key")).distinct()
+    plain = lambda df: df.withColumn("surrogate_key", F.lit(None).cast("long"))
+    early = ids(orders.filter(F.col("order_date") < F.lit(CUTOFF).cast("date")))
+    first = tables.stage(with_unique_keys(plain(early), "business_key", "surrogate_key", digits=6), "first_keys")
+    return with_unique_keys(plain(ids(orders)), "business_key", "surrogate_key", first, digits=6)
+
+
 def q_distinct_geography(spark, d):
     return _star(spark, d).silver_customers.select("city", "state", "country", "zip_code").distinct()
 

@@ -420,6 +420,21 @@ FACT_SUITE = dict(min_rows=1, nulls=("order_line_id", "customer_sk", "product_sk
                   ranges=(("quantity", 1, None), ("net_revenue", 0, None), ("gross_profit", None, None)))
 
 
+def _collision_sql(digits: int = 6, attempts: int = 5) -> str:
+    """Two loads of order ids, attempt by attempt; whoever is left after the last has no row."""
+    ctes = [f"k0 AS (SELECT DISTINCT order_id AS bk FROM ord_silver WHERE order_date < DATE '{CUTOFF}')",
+            "k1 AS (SELECT DISTINCT order_id AS bk FROM ord_silver)", "had AS (SELECT '' AS bk, CAST(-1 AS BIGINT) AS key)"]
+    had = "had"
+    for load in (0, 1):
+        for n in range(attempts):
+            text = f"bk || '#{n}'" if n else "bk"
+            ctes.append(f"had_{load}_{n} AS (SELECT * FROM {had} UNION ALL SELECT min(bk), key FROM (SELECT bk, "
+                        f"CAST('0x' || substr(sha256({text}), 1, {digits}) AS BIGINT) AS key FROM k{load} WHERE bk NOT IN (SELECT bk FROM {had})) "
+                        f"WHERE key NOT IN (SELECT key FROM {had}) GROUP BY key)")
+            had = f"had_{load}_{n}"
+    return w(*BASE_O, *ctes) + f"SELECT bk AS business_key, key AS surrogate_key FROM {had} WHERE key >= 0"
+
+
 def oracle() -> dict[str, str]:
     q: dict[str, str] = {}
     q["bronze_customers"] = w(CUST_RAW) + "SELECT * FROM cust_raw"
@@ -454,6 +469,7 @@ def oracle() -> dict[str, str]:
     q["surrogate_key"] = (w(*BASE_C, *BASE_P) + f"SELECT 'customer' AS entity, customer_id AS business_key, "
                           f"{sk('customer_id')} AS surrogate_key FROM cust_silver UNION ALL "
                           f"SELECT 'product', product_id, {sk('product_id')} FROM prod_silver")
+    q["surrogate_key_collisions"] = _collision_sql()
     q["distinct_geography"] = w(*BASE_C) + "SELECT DISTINCT city, state, country, zip_code FROM cust_silver"
     q["silver_customers"] = (w(*BASE_C) + "SELECT customer_id, first_name, last_name, full_name, email, phone, "
                              "city, state, country, zip_code, customer_segment, registration_date, source_system, "

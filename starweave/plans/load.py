@@ -8,7 +8,8 @@ under one root folder:
 * Silver: rebuilt from all Bronze history (latest row per key); valid and
   quarantined rows are staged once and committed as two tables;
 * dimensions: Type 1 upsert of the new staging into the current version
-  (first load creates it); the calendar is created once;
+  (first load creates it), with keys that stay unique when hashes collide; the
+  calendar is created once;
 * fact: built from Silver orders and the new dimension versions, then
   published into the ``order_date`` partitions it touches;
 * layout (``cluster=True``): each new dimension version is z-ordered on its
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..operators.quality import enforce as enforce_checks, row_counts, run_checks
+from ..operators.surrogate import with_unique_keys
 from ..sources import tables
 from ..sources.contracts import CRM_CUSTOMERS, ECOM_ORDERS, ERP_PRODUCTS, Contract
 from ..sources.csv import CORRUPT_COLUMN
@@ -119,12 +121,13 @@ def load_batch(spark: SparkSession, root: str, sources: dict, batch_id: str, now
 
         # Gold dimensions (Type 1)
         z = CLUSTER_COLUMNS if cluster else {}
-        store.merge("dim_customer", dimensions.dim_customer(s_cust, now), "customer_bk",
-                    dimensions.CUSTOMER_UPDATE_COLUMNS, now, zorder_by=z.get("dim_customer", ()))
-        store.merge("dim_product", dimensions.dim_product(s_prod, now), "product_bk",
-                    dimensions.PRODUCT_UPDATE_COLUMNS, now, zorder_by=z.get("dim_product", ()))
-        store.merge("dim_geography", dimensions.dim_geography(s_cust, now), "geography_bk",
-                    dimensions.GEOGRAPHY_UPDATE_COLUMNS, now, zorder_by=z.get("dim_geography", ()))
+        for name, dim, update in (("customer", dimensions.dim_customer(s_cust, now), dimensions.CUSTOMER_UPDATE_COLUMNS),
+                                  ("product", dimensions.dim_product(s_prod, now), dimensions.PRODUCT_UPDATE_COLUMNS),
+                                  ("geography", dimensions.dim_geography(s_cust, now), dimensions.GEOGRAPHY_UPDATE_COLUMNS)):
+            table, bk = f"dim_{name}", f"{name}_bk"
+            held = store.read(table) if store.exists(table) else None
+            dim = with_unique_keys(dim, bk, f"{name}_sk", held, track=staged)
+            store.merge(table, dim, bk, update, now, zorder_by=z.get(table, ()))
         if not store.exists("dim_date"):
             cal = dimensions.dim_date(spark, *calendar)
             store.commit("dim_date", cal.orderBy("date_key") if cluster else cal)
