@@ -582,4 +582,6 @@ def oracle() -> dict[str, str]:
     q["rpt_channel"] = w(*STAR) + (
         f"SELECT order_channel, payment_method, count(order_id) AS orders, {amount('sum(net_revenue)')} AS revenue "
         "FROM fact GROUP BY order_channel, payment_method")
+    for name in ("status", "category", "segment", "monthly", "top_products", "channel"):
+        q[f"rpt_{name}_incremental"] = q[f"rpt_{name}"]  # two loads give what one does
     return q

@@ -46,7 +46,11 @@ def _per_product(fact: DataFrame) -> DataFrame:
 
 
 def by_category(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    j = _per_product(fact).join(dim_product.select("product_sk", "category"), "product_sk", "left")
+    return category_of(_per_product(fact), dim_product)
+
+
+def category_of(per_product: DataFrame, dim_product: DataFrame) -> DataFrame:
+    j = per_product.join(dim_product.select("product_sk", "category"), "product_sk", "left")
     return (j.groupBy("category")
             .agg(F.sum("__lines").cast("bigint").alias("order_lines"),
                  F.sum("__units").cast("bigint").alias("total_units"),
@@ -59,6 +63,10 @@ def by_category(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
 def by_segment(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     per_order = (fact.groupBy("customer_sk", "order_id")
                  .agg(F.sum("net_revenue").alias("__net"), F.count("net_revenue").alias("__n")))
+    return segment_of(per_order, dim_customer)
+
+
+def segment_of(per_order: DataFrame, dim_customer: DataFrame) -> DataFrame:
     j = per_order.join(dim_customer.select("customer_sk", "customer_segment"), "customer_sk", "left")
     return (j.groupBy("customer_segment")
             .agg(F.count_distinct("order_id").alias("orders"),
@@ -72,6 +80,10 @@ def by_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
                .agg(F.count("order_line_id").alias("__lines"),
                     F.sum("net_revenue").alias("__net"),
                     F.sum("gross_profit").alias("__profit")))
+    return month_of(per_day, dim_date)
+
+
+def month_of(per_day: DataFrame, dim_date: DataFrame) -> DataFrame:
     days = dim_date.select(F.col("date_key").alias("order_date_sk"), "year_month")
     j = per_day.join(days, "order_date_sk", "left")
     return (j.groupBy("year_month")
@@ -82,7 +94,11 @@ def by_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def top_products(fact: DataFrame, dim_product: DataFrame, n: int = 5) -> DataFrame:
-    j = _per_product(fact).join(dim_product.select("product_sk", "product_name", "category"),
+    return top_of(_per_product(fact), dim_product, n)
+
+
+def top_of(per_product: DataFrame, dim_product: DataFrame, n: int) -> DataFrame:
+    j = per_product.join(dim_product.select("product_sk", "product_name", "category"),
                                 "product_sk", "left")
     return (j.groupBy("product_name", "category")
             .agg(F.sum("__units").cast("bigint").alias("units_sold"),

@@ -325,14 +325,15 @@ def publish_partitions(source: DataFrame, table_path: str, keys, update_cols, pa
     overwrite and the deletes of step 3 leaves a moved row in both partitions;
     the next publish of that key keeps the latest (by ``updated_at``, then the
     row that is in the source's partition). ``sort_by`` orders rows inside every
-    written file. Staged folders are dropped at the end.
+    written file. Staged folders are dropped at the end. Returns, among others, the ``values``
+    of the touched partitions (None: the table was created).
     """
     spark = source.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not committed(spark, table_path):
         rows = write(source, table_path, "overwrite", [partition_col], cluster_by=keys, sort_by=sort_by)
         log_schema(spark, table_path, source.schema)  # an overwrite empties the folder first
-        return {"created": True, "rows": rows, "touched": None, "emptied": []}
+        return {"created": True, "rows": rows, "touched": None, "emptied": [], "values": None}
     staged: list = []
     if not source_is_staged:  # read several times below: evaluate it once
         source = stage(source, "source", track=staged)
@@ -368,4 +369,4 @@ def publish_partitions(source: DataFrame, table_path: str, keys, update_cols, pa
             folder = partition_folder(spark, partition_col, value)
             fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table_path}/{folder}"), True)
     drop_paths(spark, staged)
-    return {"created": False, "touched": len(touched), "emptied": [str(v) for v in emptied]}
+    return {"created": False, "touched": len(touched), "emptied": [str(v) for v in emptied], "values": sorted(touched, key=str)}
