@@ -63,9 +63,11 @@ def _corrupt(bronze: DataFrame):
     return [F.lit(None).cast("string").alias("_raw_line")]
 
 
-def tag(bronze: DataFrame, standardise, key: str, tiebreak: list, rules: dict) -> DataFrame:
+def tag(bronze: DataFrame, standardise, key: str, tiebreak: list, rules: dict, derive=None) -> DataFrame:
     """Latest row per key, with ``reject_reasons`` (empty = valid); one shuffle.
 
+    ``derive`` adds what follows from a row's own values to the winners, so it is neither sorted nor shuffled.
+
     Rows without a key (NULL, or blank: both clean to NULL) never enter the
     de-duplication: they are standardised alike and rejected by the
     ``missing_<key>`` rule. So they can neither collapse into one row nor pile
@@ -79,7 +81,8 @@ def tag(bronze: DataFrame, standardise, key: str, tiebreak: list, rules: dict) -
     latest = keep_latest(keyed, key, "ingested_at", tiebreak + raw_cols)
     all_rules = {f"missing_{key}": F.col(key).isNotNull(), **rules,
                  "malformed_line": F.col("_raw_line").isNull()}
-    return tag_rules(latest.unionByName(unkeyed), all_rules)
+    rows = latest.unionByName(unkeyed)
+    return tag_rules(derive(rows) if derive else rows, all_rules)
 
 
 def split_tagged(tagged: DataFrame, columns: list, now=None) -> Split:
@@ -172,27 +175,18 @@ def products(bronze: DataFrame, now=None) -> Split:
     return split_tagged(tag_products(bronze), PRODUCT_COLUMNS, now)
 
 
-def standardise_orders(bronze: DataFrame) -> DataFrame:
-    qty = casts.parse_int("quantity")
-    price = casts.parse_decimal("unit_price", 10, 2)
-    pct = casts.parse_decimal("discount_pct", 5, 4)
-    order_date, ship_date = casts.parse_date("order_date"), casts.parse_date("ship_date")
-    disc = metrics.discount_amount(price, qty, pct)
-    gross = metrics.gross_revenue(price, qty)
+def parse_orders(bronze: DataFrame) -> DataFrame:
+    """Cleaned and typed order lines, without the measures that ``with_order_measures`` adds."""
     return bronze.select(
         upper_clean("order_id").alias("order_id"),
         key_clean("order_line_id").alias("order_line_id"),
         upper_clean("customer_id").alias("customer_id"),
         upper_clean("product_id").alias("product_id"),
-        order_date.alias("order_date"),
-        ship_date.alias("ship_date"),
-        qty.alias("quantity"),
-        price.alias("unit_price"),
-        pct.alias("discount_pct"),
-        disc.alias("discount_amount"),
-        gross.alias("gross_revenue"),
-        metrics.net_revenue(gross, disc).alias("net_revenue"),
-        metrics.days_to_ship(order_date, ship_date).alias("days_to_ship"),
+        casts.parse_date("order_date").alias("order_date"),
+        casts.parse_date("ship_date").alias("ship_date"),
+        casts.parse_int("quantity").alias("quantity"),
+        casts.parse_decimal("unit_price", 10, 2).alias("unit_price"),
+        casts.parse_decimal("discount_pct", 5, 4).alias("discount_pct"),
         title_clean("payment_method").alias("payment_method"),
         title_clean("order_channel").alias("order_channel"),
         title_clean("order_status").alias("order_status"),
@@ -205,6 +199,24 @@ def standardise_orders(bronze: DataFrame) -> DataFrame:
         *_corrupt(bronze))
 
 
+def with_order_measures(rows: DataFrame) -> DataFrame:
+    """The amounts and the days of parsed order lines, which follow from their other columns."""
+    disc = metrics.discount_amount(F.col("unit_price"), F.col("quantity"), F.col("discount_pct"))
+    gross = metrics.gross_revenue(F.col("unit_price"), F.col("quantity"))
+    at = rows.columns.index("discount_pct") + 1
+    return rows.select(
+        *rows.columns[:at],
+        disc.alias("discount_amount"),
+        gross.alias("gross_revenue"),
+        metrics.net_revenue(gross, disc).alias("net_revenue"),
+        metrics.days_to_ship(F.col("order_date"), F.col("ship_date")).alias("days_to_ship"),
+        *rows.columns[at:])
+
+
+def standardise_orders(bronze: DataFrame) -> DataFrame:
+    return with_order_measures(parse_orders(bronze))
+
+
 def order_rules() -> dict:
     return {
         "missing_order_id": F.col("order_id").isNotNull(),
@@ -222,7 +234,7 @@ def order_rules() -> dict:
 
 
 def tag_orders(bronze: DataFrame) -> DataFrame:
-    return tag(bronze, standardise_orders, "order_line_id", ORDER_TIEBREAK, order_rules())
+    return tag(bronze, parse_orders, "order_line_id", ORDER_TIEBREAK, order_rules(), with_order_measures)
 
 
 def orders(bronze: DataFrame, now=None) -> Split:
