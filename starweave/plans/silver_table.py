@@ -51,8 +51,10 @@ class SilverTable:
         staged: list = []
         try:
             tagged = tables.stage(self.kind.tag(batch).select(*self.schema.names), "silver_batch", track=staged)
+            size = self.latest._size(staged[-1])
             merge = self.latest.merge(tagged.filter(F.col(self.kind.key).isNotNull()), "ingested_at",
-                                      [*self.kind.tiebreak, *[c for c in self.schema.names if c.startswith("_raw_")]], staged=staged)
+                                      [*self.kind.tiebreak, *[c for c in self.schema.names if c.startswith("_raw_")]], staged=staged,
+                                      new_bytes=size, keep_before=False)
             written = merge.commit()
             without = tagged.filter(F.col(self.kind.key).isNull()).withColumn("load_id", F.lit(batch_id))
             tables.write(without, self.unkeyed, "overwrite", ["load_id"], dynamic=True)

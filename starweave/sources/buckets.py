@@ -38,7 +38,8 @@ def bucket_of(key: str, n: int) -> Column:
 class Merge:
     """A planned merge: ``after`` is the table as it will be, ``changes`` its inserted and replaced rows.
 
-    ``changes`` has the table's columns and ``__before``, the row that was replaced (NULL for an insert).
+    ``changes`` has the table's columns and ``__before``, the row that was replaced (NULL for an insert, and
+    where the merge was asked not to keep it).
     """
 
     table: "BucketTable"
@@ -69,15 +70,22 @@ class BucketTable:
     def folder(self) -> str:
         return f"{self.path}/{self.buckets}"
 
+    def _folders(self) -> list:
+        """The folders of buckets that hold rows."""
+        fs, p = tables._fs(self.spark, self.folder)
+        there = {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
+        return sorted(x for x in there if x.startswith(f"{BUCKET}="))
+
+    def _no_row(self) -> Column:
+        return F.lit(None).cast(StructType(self.schema.fields))
+
     def read(self, buckets=None) -> DataFrame:
         """All rows, or those of some buckets: then nothing else is listed or read."""
         n = self.buckets
         whole = StructType([*self.schema, StructField(BUCKET, IntegerType(), True)])
         if n is None:
             return self.spark.createDataFrame([], whole)
-        fs, p = tables._fs(self.spark, f"{self.path}/{n}")
-        there = {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
-        names = sorted(x for x in there if x.startswith(f"{BUCKET}="))
+        names = self._folders()
         if buckets is not None:
             wanted = {f"{BUCKET}={b}" for b in buckets}
             names = [x for x in names if x in wanted]
@@ -101,26 +109,34 @@ class BucketTable:
         fs, p = tables._fs(self.spark, staged)
         return fs.getContentSummary(p).getLength()
 
-    def merge(self, new: DataFrame, order_col: str, tiebreak: list, stamps=("created_at", "updated_at"), staged: list | None = None) -> Merge:
+    def merge(self, new: DataFrame, order_col: str, tiebreak: list, stamps=("created_at", "updated_at"), staged: list | None = None,
+              new_bytes: int | None = None, keep_before: bool = True) -> Merge:
         """Plan the merge of ``new``, one row a key, and no NULL key.
 
         The row with the greater ``order_col`` stays (NULL is least), then the one with the
         smaller ``tiebreak`` columns (NULL first), then the one that is there. A replaced row
         keeps the first of the ``stamps``. Both sides have one row a key, so the join has no
-        hot key; it reads the buckets of the new keys only.
+        hot key; it reads the buckets of the new keys only. ``new_bytes`` says that ``new``
+        is staged already, with so many bytes; without ``keep_before`` replaced rows are not kept.
+        The rows of a first load are the table: they are not joined, nor staged again.
         """
         staged = [] if staged is None else staged
-        new = tables.stage(new, "new_rows", track=staged)
+        if new_bytes is None:
+            new = tables.stage(new, "new_rows", track=staged)
+            new_bytes = self._size(staged[-1])
         if self.buckets is None:
             n = self.least
-            while n < MOST_BUCKETS and n * BUCKET_BYTES < self._size(staged[-1]):
+            while n < MOST_BUCKETS and n * BUCKET_BYTES < new_bytes:
                 n *= 2
             tables.put_text(self.spark, f"{self.path}/_buckets", str(n))
         elif 4 * self.buckets * BUCKET_BYTES < tables._fs(self.spark, self.folder)[0].getContentSummary(tables._fs(self.spark, self.folder)[1]).getLength():
             self.rebucket(min(MOST_BUCKETS, 4 * self.buckets))
         near = self.buckets_of(new)
-        old = self.read(near)
         names = self.schema.names
+        if not self._folders():
+            merged = new.select(*names).withColumn(BUCKET, bucket_of(self.key, self.buckets))
+            return Merge(self, merged, new.select(*names, self._no_row().alias("__before")), new.select(*names), near)
+        old = self.read(near)
         t = old.select(*[F.col(c).alias(_T + c) for c in names], F.lit(True).alias("__t"))
         s = new.select(*[F.col(c).alias(_S + c) for c in names], F.lit(True).alias("__s"))
         j = t.join(s, t[_T + self.key] == s[_S + self.key], "full")
@@ -132,7 +148,8 @@ class BucketTable:
         if stamps[0] in names:
             pick[stamps[0]] = F.coalesce(_T + stamps[0], _S + stamps[0])
         before = F.when(F.col("__t").isNotNull(), F.struct(*[F.col(_T + c).alias(c) for c in names]))
-        merged = j.select(*[e.alias(c) for c, e in pick.items()], wins.alias("__changed"), F.when(wins, before).alias("__before"))
+        kept = F.when(wins, before) if keep_before else self._no_row()
+        merged = j.select(*[e.alias(c) for c, e in pick.items()], wins.alias("__changed"), kept.alias("__before"))
         merged = tables.stage(merged.withColumn(BUCKET, bucket_of(self.key, self.buckets)), "merged_rows", track=staged)
         changes = merged.filter("__changed")
         touched = sorted(r[0] for r in changes.select(BUCKET).distinct().collect())
