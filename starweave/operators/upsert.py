@@ -13,11 +13,16 @@ see ``sources.tables``):
 Several source rows matching one target row is an error, as in a MERGE;
 several source rows of a key the target lacks are all inserted. Keys that
 repeat in the source are found by one aggregate (partial per task, so a key
-holding a third of the source costs one row per task). Their rows, and rows
+holding a third of the source costs one row per task), which is run when the
+merge is defined: the few there are go into the plan as a small table. So rows
+are shuffled once, for the merge, and not also to be marked; only where more
+than ``FEW_REPEATED`` keys repeat are both sides joined with the aggregate.
+Rows of repeated keys, and rows
 with a NULL key, are salted: they match nothing and spread over all tasks of
 the full outer join, which could not split a hot key. A target row whose key
 repeats in the source raises through ``raise_error`` when the result is
-computed.
+computed. The source is read when the merge is defined and when its result is
+computed: it must hold the same keys both times (stage it if it may not).
 
 Source columns the target lacks are added (additive schema evolution): they
 count as NULL in the target, are compared, and reach matched rows as well. An
@@ -30,6 +35,8 @@ from pyspark.sql import DataFrame, functions as F
 
 MERGE_ACTION = "merge_action"
 _T, _S = "__t_", "__s_"
+#: Repeated source keys that are put into the plan; more are joined by shuffle.
+FEW_REPEATED = 1_000
 
 
 def _salt(df: DataFrame, alone, sign: int):
@@ -64,7 +71,13 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_cols, now=None,
     repeated = (source.select(*keys).filter(~no_key).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
                 .filter(F.col("__n") > 1).select(*keys, F.lit(True).alias("__again")))
 
+    some = repeated.limit(FEW_REPEATED + 1).collect()  # a bounded number of keys
+    if 0 < len(some) <= FEW_REPEATED:
+        repeated = F.broadcast(source.sparkSession.createDataFrame(some, repeated.schema))
+
     def marked(df: DataFrame) -> DataFrame:
+        if not some:
+            return df.withColumn("__again", F.lit(False))
         return df.join(repeated, keys, "left").select(*df.columns, F.coalesce(F.col("__again"), F.lit(False)).alias("__again"))
 
     s = marked(source)

@@ -1,4 +1,6 @@
 """Steps that large runs showed to be dear: what they must not do any more, and that they still give the same."""
+import importlib
+
 from helpers import bronze, order
 
 from starweave.plans.silver_table import ORDERS, SilverTable
@@ -28,3 +30,22 @@ def test_a_merge_still_tells_what_it_replaced(spark, scratch):
     one.commit()
     two = table.merge(df([("a", 2, 5), ("b", 0, 9)]), "t", ["v"])
     assert [(r.k, r.v, r["__before"].v) for r in two.changes.collect()] == [("a", 5, 1)]
+
+
+def test_an_upsert_shuffles_each_side_once(spark, monkeypatch):
+    module = importlib.import_module("starweave.operators.upsert")  # the package has a function of that name
+    target = spark.range(100).selectExpr("cast(id as string) k", "id v")
+    source = spark.range(50, 150).selectExpr("cast(id as string) k", "id * 2 v")
+    twice = source.unionByName(spark.sql("select 'new' k, 1L v union all select 'new', 2L"))
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(module.upsert(target, source, "k", ["v"], with_action=True)) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    few = rows(module.upsert(target, twice, "k", ["v"], with_action=True))
+    monkeypatch.setattr(module, "FEW_REPEATED", 0)  # any repeated key is one too many for the plan
+    assert rows(module.upsert(target, twice, "k", ["v"], with_action=True)) == few
+    assert len(few) == 152 and ("new", 2, "insert") in few
