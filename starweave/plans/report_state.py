@@ -22,23 +22,50 @@ _KEYS = ["report", "k1", "k2", "sk"]
 _SUMS = ("lines", "ids", "units", "net", "net_n", "profit", "pct_sum", "pct_n")
 
 
-def _groups() -> Column:
-    none, no_sk = F.lit(None).cast("string"), F.lit(None).cast("long")
-    group = lambda report, k1=none, k2=none, sk=no_sk: F.struct(
-        F.lit(report).alias("report"), k1.cast("string").alias("k1"), k2.cast("string").alias("k2"), sk.cast("long").alias("sk"))
-    return F.array(group("status", F.col("order_status")), group("product", sk=F.col("product_sk")),
-                   group("order", F.col("order_id"), sk=F.col("customer_sk")), group("day", sk=F.col("order_date_sk")),
-                   group("channel", F.col("order_channel"), F.col("payment_method")))
+def _row(report: str, **values) -> Column:
+    """What one line adds to one report: its group, and the measures that the report sums (NULL: none)."""
+    types = {"k1": "string", "k2": "string", "sk": "long", "quantity": "int", "gross_profit": "decimal(18,2)",
+             "net_revenue": "decimal(18,2)", "gross_profit_pct": "decimal(18,2)", "lines": "int", "ids": "int"}
+    held = lambda c, kind: values[c].cast(kind) if c in values else F.lit(None).cast(kind)
+    return F.struct(F.lit(report).alias("report"), *[held(c, kind).alias(c) for c, kind in types.items()])
 
 
-def partial_sums(fact: DataFrame) -> DataFrame:
-    """One row for each day, report and group; map tasks send their groups, not lines."""
-    rows = fact.select(DAY, "order_line_id", "order_id", "quantity", "net_revenue", "gross_profit", "gross_profit_pct", F.explode(_groups()).alias("g"))
-    sums = rows.groupBy(DAY, *[F.col(f"g.{k}").alias(k) for k in _KEYS]).agg(
-        F.count("order_line_id").alias("lines"), F.count("order_id").alias("ids"), F.sum("quantity").alias("units"), F.sum("net_revenue").alias("net"),
+def _lines(fact: DataFrame, *rows: Column) -> DataFrame:
+    """A row for each line and report."""
+    each = F.explode(F.array(*rows)) if len(rows) > 1 else F.array(*rows)[0]
+    return fact.select(DAY, each.alias("g")).select(DAY, "g.*")
+
+
+def _sum(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(DAY, *_KEYS).agg(
+        F.count("lines").alias("lines"), F.count("ids").alias("ids"), F.sum("quantity").alias("units"), F.sum("net_revenue").alias("net"),
         F.count("net_revenue").alias("net_n"), F.sum("gross_profit").alias("profit"), F.sum("gross_profit_pct").alias("pct_sum"),
         F.count("gross_profit_pct").alias("pct_n"), F.count(F.lit(1)).alias("rows"))
-    return sums.withColumn(MONTH, F.coalesce(F.date_format(DAY, "yyyy-MM"), F.lit("none")))
+
+
+def partial_sums(fact: DataFrame) -> DataFrame:
+    """One row for each day, report and group, laid out for a write by month.
+
+    Groups of few values (status, channel, day) are summed by the map tasks before they are shuffled. A product's
+    or an order's lines of a day are few, so a sum before the shuffle saves nothing there: their rows, with the
+    measures of their report only, are dealt once by ranges of (day, report, key), and are summed and written as
+    they lie. A hot day is spread over tasks by the keys.
+    """
+    units, net, profit, pct = (F.col(c) for c in ("quantity", "net_revenue", "gross_profit", "gross_profit_pct"))
+    lines, ids = (F.when(F.col(c).isNotNull(), F.lit(1)) for c in ("order_line_id", "order_id"))
+    few = _sum(_lines(
+        fact, _row("status", k1=F.col("order_status"), net_revenue=net, gross_profit=profit),
+        _row("day", sk=F.col("order_date_sk"), lines=lines, net_revenue=net, gross_profit=profit),
+        _row("channel", k1=F.col("order_channel"), k2=F.col("payment_method"), ids=ids, net_revenue=net)))
+    many = _lines(fact, _row("product", sk=F.col("product_sk"), lines=lines, quantity=units, net_revenue=net, gross_profit=profit,
+                             gross_profit_pct=pct),
+                  _row("order", k1=F.col("order_id"), sk=F.col("customer_sk"), net_revenue=net))
+    sums = _sum(many.repartitionByRange(DAY, "report", "sk", "k1")).unionByName(few.repartitionByRange(DAY))
+    return sums.withColumn(MONTH, _month())
+
+
+def _month() -> Column:
+    return F.coalesce(F.date_format(DAY, "yyyy-MM"), F.lit("none"))
 
 
 class ReportState:
@@ -48,7 +75,7 @@ class ReportState:
     def build(self, fact: DataFrame) -> None:
         """The state of a whole fact."""
         sums = partial_sums(fact)
-        tables.write(sums, self.path, "overwrite", [MONTH], cluster_by=["report", "sk"])
+        tables.write(sums, self.path, "overwrite", [MONTH], spread=False)
         tables.log_schema(self.spark, self.path, sums.schema)
 
     def update(self, fact: DataFrame, days) -> int:
@@ -59,12 +86,13 @@ class ReportState:
         months = sorted({d.strftime("%Y-%m") if d is not None else "none" for d in days})
         staged: list = []
         try:
-            touched = partial_sums(fact.filter(tables._any_of(DAY, days)))
+            again = fact.filter(tables._any_of(DAY, days))
             held = tables.read(self.spark, self.path).filter(F.col(MONTH).isin(months))
-            stays = held.filter(~F.coalesce(tables._any_of(DAY, days), F.lit(False)))
-            after = tables.stage(stays.unionByName(touched), "report_months", track=staged)
-            tables.write(after, self.path, "overwrite", [MONTH], cluster_by=["report", "sk"], dynamic=True)
-            left = {r[0] for r in after.select(MONTH).distinct().collect()}
+            # Only what stays is staged (it is read from the months that are replaced); the touched days go straight there.
+            stays = tables.stage(held.filter(~F.coalesce(tables._any_of(DAY, days), F.lit(False))), "report_months", track=staged)
+            laid = stays.repartitionByRange(DAY, "report", "sk", "k1")
+            tables.write(laid.unionByName(partial_sums(again)), self.path, "overwrite", [MONTH], dynamic=True, spread=False)
+            left = {r[0] for r in stays.select(MONTH).union(again.select(_month())).distinct().collect()}
             fs, _ = tables._fs(self.spark, self.path)
             for month in set(months) - left:  # all lines of the month are gone
                 fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{MONTH}={month}"), True)

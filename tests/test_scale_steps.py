@@ -49,3 +49,24 @@ def test_an_upsert_shuffles_each_side_once(spark, monkeypatch):
     monkeypatch.setattr(module, "FEW_REPEATED", 0)  # any repeated key is one too many for the plan
     assert rows(module.upsert(target, twice, "k", ["v"], with_action=True)) == few
     assert len(few) == 152 and ("new", 2, "insert") in few
+
+
+def test_report_sums_deal_lines_once(spark, scratch, monkeypatch):
+    from starweave.plans import report_state
+    fact = spark.range(200).selectExpr(
+        "date_add(date'2024-01-01', cast(id % 40 as int)) order_date", "cast(id as string) order_line_id", "cast(id % 50 as string) order_id",
+        "cast(id % 3 as int) quantity", "cast(id as decimal(18,2)) net_revenue", "cast(1 as decimal(18,2)) gross_profit",
+        "cast(2 as decimal(18,2)) gross_profit_pct", "'S' order_status", "id % 7 product_sk", "id % 5 customer_sk", "1 order_date_sk",
+        "'web' order_channel", "'card' payment_method")
+    plan = report_state.partial_sums(fact)._jdf.queryExecution().executedPlan().toString()
+    # one deal of the lines; the summed rows of the small groups move twice
+    assert plan.count("Exchange rangepartitioning") == 2 and plan.count("Exchange hashpartitioning") == 1
+    staged, plain = [], tables.stage
+    monkeypatch.setattr(tables, "stage", lambda df, label="stage", *a, **k: (staged.append(plain(df, label, *a, **k)), staged[-1])[1])
+    held = []
+    monkeypatch.setattr(tables, "drop_paths", lambda *a: held.extend(df.count() for df in staged))
+    state = report_state.ReportState(spark, scratch)
+    state.build(fact)
+    state.update(fact, [r[0] for r in fact.select("order_date").distinct().collect()])
+    assert held == [0]  # recomputed days are not staged before they are written
+    assert [tuple(map(str, r)) for r in state.by_status().collect()] == [("S", "200", "19900.00", "200.00")]
