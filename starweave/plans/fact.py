@@ -19,6 +19,7 @@ from ..functions import metrics
 from ..operators.lookup import lookup
 from ..sources.ingest import _ts
 from .dimensions import geography_bk
+from .silver import ORDER_MEASURES, with_order_measures
 
 # Fixed value: the contract of the fact table.
 FACT_COLUMNS = [
@@ -69,11 +70,12 @@ def with_measures(f: DataFrame) -> DataFrame:
 
 def fact_sales(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
                dim_date: DataFrame, dim_geography: DataFrame, now=None, keep=()) -> DataFrame:
-    """The fact rows of ``orders``; ``keep`` names order columns to carry along (see ``fact_table``)."""
-    f = orders.drop("created_at", "updated_at")
-    f = resolve_dates(f, dim_date)
+    """The fact rows of ``orders`` (valid rows of Silver); ``keep`` names order columns to carry along (see ``fact_table``)."""
+    # Silver's amounts and days follow from a line's other columns: they are made again behind the shuffles.
+    f = orders.drop("created_at", "updated_at", *ORDER_MEASURES)
     f = resolve_customers(f, customer_keys(dim_customer, dim_geography))
     f = resolve_products(f, dim_product)
-    f = with_measures(f)
+    f = resolve_dates(f, dim_date)  # broadcast: after the shuffles, which need not carry its keys
+    f = with_measures(with_order_measures(f))
     ts = _ts(now)
     return f.withColumns({"created_at": ts, "updated_at": ts}).select(*FACT_COLUMNS, *keep)

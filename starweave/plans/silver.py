@@ -46,6 +46,9 @@ ORDER_COLUMNS = [
     "days_to_ship", "payment_method", "order_channel", "order_status",
     "source_system", "batch_id", "ingested_at", "created_at", "updated_at"]
 
+# What ``with_order_measures`` derives from the other columns.
+ORDER_MEASURES = ["discount_amount", "gross_revenue", "net_revenue", "days_to_ship"]
+
 # Tie-break order for rows of one key landed at the same time.
 CUSTOMER_TIEBREAK = ["first_name", "last_name", "email", "phone", "city", "state", "country",
                      "zip_code", "customer_segment", "registration_date", "source_system", "batch_id"]
