@@ -26,7 +26,7 @@ from starweave.operators.quality import (DuplicateRate, NullRate, RowCount, Valu
                                          foreign_keys, overall, row_counts, run_checks)
 from starweave.operators.surrogate import with_unique_keys  # noqa: E402
 from starweave.operators.upsert import MERGE_ACTION, upsert  # noqa: E402
-from starweave.plans.dimensions import CUSTOMER_UPDATE_COLUMNS  # noqa: E402
+from starweave.plans.dimensions import CUSTOMER_UPDATE_COLUMNS, dim_date_covering  # noqa: E402
 from starweave.plans import reports, silver, suites  # noqa: E402
 from starweave.plans.fact_table import Dimensions, FactTable  # noqa: E402
 from starweave.plans.report_state import ReportState  # noqa: E402
@@ -284,18 +284,22 @@ def q_partition_publish(spark, d):
     import uuid
     s = _star(spark, d)
     first, second, _ = _order_batches(spark, d)
+    keys = ["order_line_id"]
+    # The calendar of the lines that are loaded: it needs no de-duplication of both loads together.
+    days = dim_date_covering(first.select("order_date", "ship_date").union(second.select("order_date", "ship_date")),
+                             ["order_date", "ship_date"])
+    days = tables.stage(days, "dim_date")
 
-    def fact_of(orders):
+    def fact_of(orders, lay_by=()):
         from starweave.plans.fact import fact_sales
-        return _no_ts(fact_sales(orders, s.dim_customer, s.dim_product, s.dim_date, s.dim_geography))
+        return _no_ts(fact_sales(orders, s.dim_customer, s.dim_product, days, s.dim_geography, lay_by=lay_by))
 
     from concurrent.futures import ThreadPoolExecutor
     path = f"{tables.checkpoint_root(spark)}/fact_sales-{uuid.uuid4().hex}"
-    keys = ["order_line_id"]
     with ThreadPoolExecutor(max_workers=1) as pool:
         # The second load's fact is staged while the first load is published.
         f2_future = pool.submit(tables.stage, fact_of(second), "fact_second_load")
-        tables.publish_partitions(fact_of(first), path, keys, [], "order_date")
+        tables.publish_partitions(fact_of(first, ["order_date", *keys]), path, keys, [], "order_date", laid=True)
         f2 = f2_future.result()
     tables.publish_partitions(f2, path, keys, [c for c in f2.columns if c not in keys], "order_date",
                               source_is_staged=True)

@@ -69,13 +69,19 @@ def with_measures(f: DataFrame) -> DataFrame:
 
 
 def fact_sales(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-               dim_date: DataFrame, dim_geography: DataFrame, now=None, keep=()) -> DataFrame:
-    """The fact rows of ``orders`` (valid rows of Silver); ``keep`` names order columns to carry along (see ``fact_table``)."""
+               dim_date: DataFrame, dim_geography: DataFrame, now=None, keep=(), lay_by=()) -> DataFrame:
+    """The fact rows of ``orders`` (valid rows of Silver); ``keep`` names order columns to carry along (see ``fact_table``).
+
+    ``lay_by`` names columns whose ranges the rows are dealt by, for a partitioned write (``tables.publish_partitions``
+    with ``laid``): that shuffle carries no measures either.
+    """
     # Silver's amounts and days follow from a line's other columns: they are made again behind the shuffles.
     f = orders.drop("created_at", "updated_at", *ORDER_MEASURES)
     f = resolve_customers(f, customer_keys(dim_customer, dim_geography))
     f = resolve_products(f, dim_product)
     f = resolve_dates(f, dim_date)  # broadcast: after the shuffles, which need not carry its keys
+    if lay_by:
+        f = f.repartitionByRange(*lay_by)
     f = with_measures(with_order_measures(f))
     ts = _ts(now)
     return f.withColumns({"created_at": ts, "updated_at": ts}).select(*FACT_COLUMNS, *keep)

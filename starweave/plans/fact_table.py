@@ -55,8 +55,8 @@ class Dimensions:
     date: DataFrame
     geography: DataFrame
 
-    def fact(self, orders: DataFrame, now=None, keep=()) -> DataFrame:
-        return fact.fact_sales(orders, self.customer, self.product, self.date, self.geography, now, keep)
+    def fact(self, orders: DataFrame, now=None, keep=(), lay_by=()) -> DataFrame:
+        return fact.fact_sales(orders, self.customer, self.product, self.date, self.geography, now, keep, lay_by)
 
     def members(self) -> DataFrame:
         """role, business_key, sk, copied: every member, and what the fact copies from it besides its key."""
@@ -153,7 +153,8 @@ class FactTable:
             if tables.committed(self.spark, self.rows_path):
                 return self._publish(orders, dims, now, staged)
             # Nothing to merge with: the rows are written once, and the index is read from them.
-            info = tables.publish_partitions(dims.fact(orders, now, CARRIED), self.rows_path, ["order_line_id"], [], PARTITION, now)
+            rows = dims.fact(orders, now, CARRIED, lay_by=[PARTITION, "order_line_id"])
+            info = tables.publish_partitions(rows, self.rows_path, ["order_line_id"], [], PARTITION, now, laid=True)
             self._keep_index(unresolved(self.rows()))
             return info
         finally:

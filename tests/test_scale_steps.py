@@ -86,3 +86,35 @@ def test_the_fact_shuffles_neither_measures_nor_date_keys(spark, monkeypatch):
     assert got == {"L1": ("180.00", "60.00", 3, 20240105, 20240108), "L2": ("180.00", "None", None, 20240105, None)}
     assert "order_line_id" in joined
     assert not {"discount_amount", "gross_revenue", "net_revenue", "days_to_ship", "order_date_sk", "ship_date_sk"} & set(joined)
+
+
+def test_a_first_load_of_the_fact_is_dealt_without_measures(spark, scratch, monkeypatch):
+    from starweave.plans import dimensions
+    from starweave.plans.fact_table import Dimensions, FactTable
+    from starweave.plans.star import Star
+    from starweave.sources.contracts import CRM_CUSTOMERS, ERP_PRODUCTS
+    s = Star(bronze(spark, CRM_CUSTOMERS, [customer("C001")]), bronze(spark, ERP_PRODUCTS, [product("P001")]),
+             bronze(spark, ECOM_ORDERS, [order("L1"), order("L2", od="2024-01-06")]), calendar=dimensions.dim_date(spark, "2024-01-01", "2024-12-31"))
+    written, plain = [], tables.write
+    monkeypatch.setattr(tables, "write", lambda df, *a, **k: (written.append((df, k)), plain(df, *a, **k))[1])
+    table = FactTable(spark, scratch)
+    table.load(s.silver_orders, Dimensions(s.dim_customer, s.dim_product, s.dim_date, s.dim_geography))
+    df, how = written[0]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert how["spread"] is False and plan.count("Exchange rangepartitioning") == 1
+    below = plan[plan.index("Exchange rangepartitioning"):]
+    assert "AS gross_profit" in plan and "AS gross_profit" not in below and "AS net_revenue" not in below
+    assert sorted((r.order_line_id, str(r.gross_profit)) for r in table.read().collect()) == [("L1", "60.00"), ("L2", "60.00")]
+
+
+def test_partition_publish_needs_no_deduplication_of_both_loads(spark, monkeypatch):
+    import __spark_entry__ as entry
+    from starweave.plans.star import Star
+    def whole(self):
+        raise AssertionError("both loads were de-duplicated together")
+    monkeypatch.setattr(Star, "silver_orders_tagged", property(whole))
+    monkeypatch.setattr(entry, "_STARS", {})
+    monkeypatch.setattr(entry, "_BATCHES", {})
+    monkeypatch.setattr(tables, "publish_partitions", lambda *a, **k: {})
+    monkeypatch.setattr(spark.read.__class__, "parquet", (lambda plain: lambda self, *p, **k: plain(self, *p, **k) if "fact_sales-" not in p[0] else p[0])(spark.read.__class__.parquet))
+    assert "fact_sales-" in entry.queries()["partition_publish"](spark, "/root/testdata/sf0.001")
