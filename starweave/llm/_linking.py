@@ -7,8 +7,11 @@ become pairs. No step lists all pairs of a bucket:
    the round's order of a bucket, taken where the two meet in the most bands.
    Exact verification, then components. Large groups of near copies collapse
    here.
-2. Buckets that still hold several components are searched in blocks, for links
-   across components only: a pair inside a component would change nothing.
+2. Buckets that still hold several components are searched for links across
+   components only: a pair inside a component would change nothing. In a bucket
+   of a few members the signatures are compared, and each pair that they allow is
+   verified once, however many buckets it shares; larger buckets are searched in
+   blocks of texts.
 """
 
 from __future__ import annotations
@@ -24,6 +27,10 @@ from ._tokens import NOT_SPACE, chunks, shingles, words
 
 #: Bytes of text that one block of a bucket holds, about.
 BLOCK_BYTES = 4 << 20
+#: Members of a bucket whose pairs are listed, at most: no more than half as many pairs for each member.
+FEW_MEMBERS = 16
+#: Pairs whose signatures are compared at once.
+PAIRS = 1 << 18
 #: Rounds of hubs, and hubs that a class tries in each.
 ROUNDS, TRIES = 2, 6
 #: Standard deviations below the threshold at which a signature still passes.
@@ -115,14 +122,62 @@ def _mixed(before: DataFrame, comp: DataFrame) -> DataFrame:
     return kept(owned.join(several, "band"), before)
 
 
+def _least(jaccard: float, size: int) -> float:
+    """Equal coordinates of two signatures of ``size`` that allow the threshold."""
+    return (jaccard - SIGMAS * np.sqrt(jaccard * (1 - jaccard) / size)) * size
+
+
+def _allowed(buckets: DataFrame, jaccard: float) -> DataFrame:
+    """``(a, b)``: pairs of the members ``m(cls, comp, sketch)`` of each bucket that lie in two components
+    and whose signatures allow the threshold; each pair once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("m")
+            edge = column.offsets.to_numpy().astype(np.int64)
+            members = column.values.slice(edge[0], edge[-1] - edge[0])
+            edge -= edge[0]
+            if not len(members):
+                continue
+            cls, comp, sketch = (members.field(n) for n in range(3))
+            comp = comp.dictionary_encode().indices.to_numpy()
+            sketch = np.frombuffer(b"".join(sketch.to_pylist()), np.uint8).reshape(len(members), -1)
+            least = _least(jaccard, sketch.shape[1])
+            n = np.repeat(edge[1:], np.diff(edge)) - np.arange(len(members)) - 1  # members behind each in its bucket
+            done = np.cumsum(n)
+            lo = 0
+            while lo < len(members):
+                hi = max(lo + 1, int(np.searchsorted(done, done[lo] - n[lo] + PAIRS, side="right")))
+                x = np.repeat(np.arange(lo, hi), n[lo:hi])
+                y = x + 1 + np.arange(len(x)) - np.repeat(done[lo:hi] - n[lo:hi] - (done[lo] - n[lo]), n[lo:hi])
+                apart = comp[x] != comp[y]
+                x, y = x[apart], y[apart]
+                near = (sketch[x] == sketch[y]).sum(axis=1) >= least
+                yield pa.RecordBatch.from_arrays([cls.take(pa.array(x[near])), cls.take(pa.array(y[near]))], ["a", "b"])
+                lo = hi
+
+    found = buckets.mapInArrow(run, "a binary, b binary")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _across(mixed: DataFrame, sketches: DataFrame, texts: DataFrame, jaccard: float, k: int) -> DataFrame:
     """Links between members of a bucket that lie in two components.
 
-    Buckets are searched in blocks of ``BLOCK_BYTES`` of text against blocks;
-    nearly all buckets are one block, and their texts are sent once.
-    Pairs whose signatures allow the threshold are verified on the spot, on
+    Nearly all buckets have few members: only the pairs that their signatures allow are sent
+    their texts. The others are searched in blocks of ``BLOCK_BYTES`` of text against blocks.
+    Pairs whose signatures allow the threshold are verified there on the spot, on
     whole texts; only links leave the task, never candidates.
     """
+    crowds = mixed.groupBy("band").agg(F.count("*").alias("n"))
+    few = (mixed.join(crowds.filter(F.col("n") <= FEW_MEMBERS).select("band"), "band").join(sketches, "cls")
+           .groupBy("band").agg(F.collect_list(F.struct("cls", "comp", "sketch")).alias("m")))
+    found = verified(_allowed(few.select("m"), jaccard), texts, jaccard, k)
+    many = mixed.join(crowds.filter(F.col("n") > FEW_MEMBERS).select("band"), "band")
+    return found.union(_across_blocks(many, sketches, texts, jaccard, k)).distinct()
+
+
+def _across_blocks(mixed: DataFrame, sketches: DataFrame, texts: DataFrame, jaccard: float, k: int) -> DataFrame:
+    """``_across`` for buckets of any size."""
     sized = mixed.join(texts.select("cls", F.octet_length("text").alias("size")), "cls")
     blocks = sized.groupBy("band").agg(F.expr(f"CAST(ceil((sum(size) + 1) / {BLOCK_BYTES}) AS INT)").alias("blocks"))
     member = (mixed.join(blocks, "band").join(sketches, "cls").join(texts, "cls")
@@ -139,7 +194,7 @@ def _across(mixed: DataFrame, sketches: DataFrame, texts: DataFrame, jaccard: fl
         comp = np.array([numbers.setdefault(c, len(numbers)) for c in table["comp"].to_pylist()])
         i, j, own = table["i"][0].as_py(), table["j"][0].as_py(), table["own"].to_numpy()
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        least = (jaccard - SIGMAS * np.sqrt(jaccard * (1 - jaccard) / sketch.shape[1])) * sketch.shape[1]
+        least = _least(jaccard, sketch.shape[1])
         sets = []
         for lo, hi, buf, off in chunks(table["text"]):
             h, first, *_ = words(buf, off, NOT_SPACE)

@@ -91,13 +91,13 @@ def _anchors(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     begin = np.arange(len(h) - GRAM + 1)
     g = _sequence_hash(h, begin, begin + GRAM, _A)
     # Pieces across the border of two documents lie in no run that is kept.
-    n = len(h) - SPAN_WORDS + 1
-    low, at = g[SPAN_WORDS - GRAM:].copy(), np.full(n, SPAN_WORDS - GRAM)
-    for k in range(SPAN_WORDS - GRAM - 1, -1, -1):
-        less = g[k: k + n] < low
-        low[less], at[less] = g[k: k + n][less], k
-    at = place + at[place]
-    return doc[place], place, at
+    low, at, span = g, begin, 1
+    while span < SPAN_WORDS - GRAM + 1:  # the smallest of twice as many pieces, from two that overlap or touch
+        step = min(span, SPAN_WORDS - GRAM + 1 - span)
+        later = low[step:] <= low[:-step]
+        low, at = np.where(later, low[step:], low[:-step]), np.where(later, at[step:], at[:-step])
+        span += step
+    return doc[place], place, at[place]
 
 
 def _paragraphs(docs: DataFrame, what: str) -> DataFrame:

@@ -265,3 +265,51 @@ def test_stage_keeps_one_row_of_a_component(spark):
 
 def test_stage_of_an_empty_table(spark, nothing):
     assert near_dedup.stage(spark, nothing, "").count() == 0
+
+
+def test_small_buckets_send_only_the_texts_that_signatures_allow(spark, monkeypatch):
+    """Buckets of few members give the links that the search in blocks gives, and send no text there."""
+    import numpy as np
+    from starweave.llm import _linking
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts, sketches = [], []
+    for group in range(30):
+        base = rng.choice(vocabulary, 80).tolist()
+        sketch = rng.integers(0, 256, 42, dtype=np.uint8)
+        for copy in range(3):
+            words, own = list(base), sketch.copy()
+            if copy:
+                words[int(rng.integers(0, 80))] = "changed"
+                own[: 4 * copy] += 1
+            texts.append(" ".join(words))
+            sketches.append(own.tobytes())
+    cls = [bytes([0, n]) for n in range(len(texts))]
+    # Buckets: near copies together (twice), strangers together, and one crowd of all.
+    rows = [(n // 3, cls[n], cls[n]) for n in range(90)] + [(100 + n // 3, cls[n], cls[n]) for n in range(90)]
+    rows += [(200 + n % 9, cls[n], cls[n]) for n in range(90)] + [(300, c, c) for c in cls]
+    mixed = spark.createDataFrame(rows, "band bigint, cls binary, comp binary")
+    held = spark.createDataFrame(list(zip(cls, sketches)), "cls binary, sketch binary")
+    whole = spark.createDataFrame(list(zip(cls, texts)), "cls binary, text string")
+    pairs = lambda df: {tuple(sorted((bytes(r.a), bytes(r.b)))) for r in df.collect()}
+    want = pairs(_linking._across_blocks(mixed, held, whole, 0.75, 5))
+    assert len(want) >= 60 and pairs(_linking._across(mixed, held, whole, 0.75, 5)) == want
+    monkeypatch.setattr(_linking, "PAIRS", 5)  # several chunks of pairs
+    sent = []
+    blocks = _linking._across_blocks
+    monkeypatch.setattr(_linking, "_across_blocks", lambda mixed, *a: (sent.append(mixed.filter("band < 300").count()), blocks(mixed, *a))[1])
+    small = mixed.filter("band < 300")
+    assert pairs(_linking._across(small, held, whole, 0.75, 5)) == pairs(blocks(small, held, whole, 0.75, 5)) and sent == [0]
+
+
+def test_the_anchor_is_the_last_smallest_piece_of_a_run():
+    import numpy as np
+    from starweave.llm import substring_dedup as s
+    rng = np.random.default_rng(3)
+    for n, kinds in ((20, 3), (21, 50), (75, 2), (200, 1), (500, 9)):
+        h = rng.integers(1, 1 << 62, kinds).astype(np.uint64)[rng.integers(0, kinds, n)]
+        g = s._sequence_hash(h, np.arange(n - s.GRAM + 1), np.arange(n - s.GRAM + 1) + s.GRAM, s._A)
+        _, place, at = s._anchors(h, np.array([0, n]))
+        for p, a in zip(place.tolist(), at.tolist()):
+            window = g[p: p + s.SPAN_WORDS - s.GRAM + 1]
+            assert a == p + int(np.flatnonzero(window == window.min())[-1])
