@@ -23,6 +23,6 @@ def keep_latest(df: DataFrame, keys, order_col: str = "ingested_at",
         hidden = [c for c in df.columns if c not in keys and c != order_col and c.startswith("_")]
         tiebreak = visible + hidden
     order: list[Column] = [F.col(order_col).desc_nulls_last()]
-    order += [F.col(c).asc_nulls_first() for c in tiebreak]
+    order += [(F.col(c) if isinstance(c, str) else c).asc_nulls_first() for c in tiebreak]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")

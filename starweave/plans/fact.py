@@ -19,7 +19,7 @@ from ..functions import metrics
 from ..operators.lookup import lookup
 from ..sources.ingest import _ts
 from .dimensions import geography_bk
-from .silver import ORDER_MEASURES, with_order_measures
+from .silver import ORDER_MEASURES, order_amounts, with_order_measures
 
 # Fixed value: the contract of the fact table.
 FACT_COLUMNS = [
@@ -68,6 +68,20 @@ def with_measures(f: DataFrame) -> DataFrame:
     })
 
 
+# Amounts that follow from a fact row's quantity, prices and discount.
+AMOUNTS = ["discount_amount", "gross_revenue", "net_revenue", "cogs", "gross_profit", "gross_profit_pct"]
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """Fact rows as they are staged: without the amounts, which ``unpacked`` makes again."""
+    return rows.drop(*AMOUNTS)
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    whole = with_measures(rows.withColumns(order_amounts()))
+    return whole.select(*FACT_COLUMNS, *[c for c in rows.columns if c not in FACT_COLUMNS])
+
+
 def fact_sales(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
                dim_date: DataFrame, dim_geography: DataFrame, now=None, keep=(), lay_by=()) -> DataFrame:
     """The fact rows of ``orders`` (valid rows of Silver); ``keep`` names order columns to carry along (see ``fact_table``).

@@ -20,7 +20,8 @@ are two filters of one tagged frame, so staging that frame once
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import casts, metrics
 from ..functions.text import clean, join_names, key_clean, lower_clean, phone_clean, title_clean, upper_clean
@@ -60,16 +61,61 @@ ORDER_TIEBREAK = ["order_id", "customer_id", "product_id", "order_date", "ship_d
                   "source_system", "batch_id"]
 
 
+# How the raw texts of a row are spelled (see ``pack_raw``).
+SPELLING = "__spelling"
+
+
+def _own_text(raw: str, columns) -> Column:
+    """The text of the value that was parsed from a ``_raw_`` column."""
+    value = raw.removeprefix("_raw_")
+    return F.col(value).cast("string") if value in columns else F.lit(None).cast("string")
+
+
+def pack_raw(rows: DataFrame) -> DataFrame:
+    """``rows`` with the ``_raw_`` columns as one struct, NULL where each is the text of the value parsed from it.
+
+    Most raw texts are, so they are neither sorted, shuffled nor staged beside their values; ``unpack_raw`` gives
+    them back. A text is '=' where it is its value's own, else marked whether it sorts before ('<') or after ('>')
+    that, NULL if it is NULL: among rows of equal values these marks sort as the texts do.
+    """
+    raws = [f.name for f in rows.schema if f.name.startswith("_raw_") and f.dataType == StringType()]
+    same, marks = F.lit(True), []
+    for c in raws:
+        own = _own_text(c, rows.columns)
+        same = same & F.col(c).eqNullSafe(own)
+        marks.append(F.when(F.col(c).eqNullSafe(own), F.lit("=")).when(F.col(c) < own, F.concat(F.lit("<"), c))
+                     .otherwise(F.concat(F.lit(">"), c)).alias(c))
+    return rows.select(*[c for c in rows.columns if c not in raws], F.when(~same, F.struct(*marks)).alias(SPELLING))
+
+
+def unpack_raw(rows: DataFrame) -> DataFrame:
+    """The rows that ``pack_raw`` got, the ``_raw_`` columns last; the packed ones stay."""
+    raws = {}
+    for c in rows.schema[SPELLING].dataType.names:
+        own, mark = _own_text(c, rows.columns), F.col(SPELLING)[c]
+        raws[c] = F.when(F.col(SPELLING).isNull() | (mark == "="), own).otherwise(F.substring(mark, 2, 2 ** 31 - 1))
+    return rows.withColumns(raws)
+
+
+def _spelling_order(rows: DataFrame) -> list[Column]:
+    """Sorts packed raw texts: a row of own texts stands between those whose first other text is smaller and greater."""
+    side = [F.when(~F.col(SPELLING)[c].eqNullSafe(F.lit("=")), F.when(F.col(SPELLING)[c].startswith(">"), 1).otherwise(-1))
+            for c in rows.schema[SPELLING].dataType.names]
+    return [F.when(F.col(SPELLING).isNull(), 0).otherwise(F.coalesce(*side)), F.col(SPELLING)]
+
+
 def _corrupt(bronze: DataFrame):
     if CORRUPT_COLUMN in bronze.columns:
         return [F.col(CORRUPT_COLUMN).alias("_raw_line")]
     return [F.lit(None).cast("string").alias("_raw_line")]
 
 
-def tag(bronze: DataFrame, standardise, key: str, tiebreak: list, rules: dict, derive=None) -> DataFrame:
+def tag(bronze: DataFrame, standardise, key: str, tiebreak: list, rules: dict, derive=None, packed: bool = False) -> DataFrame:
     """Latest row per key, with ``reject_reasons`` (empty = valid); one shuffle.
 
-    ``derive`` adds what follows from a row's own values to the winners, so it is neither sorted nor shuffled.
+    ``derive`` adds what follows from a row's own values to the winners, so it is neither sorted nor shuffled, and
+    nor are raw texts that say no more than their values (``pack_raw``). ``packed`` leaves out both, for staging:
+    ``unpacked`` gives the whole rows.
 
     Rows without a key (NULL, or blank: both clean to NULL) never enter the
     de-duplication: they are standardised alike and rejected by the
@@ -77,15 +123,22 @@ def tag(bronze: DataFrame, standardise, key: str, tiebreak: list, rules: dict, d
     up in one task, and the result does not depend on row order, which keeps a
     recomputed task exact after executor loss.
     """
-    clean_rows = standardise(bronze)
+    clean_rows = pack_raw(standardise(bronze))
     keyed = clean_rows.filter(F.col(key).isNotNull())
     unkeyed = clean_rows.filter(F.col(key).isNull())
-    raw_cols = [c for c in keyed.columns if c.startswith("_raw_")]
-    latest = keep_latest(keyed, key, "ingested_at", tiebreak + raw_cols)
+    latest = keep_latest(keyed, key, "ingested_at", tiebreak + _spelling_order(keyed))
     all_rules = {f"missing_{key}": F.col(key).isNotNull(), **rules,
                  "malformed_line": F.col("_raw_line").isNull()}
-    rows = latest.unionByName(unkeyed)
-    return tag_rules(derive(rows) if derive else rows, all_rules)
+    rows = unpack_raw(latest.unionByName(unkeyed))
+    tagged = tag_rules(derive(rows) if derive else rows, all_rules)
+    return tagged.select(*clean_rows.columns, REASONS) if packed else tagged.drop(SPELLING)
+
+
+def unpacked(rows: DataFrame, derive=None) -> DataFrame:
+    """What ``tag`` gives without ``packed``, from its packed rows."""
+    whole = unpack_raw(rows)
+    whole = derive(whole) if derive else whole
+    return whole.select(*[c for c in whole.columns if c not in (SPELLING, REASONS)], REASONS)
 
 
 def split_tagged(tagged: DataFrame, columns: list, now=None) -> Split:
@@ -115,8 +168,8 @@ def standardise_customers(bronze: DataFrame) -> DataFrame:
         *_corrupt(bronze))
 
 
-def tag_customers(bronze: DataFrame) -> DataFrame:
-    return tag(bronze, standardise_customers, "customer_id", CUSTOMER_TIEBREAK, customer_rules())
+def tag_customers(bronze: DataFrame, packed: bool = False) -> DataFrame:
+    return tag(bronze, standardise_customers, "customer_id", CUSTOMER_TIEBREAK, customer_rules(), packed=packed)
 
 
 def customers(bronze: DataFrame, now=None) -> Split:
@@ -170,8 +223,8 @@ def product_rules() -> dict:
     }
 
 
-def tag_products(bronze: DataFrame) -> DataFrame:
-    return tag(bronze, standardise_products, "product_id", PRODUCT_TIEBREAK, product_rules())
+def tag_products(bronze: DataFrame, packed: bool = False) -> DataFrame:
+    return tag(bronze, standardise_products, "product_id", PRODUCT_TIEBREAK, product_rules(), packed=packed)
 
 
 def products(bronze: DataFrame, now=None) -> Split:
@@ -202,16 +255,19 @@ def parse_orders(bronze: DataFrame) -> DataFrame:
         *_corrupt(bronze))
 
 
-def with_order_measures(rows: DataFrame) -> DataFrame:
-    """The amounts and the days of parsed order lines, which follow from their other columns."""
+def order_amounts() -> dict:
+    """The amounts of an order line."""
     disc = metrics.discount_amount(F.col("unit_price"), F.col("quantity"), F.col("discount_pct"))
     gross = metrics.gross_revenue(F.col("unit_price"), F.col("quantity"))
+    return {"discount_amount": disc, "gross_revenue": gross, "net_revenue": metrics.net_revenue(gross, disc)}
+
+
+def with_order_measures(rows: DataFrame) -> DataFrame:
+    """The amounts and the days of parsed order lines, which follow from their other columns."""
     at = rows.columns.index("discount_pct") + 1
     return rows.select(
         *rows.columns[:at],
-        disc.alias("discount_amount"),
-        gross.alias("gross_revenue"),
-        metrics.net_revenue(gross, disc).alias("net_revenue"),
+        *[e.alias(c) for c, e in order_amounts().items()],
         metrics.days_to_ship(F.col("order_date"), F.col("ship_date")).alias("days_to_ship"),
         *rows.columns[at:])
 
@@ -236,8 +292,8 @@ def order_rules() -> dict:
     }
 
 
-def tag_orders(bronze: DataFrame) -> DataFrame:
-    return tag(bronze, parse_orders, "order_line_id", ORDER_TIEBREAK, order_rules(), with_order_measures)
+def tag_orders(bronze: DataFrame, packed: bool = False) -> DataFrame:
+    return tag(bronze, parse_orders, "order_line_id", ORDER_TIEBREAK, order_rules(), with_order_measures, packed=packed)
 
 
 def orders(bronze: DataFrame, now=None) -> Split:

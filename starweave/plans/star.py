@@ -58,23 +58,29 @@ class Star:
     def bronze_orders(self) -> DataFrame:
         return self._keep(self._bronze["orders"], "bronze_orders")
 
-    def _split(self, tagged: DataFrame, columns: list, label: str) -> Split:
-        return silver.split_tagged(self._keep(tagged, label), columns, self.now)
+    # Staged, Silver holds no raw text and no measure that follows from the values beside it; readers make them again.
+    def _tagged(self, tag, bronze: DataFrame, label: str, derive=None) -> DataFrame:
+        if not self.stage:
+            return tag(bronze)
+        return silver.unpacked(self._keep(tag(bronze, packed=True), label), derive)
+
+    def _split(self, tag, bronze: DataFrame, columns: list, label: str) -> Split:
+        return silver.split_tagged(self._tagged(tag, bronze, label), columns, self.now)
 
     @cached_property
     def silver_customers_split(self) -> Split:
-        return self._split(silver.tag_customers(self.bronze_customers), silver.CUSTOMER_COLUMNS,
+        return self._split(silver.tag_customers, self.bronze_customers, silver.CUSTOMER_COLUMNS,
                            "silver_customers")
 
     @cached_property
     def silver_products_split(self) -> Split:
-        return self._split(silver.tag_products(self.bronze_products), silver.PRODUCT_COLUMNS,
+        return self._split(silver.tag_products, self.bronze_products, silver.PRODUCT_COLUMNS,
                            "silver_products")
 
     @cached_property
     def silver_orders_tagged(self) -> DataFrame:
         """Latest row per order line with its reject reasons (valid and rejected)."""
-        return self._keep(silver.tag_orders(self.bronze_orders), "silver_orders")
+        return self._tagged(silver.tag_orders, self.bronze_orders, "silver_orders", silver.with_order_measures)
 
     @cached_property
     def silver_orders_split(self) -> Split:
@@ -113,9 +119,9 @@ class Star:
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        return self._keep(fact.fact_sales(self.silver_orders, self.dim_customer, self.dim_product,
-                                          self.dim_date, self.dim_geography, self.now), "fact_sales")
-
+        rows = fact.fact_sales(self.silver_orders, self.dim_customer, self.dim_product,
+                               self.dim_date, self.dim_geography, self.now)
+        return fact.unpacked(self._keep(fact.packed(rows), "fact_sales")) if self.stage else rows
 
     # Layers in dependency order; the members of one wave are independent.
     WAVES = (("bronze_customers", "bronze_products", "bronze_orders"),
