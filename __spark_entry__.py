@@ -27,7 +27,7 @@ from starweave.operators.quality import (DuplicateRate, NullRate, RowCount, Valu
 from starweave.operators.surrogate import with_unique_keys  # noqa: E402
 from starweave.operators.upsert import MERGE_ACTION, upsert  # noqa: E402
 from starweave.plans.dimensions import CUSTOMER_UPDATE_COLUMNS, dim_date_covering  # noqa: E402
-from starweave.plans import reports, silver, suites  # noqa: E402
+from starweave.plans import fact, reports, silver, suites  # noqa: E402
 from starweave.plans.fact_table import Dimensions, FactTable  # noqa: E402
 from starweave.plans.report_state import ReportState  # noqa: E402
 from starweave.plans.silver_table import ORDERS as SILVER_ORDERS, SilverTable  # noqa: E402
@@ -240,9 +240,10 @@ def _order_batches(spark, d):
         first, second = _no_ts(first), _no_ts(second)
         if tables.has_checkpoint_root(spark):
             from concurrent.futures import ThreadPoolExecutor
+            # Staged without the measures, which follow from the other columns.
+            keep = lambda df, label: silver.with_order_measures(tables.stage(df.drop(*silver.ORDER_MEASURES), label))
             with ThreadPoolExecutor(max_workers=2) as pool:  # two independent jobs
-                first, second = pool.map(lambda a: tables.stage(*a),
-                                         [(first, "orders_first_load"), (second, "orders_second_load")])
+                first, second = pool.map(lambda a: keep(*a), [(first, "orders_first_load"), (second, "orders_second_load")])
         _BATCHES[key] = (first, second)
     first, second = _BATCHES[key]
     return first, second, None
@@ -292,18 +293,17 @@ def q_partition_publish(spark, d):
     days = tables.stage(days, "dim_date")
 
     def fact_of(orders, lay_by=()):
-        from starweave.plans.fact import fact_sales
-        return _no_ts(fact_sales(orders, s.dim_customer, s.dim_product, days, s.dim_geography, lay_by=lay_by))
+        return _no_ts(fact.packed(fact.fact_sales(orders, s.dim_customer, s.dim_product, days, s.dim_geography, lay_by=lay_by)))
 
     from concurrent.futures import ThreadPoolExecutor
     path = f"{tables.checkpoint_root(spark)}/fact_sales-{uuid.uuid4().hex}"
     with ThreadPoolExecutor(max_workers=1) as pool:
         # The second load's fact is staged while the first load is published.
         f2_future = pool.submit(tables.stage, fact_of(second), "fact_second_load")
-        tables.publish_partitions(fact_of(first, ["order_date", *keys]), path, keys, [], "order_date", laid=True)
+        tables.publish_partitions(fact_of(first, ["order_date", *keys]), path, keys, [], "order_date", laid=True, follow=fact.unpacked)
         f2 = f2_future.result()
     tables.publish_partitions(f2, path, keys, [c for c in f2.columns if c not in keys], "order_date",
-                              source_is_staged=True)
+                              source_is_staged=True, follow=fact.unpacked)
     return spark.read.parquet(path)
 
 

@@ -55,3 +55,23 @@ def test_rows_of_equal_values_are_still_chosen_by_their_raw_text(spark):
         [r] = tagged.collect()
         assert (r["_raw_quantity"], r["_raw_unit_price"]) == min(some)
         assert (r.quantity, str(r.unit_price), r.reject_reasons) == (2, "100.00", [])
+
+
+def test_a_publish_merges_without_the_columns_that_follow(spark, scratch, monkeypatch):
+    follow = lambda df: df.selectExpr("*", "q * price AS total")
+    frame = lambda some: spark.createDataFrame(some, "k string, q int, price int, d string")
+    first = frame([("K1", 1, 10, "a"), ("K2", 2, 10, "a"), ("K3", 3, 10, "b"), ("K4", 4, 10, None)])
+    second = frame([("K1", 5, 10, "a"), ("K2", 2, 10, "a"), ("K3", 3, 10, "c"), ("K9", 9, 7, "a"), (None, 1, 1, "z")])
+    held, plain = {}, tables.stage
+    monkeypatch.setattr(tables, "stage", lambda df, label="stage", *a, **k: (held.setdefault(label, []).append(df.columns), plain(df, label, *a, **k))[1])
+    got = {}
+    for name, whole, made in (("with", follow, []), ("without", lambda df: df, ["total"])):
+        infos = [tables.publish_partitions(df if whole is follow else follow(df), f"{scratch}/{name}", "k", ["q", "price", "d", *made], "d",
+                                           follow=follow if whole is follow else None) for df in (first, second, second)]
+        got[name] = rows(tables.read(spark, f"{scratch}/{name}", follow(first).schema).select("k", "q", "price", "total", "d")), infos
+    assert got["with"] == got["without"]
+    assert "Row(k='K1', q=5, price=10, total=50, d='a')" in got["with"][0] and "Row(k='K9', q=9, price=7, total=63, d='a')" in got["with"][0]
+    assert got["with"][1][1]["emptied"] == ["b"]
+    merged = held["merged"]
+    assert len(merged) == 4 and ["total" in columns for columns in merged] == [False, False, True, True]
+    assert set(tables.logged_schema(spark, f"{scratch}/with").names) == {"k", "q", "price", "total", "d"}
